@@ -3,36 +3,29 @@
 Every column becomes ``<length>:<text>`` (``N`` for NULL) before hashing, so
 NULL hashes to a normal value and ``('a|b','c')`` differs from ``('a','b|c')``.
 ``xxhash64`` would be cheaper but skips NULLs and has no portable counterpart.
-The text of a floating column is Java's shortest form; 0.0 is added first so
-that both zeros give one key, as they do in joins and groupings.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 KEY_HEX_DIGITS = 15  # 60 bits: always a positive bigint
 
 
-def key_part(c: Column) -> Column:
-    text = c.cast("string")
-    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("N"))
+def key_part(c: str) -> str:
+    text = f"cast({c} as string)"
+    return f"coalesce(concat(length({text}), ':', {text}), 'N')"
 
 
-def float_part(c: Column) -> Column:
-    return key_part(c + F.lit(0.0))
+def float_input(c: str) -> str:
+    """One form of zero, as joins and groupings have it. The text that follows is
+    the JVM's shortest form, so keep one JDK line for the life of a warehouse."""
+    return f"({c} + 0.0D)"
 
 
-def hex_key(*parts: Column) -> Column:
+def hex_key(*columns: str) -> str:
     """128-bit key as 32 hex digits, for warehouses beyond some 10^9 keys."""
-    return F.md5(F.concat(*parts))
+    return f"md5(concat({', '.join(key_part(c) for c in columns)}))"
 
 
-def hash_key(*columns: Column, digits: int = KEY_HEX_DIGITS) -> Column:
+def hash_key(*columns: str, digits: int = KEY_HEX_DIGITS) -> str:
     """Bigint key over the columns."""
-    return key_of_parts(*[key_part(c) for c in columns], digits=digits)
-
-
-def key_of_parts(*parts: Column, digits: int = KEY_HEX_DIGITS) -> Column:
-    return F.conv(F.substring(hex_key(*parts), 1, digits), 16, 10).cast("bigint")
+    return f"cast(conv(substr({hex_key(*columns)}, 1, {digits}), 16, 10) as bigint)"

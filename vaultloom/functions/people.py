@@ -6,11 +6,8 @@ different partitioning gives the same names, and unchanged rows stay unchanged.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from vaultloom.functions.keys import hex_key, key_part
-from vaultloom.functions.text import title_case
+from vaultloom.functions.keys import hex_key
+from vaultloom.functions.text import literal, title_case
 
 FIRST_NAMES = (
     "Ana", "Bruno", "Carla", "Diego", "Elisa", "Fabio", "Gabriela", "Hugo",
@@ -32,40 +29,39 @@ FIRST_BIRTH_DATE = "1940-01-01"
 BIRTH_DAYS = 25000
 
 
-def _draw(key: Column, slot: int, n: int) -> Column:
+def _draw(key: str, slot: int, n: int) -> str:
     """A number in [0, n) from the slot's 28 bits of the key's digest."""
-    digest = hex_key(key_part(key))
-    return F.conv(F.substring(digest, 1 + 7 * slot, 7), 16, 10).cast("int") % F.lit(n)
+    return f"cast(conv(substr({hex_key(key)}, {1 + 7 * slot}, 7), 16, 10) as int) % {n}"
+
+
+def _pick(values: tuple[str, ...], key: str, slot: int) -> str:
+    options = ", ".join(literal(v) for v in values)
+    return f"element_at(array({options}), {_draw(key, slot, len(values))} + 1)"
 
 
-def _pick(values: tuple[str, ...], key: Column, slot: int) -> Column:
-    options = F.array(*[F.lit(v) for v in values])
-    return F.element_at(options, _draw(key, slot, len(values)) + 1)
+def _digits(key: str, slot: int) -> str:
+    return f"lpad(cast({_draw(key, slot, 10000)} as string), 4, '0')"
 
 
-def person_name(key: Column) -> Column:
-    return F.concat_ws(" ", _pick(FIRST_NAMES, key, 0), _pick(LAST_NAMES, key, 1))
+def person_name(key: str) -> str:
+    return f"concat_ws(' ', {_pick(FIRST_NAMES, key, 0)}, {_pick(LAST_NAMES, key, 1)})"
 
 
-def email(key: Column) -> Column:
-    return F.concat(
-        F.lower(_pick(FIRST_NAMES, key, 0)), F.lit("."), F.lower(_pick(LAST_NAMES, key, 1)),
-        _draw(key, 2, 100000).cast("string"), F.lit("@"), _pick(MAIL_DOMAINS, key, 3),
-    )
+def email(key: str) -> str:
+    first, last = _pick(FIRST_NAMES, key, 0), _pick(LAST_NAMES, key, 1)
+    number, domain = _draw(key, 2, 100000), _pick(MAIL_DOMAINS, key, 3)
+    return f"concat(lower({first}), '.', lower({last}), {number}, '@', {domain})"
 
 
-def phone_number(key: Column) -> Column:
-    return F.concat(
-        F.lit("+55 ("), (_draw(key, 1, 89) + 11).cast("string"), F.lit(") 9"),
-        F.lpad(_draw(key, 2, 10000).cast("string"), 4, "0"), F.lit("-"),
-        F.lpad(_draw(key, 3, 10000).cast("string"), 4, "0"),
-    )
+def phone_number(key: str) -> str:
+    area = f"{_draw(key, 1, 89)} + 11"
+    return f"concat('+55 (', {area}, ') 9', {_digits(key, 2)}, '-', {_digits(key, 3)})"
 
 
-def birth_date(key: Column) -> Column:
-    return F.date_add(F.lit(FIRST_BIRTH_DATE).cast("date"), _draw(key, 3, BIRTH_DAYS))
+def birth_date(key: str) -> str:
+    return f"date_add(DATE'{FIRST_BIRTH_DATE}', {_draw(key, 3, BIRTH_DAYS)})"
 
 
-def product_name(key: Column) -> Column:
-    words = F.concat_ws(" ", *[_pick(WORDS, key, slot) for slot in range(3)])
-    return title_case(words)
+def product_name(key: str) -> str:
+    words = ", ".join(_pick(WORDS, key, slot) for slot in range(3))
+    return title_case(f"concat_ws(' ', {words})")

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -21,8 +20,8 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def anti_join_null_safe(df: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key is not among the others', NULLs being equal."""
     left, right = df.alias("this"), others.select(*keys).alias("other")
-    same = [F.col(f"this.{k}").eqNullSafe(F.col(f"other.{k}")) for k in keys]
-    return left.join(right, reduce(Column.__and__, same), "left_anti")
+    same = " AND ".join(f"this.{k} <=> other.{k}" for k in keys)
+    return left.join(right, F.expr(same), "left_anti")
 
 
 def drop_all_duplicates(

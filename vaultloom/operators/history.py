@@ -8,33 +8,28 @@ the new open row, so both sides are read and shuffled once.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CLOSE_OPEN_ONLY = "open_only"
 CLOSE_ALL_DIFFERING = "all_differing"
 
 
-def _differs(old: str, new: str, values: Sequence[str]) -> Column:
+def _differs(values: Sequence[str]) -> str:
     """True where a value changed; a comparison with NULL is never a change."""
-    tests = [
-        F.coalesce(F.col(f"{old}.{v}") != F.col(f"{new}.{v}"), F.lit(False)) for v in values
-    ]
-    return reduce(Column.__or__, tests)
+    return " OR ".join(f"coalesce(old.{v} <> new.{v}, false)" for v in values)
 
 
-def first_load(source: DataFrame, load_ts: str) -> DataFrame:
-    """The history of a table that does not exist yet: every row open."""
-    return source.select("*", *_open_interval(load_ts))
+def _same_key(keys: Sequence[str]):
+    return F.expr(" AND ".join(f"old.{k} = new.{k}" for k in keys))
 
 
-def _open_interval(load_ts: str) -> tuple[Column, Column]:
-    return (
-        F.lit(load_ts).cast("timestamp_ntz").alias("valid_from"),
-        F.lit(None).cast("timestamp_ntz").alias("valid_to"),
-    )
+def first_load(source: DataFrame, load_ts: str) -> DataFrame:
+    """The history of a table that does not exist yet: every row open."""
+    return source.selectExpr(
+        "*", f"TIMESTAMP_NTZ'{load_ts}' AS valid_from",
+        "cast(NULL AS timestamp_ntz) AS valid_to")
 
 
 def close_and_insert(
@@ -80,31 +75,24 @@ def advance(
     """The given target rows and the source, joined and brought to ``load_ts``."""
     opened = first_load(source, load_ts)
     columns = opened.columns
-    now = F.lit(load_ts).cast("timestamp_ntz")
-    old, new = target.select(*columns).alias("old"), opened.alias("new")
-    on = reduce(Column.__and__, [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys])
-
-    known = F.col(f"old.{keys[0]}").isNotNull()
-    differs = _differs("old", "new", values)
-    is_open = F.col("old.valid_to").isNull()
-    closes = differs & is_open if close == CLOSE_OPEN_ONLY else differs
-    changed = differs & is_open
-
-    old_row = F.struct(
-        *[F.col(f"old.{c}").alias(c) for c in columns if c != "valid_to"],
-        F.when(closes, now).otherwise(F.col("old.valid_to")).alias("valid_to"),
-    )
-    new_row = F.struct(
-        *[F.col(f"new.{c}").alias(c) for c in columns if c != "valid_to"],
-        F.col("new.valid_to").alias("valid_to"),
-    )
+    joined = target.select(*columns).alias("old").join(
+        opened.alias("new"), _same_key(keys), "full_outer")
+
+    known, is_open = f"old.{keys[0]} IS NOT NULL", "old.valid_to IS NULL"
+    differs = f"({_differs(values)})"
+    changed = f"{differs} AND {is_open}"
+    closes = changed if close == CLOSE_OPEN_ONLY else differs
+    valid_to = f"CASE WHEN {closes} THEN TIMESTAMP_NTZ'{load_ts}' ELSE old.valid_to END"
+
+    fixed = [c for c in columns if c != "valid_to"]
+    old_row = ", ".join([*[f"'{c}', old.{c}" for c in fixed], f"'valid_to', {valid_to}"])
+    new_row = ", ".join([*[f"'{c}', new.{c}" for c in fixed], "'valid_to', new.valid_to"])
+    old_row, new_row = f"named_struct({old_row})", f"named_struct({new_row})"
     rows = (
-        F.when(known & changed, F.array(old_row, new_row))
-        .when(known, F.array(old_row))
-        .otherwise(F.array(new_row))
+        f"CASE WHEN {known} AND {changed} THEN array({old_row}, {new_row}) "
+        f"WHEN {known} THEN array({old_row}) ELSE array({new_row}) END"
     )
-    joined = old.join(new, on, "full_outer")
-    return joined.select(F.inline(rows)).select(*columns)
+    return joined.selectExpr(f"inline({rows})").select(*columns)
 
 
 def changed_keys(
@@ -112,5 +100,4 @@ def changed_keys(
 ) -> DataFrame:
     """Source rows whose value differs from the open target row of their key."""
     new, old = source.alias("new"), open_rows(target).alias("old")
-    on = reduce(Column.__and__, [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys])
-    return new.join(old, on).filter(_differs("old", "new", values)).select("new.*")
+    return new.join(old, _same_key(keys)).filter(_differs(values)).select("new.*")

@@ -9,21 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vaultloom.functions.text import literal
 from vaultloom.operators.dedup import anti_join_null_safe
 
 
-def with_audit(df: DataFrame, load_dttm: str, load_src: str) -> DataFrame:
-    return df.withColumns(audit_columns(load_dttm, load_src))
-
-
-def audit_columns(load_dttm: str, load_src: str) -> dict[str, Column]:
-    return {
-        "load_dttm": F.lit(load_dttm).cast("timestamp_ntz"),
-        "load_src": F.lit(load_src),
-    }
+def audit_columns(load_dttm: str, load_src: str) -> list[str]:
+    """SQL text of the audit pair; both come from the job's parameters."""
+    return [f"TIMESTAMP_NTZ'{load_dttm}' AS load_dttm", f"{literal(load_src)} AS load_src"]
 
 
 def merge_upsert(

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -20,14 +19,11 @@ def merge_ambiguity(source: DataFrame, keys: Sequence[str], null_safe: bool = Fa
     return key_violations(matching, keys)
 
 
-def _any_null(columns: Sequence[str]) -> Column:
-    return reduce(Column.__or__, [F.col(c).isNull() for c in columns])
-
-
 def null_violations(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """Rows with a NULL in a required column, naming the columns."""
-    names = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in required])
-    return df.filter(_any_null(required)).withColumn("null_columns", names)
+    names = ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in required)
+    broken = df.filter(" OR ".join(f"{c} IS NULL" for c in required))
+    return broken.selectExpr("*", f"concat_ws(',', {names}) AS null_columns")
 
 
 def complete_rows(df: DataFrame, required: Sequence[str]) -> DataFrame:
@@ -44,31 +40,13 @@ def orphan_keys(df: DataFrame, column: str, parent: DataFrame, parent_key: str)
     return df.select(column).distinct().join(known, [column], "left_anti")
 
 
-def drop_orphans(df: DataFrame, column: str, orphans: DataFrame) -> DataFrame:
-    """Rows whose reference is present and not an orphan.
-
-    With written ``orphans`` (usually few) the planner knows their size and
-    broadcasts them, and ``df`` is not shuffled.
-    """
-    kept = df.filter(F.col(column).isNotNull())
-    return kept.join(orphans, [column], "left_anti").select(*df.columns)
-
-
-def orphan_rows(df: DataFrame, column: str, orphans: DataFrame) -> DataFrame:
-    return df.join(orphans, [column], "left_semi").select(*df.columns)
-
-
 def too_long(df: DataFrame, keys: Sequence[str], limits: Mapping[str, int]) -> DataFrame:
     """One row per text that needs more bytes than its column declares."""
-    checks = F.array(*[
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.octet_length(F.col(c)).alias("bytes"),
-            F.lit(n).alias("max_bytes"),
-        )
+    checks = ", ".join(
+        f"named_struct('column_name', '{c}', 'bytes', octet_length({c}), 'max_bytes', {n})"
         for c, n in limits.items()
-    ])
-    return df.select(*keys, F.inline(checks)).filter("bytes > max_bytes")
+    )
+    return df.selectExpr(*keys, f"inline(array({checks}))").filter("bytes > max_bytes")
 
 
 def hash_collisions(df: DataFrame, key: str, business: Sequence[str]) -> DataFrame:

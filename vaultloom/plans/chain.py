@@ -1,7 +1,8 @@
-"""Several loads composed as one lazy plan, without any written state.
+"""The state of a table after several loads, as a DataFrame over the raw feeds.
 
-Table states are functions of the states before them, so the state of a table
-after ``n`` drops is a DataFrame over the raw feeds.
+Without ``keep`` this is one lazy plan. With it, states that are read more than
+once (staging tables, hubs, orphan keys) go through written tables, as they do
+in a real load: that cuts the lineage and tells the planner their sizes.
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ class Chain:
         load_ts: Callable[[int], str],
         load_src: str,
         strict: bool = False,
+        keep: Callable[[DataFrame, str], DataFrame] | None = None,
     ) -> None:
         self._feed, self.load_ts, self.load_src, self._strict = feed, load_ts, load_src, strict
+        self._keep = keep
         self._states: dict[tuple, DataFrame] = {}
 
     def _once(self, key: tuple, make: Callable[[], DataFrame]) -> DataFrame:
@@ -32,31 +35,53 @@ class Chain:
             self._states[key] = make()
         return self._states[key]
 
+    def _kept(self, df: DataFrame, name: str) -> DataFrame:
+        return self._keep(df, name) if self._keep else df
+
     def prepared(self, feed: str, n: int) -> DataFrame:
         def make():
-            translation = self._feed("translation", n) if feed == "products" else None
+            translation = None
+            if feed == "products":
+                translation = self._kept(self._feed("translation", n), f"translation-{n}")
             return prep.prepare(feed, self._feed(feed, n), translation)
         return self._once(("prepared", feed, n), make)
 
     def staged(self, table: str, n: int) -> DataFrame:
+        """The staging table after drop ``n``."""
         def make():
-            before = self.staged(table, n - 1) if n > 1 else None
+            before = self.staged_kept(table, n - 1) if n > 1 else None
             return staging.load_staging(table, before, self.prepared(table, n))
         return self._once(("staged", table, n), make)
 
+    def staged_kept(self, table: str, n: int) -> DataFrame:
+        return self._once(
+            ("staged kept", table, n), lambda: self._kept(self.staged(table, n), f"{table}-{n}"))
+
     def source(self, table: str, n: int) -> DataFrame:
+        """The rows that load ``n`` merges into a vault table."""
         job = vault.JOBS[table]
+
         def make():
-            needed = vault.checked_references(job, self._strict)
             parents = vault.TABLES[table].parents
-            hubs = {parents[c]: self.vault(parents[c], n) for c in needed}
+            hubs = {
+                parents[c]: self.vault_kept(parents[c], n)
+                for c in vault.checked_references(job, self._strict)
+            }
+            keep = (lambda df, name: self._kept(df, f"{name}-{n}")) if self._keep else None
             return vault.source_rows(
-                job, self.staged(job.source, n), hubs, self.load_ts(n), self.load_src, self._strict)
+                job, self.staged_kept(job.source, n), hubs, self.load_ts(n), self.load_src,
+                self._strict, keep)
         return self._once(("source", table, n), make)
 
     def vault(self, table: str, n: int, close: str = CLOSE_OPEN_ONLY) -> DataFrame:
+        """A vault table after load ``n``."""
         def make():
-            before = self.vault(table, n - 1, close) if n > 1 else None
+            before = self.vault_kept(table, n - 1, close) if n > 1 else None
             return vault.load_table(
                 vault.JOBS[table], before, self.source(table, n), self.load_ts(n), close)
         return self._once(("vault", table, n, close), make)
+
+    def vault_kept(self, table: str, n: int, close: str = CLOSE_OPEN_ONLY) -> DataFrame:
+        return self._once(
+            ("vault kept", table, n, close),
+            lambda: self._kept(self.vault(table, n, close), f"{table}-{n}-{close}"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from vaultloom.functions import people
 from vaultloom.functions.text import capitalize, title_case, underscores_to_spaces
@@ -23,27 +22,20 @@ DEDUP_KEYS = {
 }
 
 
-def _renamed(df: DataFrame, table: str, **names) -> DataFrame:
-    """Staging columns by name; ``names`` gives the expression where it differs."""
-    return df.select(*[
-        F.col(c) if c not in names else _column(names[c]).alias(c) for c in TABLES[table].columns
-    ])
-
-
-def _column(c):
-    return F.col(c) if isinstance(c, str) else c
+def _renamed(df: DataFrame, table: str, **names: str) -> DataFrame:
+    """The staging columns by name; ``names`` gives the SQL text where it differs."""
+    return df.selectExpr(*[f"{names.get(c, c)} AS {c}" for c in TABLES[table].columns])
 
 
 def customers(raw: DataFrame) -> DataFrame:
-    key = F.col("customer_id")
     return _renamed(
         raw, "customers",
-        customer_name=people.person_name(key),
-        email=people.email(key),
-        phone_number=people.phone_number(key),
-        date_of_birth=people.birth_date(key),
+        customer_name=people.person_name("customer_id"),
+        email=people.email("customer_id"),
+        phone_number=people.phone_number("customer_id"),
+        date_of_birth=people.birth_date("customer_id"),
         zip_code="customer_zip_code_prefix",
-        city=title_case(F.col("customer_city")),
+        city=title_case("customer_city"),
         state="customer_state",
     )
 
@@ -54,24 +46,23 @@ def geolocation(raw: DataFrame) -> DataFrame:
         zip_code="geolocation_zip_code_prefix",
         latitude="geolocation_lat",
         longitude="geolocation_lng",
-        city=title_case(F.col("geolocation_city")),
+        city=title_case("geolocation_city"),
         state="geolocation_state",
     )
 
 
 def orders(raw: DataFrame) -> DataFrame:
-    return _renamed(raw, "orders", order_status=capitalize(F.col("order_status")))
+    return _renamed(raw, "orders", order_status=capitalize("order_status"))
 
 
 def products(raw: DataFrame, translation: DataFrame) -> DataFrame:
     """The translation is a lookup of a few dozen rows in a file of its own; the
     planner sees its size and broadcasts it, or sorts and merges if it has grown."""
-    named = raw.join(translation, "product_category_name", "left")
     return _renamed(
-        named, "products",
-        category_name=capitalize(underscores_to_spaces(F.col("product_category_name"))),
-        category_name_eng=capitalize(underscores_to_spaces(F.col("product_category_name_english"))),
-        product_name=people.product_name(F.col("product_id")),
+        raw.join(translation, "product_category_name", "left"), "products",
+        category_name=capitalize(underscores_to_spaces("product_category_name")),
+        category_name_eng=capitalize(underscores_to_spaces("product_category_name_english")),
+        product_name=people.product_name("product_id"),
         weight_g="product_weight_g",
         length_cm="product_length_cm",
         height_cm="product_height_cm",
@@ -80,14 +71,13 @@ def products(raw: DataFrame, translation: DataFrame) -> DataFrame:
 
 
 def sellers(raw: DataFrame) -> DataFrame:
-    key = F.col("seller_id")
     return _renamed(
         raw, "sellers",
         zip_code="seller_zip_code_prefix",
-        city=title_case(F.col("seller_city")),
+        city=title_case("seller_city"),
         state="seller_state",
-        email=people.email(key),
-        phone_number=people.phone_number(key),
+        email=people.email("seller_id"),
+        phone_number=people.phone_number("seller_id"),
     )
 
 
@@ -96,7 +86,7 @@ def order_items(raw: DataFrame) -> DataFrame:
 
 
 def payments(raw: DataFrame) -> DataFrame:
-    kind = title_case(underscores_to_spaces(F.col("payment_type")))
+    kind = title_case(underscores_to_spaces("payment_type"))
     return _renamed(raw, "payments", payment_type=kind)
 
 
@@ -107,7 +97,7 @@ def reviews(raw: DataFrame) -> DataFrame:
         comment_message="review_comment_message",
         creation_date="review_creation_date",
         answer_timestamp="review_answer_timestamp",
-        is_commented=F.col("review_comment_message").isNotNull(),
+        is_commented="review_comment_message IS NOT NULL",
     )
 
 

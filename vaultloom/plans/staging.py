@@ -8,7 +8,7 @@ nothing. Rows that the feed no longer holds are kept.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, TimestampNTZType
 
 from vaultloom.operators.merge import merge_upsert
 from vaultloom.operators.quality import complete_rows
@@ -18,17 +18,15 @@ STAGING_TABLES = [t.name for t in tables_of(STAGING)]
 
 
 def conform(table: str, prepared: DataFrame) -> DataFrame:
-    """The table's columns by name, in its types; times are cut to seconds."""
-    fields = TABLES[table].plain_schema
-    return prepared.select(*[_typed(f) for f in fields])
+    """The table's columns by name, in its types; times are rounded to seconds."""
+    return prepared.selectExpr(*[_typed(f) for f in TABLES[table].plain_schema])
 
 
-def _typed(f):
-    c = F.col(f.name)
-    if f.dataType.typeName() == "timestamp_ntz":
-        # Half a second up, then cut: rounds to the nearest second.
-        c = F.date_trunc("second", c + F.expr("interval 500 milliseconds"))
-    return c.cast(f.dataType).alias(f.name)
+def _typed(f: StructField) -> str:
+    value = f.name
+    if isinstance(f.dataType, TimestampNTZType):
+        value = f"date_trunc('second', {f.name} + interval 500 milliseconds)"
+    return f"cast({value} as {f.dataType.simpleString()}) AS {f.name}"
 
 
 def stage_rows(table: str, prepared: DataFrame) -> DataFrame:

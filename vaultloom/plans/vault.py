@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultloom.functions.keys import float_part, hash_key, key_of_parts, key_part
-from vaultloom.functions.text import to_money
+from vaultloom.functions.keys import float_input, hash_key
 from vaultloom.operators import history, merge, quality
+from vaultloom.operators.dedup import anti_join_null_safe
 from vaultloom.sources.tables import TABLES
 
 UPSERT, INSERT, HISTORY = "upsert", "insert", "history"
@@ -28,18 +29,14 @@ class Ref:
     """A hub id computed from business columns.
 
     ``nullable``: a NULL business key hashes to a normal id (the hubs without a
-    key column); otherwise it gives NULL, and the row is rejected.
+    key column); otherwise such a row is rejected.
     """
 
     columns: tuple[str, ...]
     nullable: bool = False
 
-    def expression(self) -> Column:
-        parts = [float_part(F.col(c)) if c in FLOATING else key_part(F.col(c)) for c in self.columns]
-        if self.nullable:
-            return key_of_parts(*parts)
-        present = F.col(self.columns[0]).isNotNull()
-        return F.when(present, key_of_parts(*parts))
+    def expression(self) -> str:
+        return hash_key(*[float_input(c) if c in FLOATING else c for c in self.columns])
 
 
 @dataclass(frozen=True)
@@ -132,25 +129,47 @@ JOBS = {job.table: job for layer in LAYERS for job in layer}
 Keep = Callable[[DataFrame, str], DataFrame]
 
 
-def candidate_rows(job: Job, staged: DataFrame) -> DataFrame:
-    """The job's rows from its staging table, before any check."""
+def required_inputs(job: Job) -> list[str]:
+    """Staging columns whose NULL would break a NOT NULL rule of the table.
+
+    Rows are checked on these rather than on the finished columns: the filter
+    reaches the scan, and no hash is computed just to test it.
+    """
+    required = TABLES[job.table].required
+    keys = {c for ref in job.refs.values() if not ref.nullable for c in ref.columns}
+    return sorted(keys | {src for column, src in job.values.items() if column in required})
+
+
+def business_rows(job: Job, staged: DataFrame, keep: Keep | None = None) -> DataFrame:
+    """Complete rows of the staging columns that the job reads, each once if asked.
+
+    Rows are folded before anything is hashed or joined. ``keep`` writes the
+    folded rows where checks follow, since the optimizer would push the checks'
+    joins below the DISTINCT, onto every row.
+    """
+    needed = {c for ref in job.refs.values() for c in ref.columns} | set(job.values.values())
     rows = staged.filter(job.where) if job.where else staged
-    if job.distinct:
-        needed = {c for ref in job.refs.values() for c in ref.columns} | set(job.values.values())
-        rows = rows.select(*sorted(needed)).distinct()
+    rows = quality.complete_rows(rows.select(*sorted(needed)), required_inputs(job))
     if job.smallest:
         least = job.values[job.smallest]
-        others = [c for c in rows.columns if c != least]
-        rows = rows.groupBy(*others).agg(F.min(least).alias(least))
-    ids = [ref.expression().alias(column) for column, ref in job.refs.items()]
-    rows = rows.select(*ids, *[F.col(src).alias(column) for column, src in job.values.items()])
-    return rows.withColumns({c: hash_key(*map(F.col, cols)) for c, cols in job.combined.items()})
+        others = sorted(needed - {least})
+        return rows.distinct().groupBy(*others).agg(F.min(least).alias(least))
+    if job.distinct:
+        rows = rows.distinct()
+        if keep is not None and job.foreign:
+            rows = keep(rows, f"{job.table}.rows")
+    return rows
 
 
 def orphans(job: Job, rows: DataFrame, column: str, hubs: Mapping[str, DataFrame]) -> DataFrame:
-    """The values of a reference that its hub does not hold."""
-    hub = hubs[TABLES[job.table].parents[column]]
-    return quality.orphan_keys(rows, column, hub, "id")
+    """Business keys of a reference whose hub lacks the id, each once.
+
+    The distinct comes first: it folds hot values inside the tasks, so the rows
+    that refer to one popular parent never meet in a single partition.
+    """
+    ref, hub = job.refs[column], hubs[TABLES[job.table].parents[column]]
+    keys = rows.select(*ref.columns).distinct().selectExpr("*", f"{ref.expression()} AS id")
+    return keys.join(hub.select("id"), "id", "left_anti").select(*ref.columns)
 
 
 def checked_references(job: Job, strict: bool) -> tuple[str, ...]:
@@ -169,22 +188,63 @@ def source_rows(
 ) -> DataFrame:
     """The rows the job merges: complete, with every reference in its hub.
 
-    ``keep`` may write the (usually few) orphan keys to a table and read them
-    back, so that the planner knows their size before it moves the wide rows.
+    ``keep`` may write a DataFrame under a name and read it back. Orphan keys
+    are usually few; once written their size is known, and the planner
+    broadcasts them instead of moving the wide rows.
     """
-    table = TABLES[job.table]
-    rows = candidate_rows(job, staged)
+    rows = business_rows(job, staged, keep)
+    whole = rows
     for column in checked_references(job, strict):
-        missing = orphans(job, rows, column, hubs)
+        missing = orphans(job, whole, column, hubs)
         if keep is not None:
             missing = keep(missing, f"{job.table}.{column}")
-        rows = quality.drop_orphans(rows, column, missing)
-    if job.table == "l_order_items":
-        rows = rows.withColumns({c: to_money(F.col(c)) for c in ("price", "freight_value")})
-    rows = merge.with_audit(rows, load_ts, load_src)
-    # valid_from and valid_to come with the merge.
-    present = [c for c in table.columns if c in rows.columns]
-    return quality.complete_rows(rows.select(*present), [c for c in table.required if c in present])
+        ref = job.refs[column]
+        if ref.nullable:
+            rows = anti_join_null_safe(rows, missing, ref.columns)
+        else:
+            rows = rows.join(missing, list(ref.columns), "left_anti")
+    return finished_rows(job, rows, load_ts, load_src)
+
+
+def finished_rows(job: Job, rows: DataFrame, load_ts: str, load_src: str) -> DataFrame:
+    """Business rows as rows of the table, but for the interval of a history."""
+    fields = {f.name: f.dataType.simpleString() for f in TABLES[job.table].plain_schema}
+    ids = [f"{ref.expression()} AS {column}" for column, ref in job.refs.items()]
+    values = [f"cast({src} as {fields[c]}) AS {c}" for c, src in job.values.items()]
+    rows = rows.selectExpr(*ids, *values)
+    made = {c: f"{hash_key(*columns)} AS {c}" for c, columns in job.combined.items()}
+    present = [c for c in fields if c in made or c in rows.columns]
+    return rows.selectExpr(
+        *[made.get(c, c) for c in present], *merge.audit_columns(load_ts, load_src))
+
+
+def rejected_rows(
+    job: Job, staged: DataFrame, hubs: Mapping[str, DataFrame], strict: bool = False
+) -> DataFrame:
+    """What the job leaves out, as (table, reason, row): rows that lack a required
+    value, and rows that refer to a key its hub does not hold."""
+    needed = {c for ref in job.refs.values() for c in ref.columns} | set(job.values.values())
+    rows = (staged.filter(job.where) if job.where else staged).select(*sorted(needed))
+    required = required_inputs(job)
+    found = []
+    if required:
+        incomplete = quality.null_violations(rows, required)
+        found.append((incomplete, "concat('missing ', null_columns)"))
+    complete = quality.complete_rows(rows, required)
+    for column in checked_references(job, strict):
+        missing = orphans(job, complete, column, hubs)
+        columns = list(job.refs[column].columns)
+        reason = f"'no {TABLES[job.table].parents[column]} row'"
+        found.append((complete.join(missing, columns, "left_semi"), reason))
+    row = f"to_json(struct({', '.join(sorted(needed))}), map('ignoreNullFields', 'false')) AS row"
+    described = [
+        df.selectExpr(f"'{job.table}' AS table_name", f"{reason} AS reason", row)
+        for df, reason in found
+    ]
+    if not described:
+        described = [rows.filter("false").selectExpr(
+            f"'{job.table}' AS table_name", "'' AS reason", row)]
+    return reduce(DataFrame.unionByName, described)
 
 
 def load_table(

@@ -7,230 +7,216 @@ price are sent two or three times, as in feeds that repeat a key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultloom.functions.keys import hash_key
 from vaultloom.sources.tables import RAW_FEEDS
 
-DATA_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-               "documents", "labels")
-
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def _sent(df: DataFrame, copies: Column) -> DataFrame:
-    """Repeat each row ``copies`` times."""
-    repeated = F.array_repeat(F.lit(0), copies)
-    return df.select("*", F.explode(repeated).alias("_copy")).drop("_copy")
+def _as_feed(df: DataFrame, feed: str, **values: str) -> DataFrame:
+    """The feed's columns in its types, from the SQL text given for each."""
+    return df.selectExpr(*[
+        f"cast({values.get(f.name, f.name)} AS {f.dataType.simpleString()}) AS {f.name}"
+        for f in RAW_FEEDS[feed]
+    ])
 
 
-def _as_feed(df: DataFrame, feed: str) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_FEEDS[feed]])
+def _sent(df: DataFrame, copies: str) -> DataFrame:
+    """Repeat each row ``copies`` times."""
+    return df.selectExpr("*", f"explode(sequence(1, {copies})) AS sent")
 
 
-def _balance_copies(c: str) -> Column:
-    return F.when(F.col(c) > 9500, 3).when(F.col(c) > 9000, 2).otherwise(1)
+def _balance_copies(c: str) -> str:
+    return f"CASE WHEN {c} > 9500 THEN 3 WHEN {c} > 9000 THEN 2 ELSE 1 END"
 
 
 def _places(spark: SparkSession, folder: str) -> DataFrame:
     nation, region = _read(spark, folder, "nation"), _read(spark, folder, "region")
     return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        "n_nationkey", "n_name", "r_name"
-    )
+        "n_nationkey", "n_name", "r_name")
 
 
-def _customer_places(spark, folder, load):
-    c = _read(spark, folder, "customer").join(
-        _places(spark, folder), F.col("c_nationkey") == F.col("n_nationkey")
-    )
-    if load == 1:
-        c = c.filter(~((F.col("c_mktsegment") == "HOUSEHOLD") & (F.col("c_acctbal") > 5000)))
-    else:
-        c = c.filter(~((F.col("c_mktsegment") == "BUILDING") & (F.col("c_acctbal") > 8000)))
-    moved = F.when(F.col("c_acctbal") < 0, load - 1).otherwise(0)
-    return c.select(
+def _customer_places(spark: SparkSession, folder: str, load: int) -> DataFrame:
+    c, places = _read(spark, folder, "customer"), _places(spark, folder)
+    here = "NOT (c_mktsegment = 'HOUSEHOLD' AND c_acctbal > 5000)"
+    if load > 1:
+        here = "NOT (c_mktsegment = 'BUILDING' AND c_acctbal > 8000)"
+    return c.filter(here).join(places, c.c_nationkey == places.n_nationkey).selectExpr(
         "*",
-        (1000 + F.col("c_nationkey") * 40 + F.col("c_custkey") % 40 + moved).alias("zip"),
-        F.concat(F.lower("c_mktsegment"), F.lit("-do d'"), F.lower("n_name")).alias("city"),
+        "1000 + c_nationkey * 40 + c_custkey % 40"
+        f" + CASE WHEN c_acctbal < 0 THEN {load - 1} ELSE 0 END AS zip",
+        "concat(lower(c_mktsegment), '-do d\\'', lower(n_name)) AS city",
     )
 
 
-def _supplier_places(spark, folder, load):
-    s = _read(spark, folder, "supplier").join(
-        _places(spark, folder), F.col("s_nationkey") == F.col("n_nationkey")
-    )
-    moved = F.when(F.col("s_acctbal") < 0, load - 1).otherwise(0)
-    return s.select(
+def _supplier_places(spark: SparkSession, folder: str, load: int) -> DataFrame:
+    s, places = _read(spark, folder, "supplier"), _places(spark, folder)
+    return s.join(places, s.s_nationkey == places.n_nationkey).selectExpr(
         "*",
-        (1000 + F.col("s_nationkey") * 40 + F.col("s_suppkey") % 40 + moved).alias("zip"),
-        F.concat(F.lit("são "), F.lower("n_name"), F.lit("-mirim")).alias("city"),
+        "1000 + s_nationkey * 40 + s_suppkey % 40"
+        f" + CASE WHEN s_acctbal < 0 THEN {load - 1} ELSE 0 END AS zip",
+        "concat('são ', lower(n_name), '-mirim') AS city",
     )
 
 
 def raw_customers(spark: SparkSession, folder: str, load: int) -> DataFrame:
-    c = _sent(_customer_places(spark, folder, load), _balance_copies("c_acctbal"))
-    return _as_feed(c.select(
-        F.concat(F.lit("C"), "c_custkey").alias("customer_id"),
-        F.col("c_name").alias("customer_unique_id"),
-        F.col("zip").alias("customer_zip_code_prefix"),
-        F.col("city").alias("customer_city"),
-        F.col("r_name").alias("customer_state"),
-    ), "customers")
+    return _as_feed(
+        _sent(_customer_places(spark, folder, load), _balance_copies("c_acctbal")), "customers",
+        customer_id="concat('C', c_custkey)",
+        customer_unique_id="c_name",
+        customer_zip_code_prefix="zip",
+        customer_city="city",
+        customer_state="r_name",
+    )
 
 
 def raw_sellers(spark: SparkSession, folder: str, load: int) -> DataFrame:
-    s = _sent(_supplier_places(spark, folder, load), _balance_copies("s_acctbal"))
-    return _as_feed(s.select(
-        F.concat(F.lit("S"), "s_suppkey").alias("seller_id"),
-        F.col("zip").alias("seller_zip_code_prefix"),
-        F.col("city").alias("seller_city"),
-        F.col("r_name").alias("seller_state"),
-    ), "sellers")
+    return _as_feed(
+        _sent(_supplier_places(spark, folder, load), _balance_copies("s_acctbal")), "sellers",
+        seller_id="concat('S', s_suppkey)",
+        seller_zip_code_prefix="zip",
+        seller_city="city",
+        seller_state="r_name",
+    )
 
 
 def raw_geolocation(spark: SparkSession, folder: str, load: int) -> DataFrame:
-    def points(df, number, balance):
-        return _sent(df, _balance_copies(balance)).select(
-            F.col("zip").alias("geolocation_zip_code_prefix"),
-            ((F.col(number) % 11520) / F.lit(64.0) - F.lit(90.0)).alias("geolocation_lat"),
-            (F.floor(balance) / F.lit(64.0)).alias("geolocation_lng"),
-            F.col("city").alias("geolocation_city"),
-            F.col("r_name").alias("geolocation_state"),
+    """One point per customer and supplier, on a grid of exact 64ths of a degree."""
+    def points(df: DataFrame, number: str, balance: str) -> DataFrame:
+        return _as_feed(
+            _sent(df, _balance_copies(balance)), "geolocation",
+            geolocation_zip_code_prefix="zip",
+            geolocation_lat=f"({number} % 11520) / 64.0D - 90.0D",
+            geolocation_lng=f"floor({balance}) / 64.0D",
+            geolocation_city="city",
+            geolocation_state="r_name",
         )
 
     customers = points(_customer_places(spark, folder, load), "c_custkey", "c_acctbal")
     sellers = points(_supplier_places(spark, folder, load), "s_suppkey", "s_acctbal")
-    return _as_feed(customers.unionByName(sellers), "geolocation")
+    return customers.unionByName(sellers)
+
+
+def _orders_of_load(spark: SparkSession, folder: str, load: int) -> DataFrame:
+    here = "o_orderdate < TIMESTAMP_NTZ'2001-01-01 00:00:00'"
+    if load > 1:
+        here = "o_orderstatus <> 'F' OR o_orderdate >= TIMESTAMP_NTZ'1996-01-01 00:00:00'"
+    return _read(spark, folder, "orders").filter(here)
 
 
 def raw_orders(spark: SparkSession, folder: str, load: int) -> DataFrame:
     orders = _orders_of_load(spark, folder, load)
     shipped = _read(spark, folder, "lineitem").groupBy("l_orderkey").agg(
-        F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship")
-    )
-    steps = F.array(F.lit("processing"), F.lit("shipped"), F.lit("DELIVERED"))
-    start = F.when(F.col("o_orderstatus") == "P", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
-    progress = F.when(F.col("o_totalprice") > 250000, load - 1).otherwise(0)
-    joined = orders.join(shipped, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    sent = _sent(joined, F.when(F.col("o_totalprice") > 490000, 2).otherwise(1))
-    return _as_feed(sent.select(
-        F.concat(F.lit("O"), "o_orderkey").alias("order_id"),
-        F.concat(F.lit("C"), "o_custkey").alias("customer_id"),
-        F.element_at(steps, (start + progress) % 3 + 1).alias("order_status"),
-        F.col("o_orderdate").alias("order_purchase_timestamp"),
-        (F.col("o_orderdate") + F.expr("interval 1 day")).alias("order_approved_at"),
-        F.col("first_ship").alias("order_delivered_carrier_date"),
-        F.col("last_ship").alias("order_delivered_customer_date"),
-        (F.col("o_orderdate") + F.expr("interval 30 days")).alias("order_estimated_delivery_date"),
-    ), "orders")
-
-
-def _orders_of_load(spark, folder, load):
-    orders = _read(spark, folder, "orders")
-    if load == 1:
-        return orders.filter(F.col("o_orderdate") < F.lit("2001-01-01").cast("timestamp_ntz"))
-    return orders.filter(
-        (F.col("o_orderstatus") != "F")
-        | (F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp_ntz"))
+        F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
+    joined = orders.join(shipped, orders.o_orderkey == shipped.l_orderkey, "left")
+    start = "CASE o_orderstatus WHEN 'P' THEN 0 WHEN 'O' THEN 1 ELSE 2 END"
+    progress = f"CASE WHEN o_totalprice > 250000 THEN {load - 1} ELSE 0 END"
+    return _as_feed(
+        _sent(joined, "CASE WHEN o_totalprice > 490000 THEN 2 ELSE 1 END"), "orders",
+        order_id="concat('O', o_orderkey)",
+        customer_id="concat('C', o_custkey)",
+        order_status=f"element_at(array('processing', 'shipped', 'DELIVERED'), ({start} + {progress}) % 3 + 1)",
+        order_purchase_timestamp="o_orderdate",
+        order_approved_at="o_orderdate + INTERVAL 1 DAY",
+        order_delivered_carrier_date="first_ship",
+        order_delivered_customer_date="last_ship",
+        order_estimated_delivery_date="o_orderdate + INTERVAL 30 DAYS",
     )
 
 
-def _noun() -> Column:
-    return F.split_part("p_name", F.lit(" "), F.lit(2))
+def _noun() -> str:
+    return "split_part(p_name, ' ', 2)"
 
 
-def _category() -> Column:
-    return F.concat(F.lower("p_type"), F.lit("_"), _noun())
+def _category() -> str:
+    return f"concat(lower(p_type), '_', {_noun()})"
 
 
 def raw_products(spark: SparkSession, folder: str, load: int) -> DataFrame:
-    p = _read(spark, folder, "part")
+    parts = _read(spark, folder, "part")
     if load == 1:
-        p = p.filter(~((F.col("p_type") == "LARGE") & (F.col("p_size") >= 40)))
-    sent = _sent(p, F.when(F.col("p_size") == 49, 3).when(F.col("p_size") == 50, 2).otherwise(1))
-    heavier = F.when(F.col("p_retailprice") > 990, load - 1).otherwise(0)
-    return _as_feed(sent.select(
-        F.concat(F.lit("P"), "p_partkey").alias("product_id"),
-        F.when(F.col("p_size") != 13, _category()).alias("product_category_name"),
-        F.length("p_name").alias("product_name_lenght"),
-        (F.col("p_size") * 10).alias("product_description_lenght"),
-        (F.col("p_size") % 5).alias("product_photos_qty"),
-        (F.col("p_size") * 100 + heavier).alias("product_weight_g"),
-        (F.col("p_size") + F.lit(0.5)).alias("product_length_cm"),
-        (F.col("p_size") / F.lit(2.0)).alias("product_height_cm"),
-        F.col("p_retailprice").alias("product_width_cm"),
-    ), "products")
+        parts = parts.filter("NOT (p_type = 'LARGE' AND p_size >= 40)")
+    return _as_feed(
+        _sent(parts, "CASE p_size WHEN 49 THEN 3 WHEN 50 THEN 2 ELSE 1 END"), "products",
+        product_id="concat('P', p_partkey)",
+        product_category_name=f"CASE WHEN p_size <> 13 THEN {_category()} END",
+        product_name_lenght="length(p_name)",
+        product_description_lenght="p_size * 10",
+        product_photos_qty="p_size % 5",
+        product_weight_g=f"p_size * 100 + CASE WHEN p_retailprice > 990 THEN {load - 1} ELSE 0 END",
+        product_length_cm="p_size + 0.5D",
+        product_height_cm="p_size / 2.0D",
+        product_width_cm="p_retailprice",
+    )
 
 
 def raw_translation(spark: SparkSession, folder: str, load: int) -> DataFrame:
     """Two types share one English name; one category has no translation."""
-    kind = F.when(F.col("p_type").isin("ECONOMY", "PROMO"), F.lit("budget")).otherwise(F.lower("p_type"))
-    p = _read(spark, folder, "part").select(
-        F.col("p_type"), _noun().alias("noun"), _category().alias("product_category_name"),
-        F.concat(_noun(), F.lit("_"), kind).alias("product_category_name_english"),
-    )
-    known = p.filter(~((F.col("p_type") == "MEDIUM") & (F.col("noun") == "rod")))
-    return _as_feed(known, "translation").distinct()
+    known = _read(spark, folder, "part").filter(f"NOT (p_type = 'MEDIUM' AND {_noun()} = 'rod')")
+    kind = "CASE WHEN p_type IN ('ECONOMY', 'PROMO') THEN 'budget' ELSE lower(p_type) END"
+    return _as_feed(
+        known, "translation",
+        product_category_name=_category(),
+        product_category_name_english=f"concat({_noun()}, '_', {kind})",
+    ).distinct()
 
 
 def raw_order_items(spark: SparkSession, folder: str, load: int) -> DataFrame:
     """Line items; the item number is derived from what tells an order's lines apart."""
     lines = _read(spark, folder, "lineitem")
     if load == 1:
-        lines = lines.filter(F.col("l_shipdate") < F.lit("2001-01-01").cast("timestamp_ntz"))
+        lines = lines.filter("l_shipdate < TIMESTAMP_NTZ'2001-01-01 00:00:00'")
     items = lines.groupBy("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").agg(
-        F.max("l_shipdate").alias("shipping_limit_date"),
+        F.max("l_shipdate").alias("shipped"),
         F.max("l_extendedprice").alias("price"),
         F.max("l_quantity").alias("quantity"),
     )
-    dearer = F.when(F.col("l_linenumber") == 7, load - 1).otherwise(0)
-    return _as_feed(items.select(
-        F.concat(F.lit("O"), "l_orderkey").alias("order_id"),
-        hash_key(F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")).alias("order_item_id"),
-        F.concat(F.lit("P"), "l_partkey").alias("product_id"),
-        F.concat(F.lit("S"), "l_suppkey").alias("seller_id"),
-        "shipping_limit_date",
-        "price",
-        (F.col("quantity") + dearer).alias("freight_value"),
-    ), "order_items")
+    return _as_feed(
+        items, "order_items",
+        order_id="concat('O', l_orderkey)",
+        order_item_id=hash_key("l_partkey", "l_suppkey", "l_linenumber"),
+        product_id="concat('P', l_partkey)",
+        seller_id="concat('S', l_suppkey)",
+        shipping_limit_date="shipped",
+        freight_value=f"quantity + CASE WHEN l_linenumber = 7 THEN {load - 1} ELSE 0 END",
+    )
 
 
 def raw_payments(spark: SparkSession, folder: str, load: int) -> DataFrame:
     orders = _orders_of_load(spark, folder, load)
-    parts = F.when(F.col("o_totalprice") > 250000, 2).otherwise(1)
-    numbered = orders.select("*", F.explode(F.sequence(F.lit(1), parts)).alias("payment_sequential"))
-    return _as_feed(numbered.select(
-        F.concat(F.lit("O"), "o_orderkey").alias("order_id"),
-        "payment_sequential",
-        F.translate(F.lower(F.substr("o_orderpriority", F.lit(3))), " ", "_").alias("payment_type"),
-        (F.col("o_custkey") % 12 + 1).alias("payment_installments"),
-        (F.col("o_totalprice") / parts).alias("payment_value"),
-    ), "payments")
+    parts = "CASE WHEN o_totalprice > 250000 THEN 2 ELSE 1 END"
+    return _as_feed(
+        _sent(orders, parts), "payments",
+        order_id="concat('O', o_orderkey)",
+        payment_sequential="sent",
+        payment_type="translate(lower(substr(o_orderpriority, 3)), ' ', '_')",
+        payment_installments="o_custkey % 12 + 1",
+        payment_value=f"o_totalprice / {parts}",
+    )
 
 
 def raw_reviews(spark: SparkSession, folder: str, load: int) -> DataFrame:
     """Documents as reviews; equal texts get the same id, so copies are duplicates."""
     docs = _read(spark, folder, "documents")
     if load == 1:
-        docs = docs.filter(F.col("lang") != "fr")
-    r = docs.join(_read(spark, folder, "labels"), "doc_id", "left")
-    base = F.coalesce(1 + 4 * F.col("quality"), F.lit(3))
-    revised = F.when((F.col("lang") == "de") & (F.col("quality") == 0), load - 1).otherwise(0)
-    written = F.expr(
-        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, cast(doc_id as decimal(18,6)))"
+        docs = docs.filter("lang <> 'fr'")
+    written = "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, cast(doc_id AS decimal(18, 6)))"
+    return _as_feed(
+        docs.join(_read(spark, folder, "labels"), "doc_id", "left"), "reviews",
+        review_id="md5(text)",
+        order_id="concat('O', doc_id)",
+        review_score="coalesce(1 + 4 * quality, 3)"
+        f" + CASE WHEN lang = 'de' AND quality = 0 THEN {load - 1} ELSE 0 END",
+        review_comment_title="CASE WHEN source <> 'src7' THEN concat(lang, ' ', source) END",
+        review_comment_message="CASE WHEN coalesce(toxic, 0) <> 1 THEN text END",
+        review_creation_date=written,
+        review_answer_timestamp=f"{written} + INTERVAL 36 HOURS",
     )
-    return _as_feed(r.select(
-        F.md5("text").alias("review_id"),
-        F.concat(F.lit("O"), "doc_id").alias("order_id"),
-        (base + revised).alias("review_score"),
-        F.when(F.col("source") != "src7", F.concat("lang", F.lit(" "), "source")).alias("review_comment_title"),
-        F.when(F.coalesce("toxic", F.lit(0)) != 1, F.col("text")).alias("review_comment_message"),
-        written.alias("review_creation_date"),
-        (written + F.expr("interval 36 hours")).alias("review_answer_timestamp"),
-    ), "reviews")
 
 
 FEEDS = {
