@@ -38,6 +38,9 @@ class Chain:
     def _kept(self, df: DataFrame, name: str) -> DataFrame:
         return self._keep(df, name) if self._keep else df
 
+    def _keeper(self, n: int):
+        return (lambda df, name: self._keep(df, f"{name}-{n}")) if self._keep else None
+
     def prepared(self, feed: str, n: int) -> DataFrame:
         def make():
             translation = None
@@ -57,21 +60,27 @@ class Chain:
         return self._once(
             ("staged kept", table, n), lambda: self._kept(self.staged(table, n), f"{table}-{n}"))
 
-    def source(self, table: str, n: int) -> DataFrame:
-        """The rows that load ``n`` merges into a vault table."""
+    def business(self, table: str, n: int) -> DataFrame:
+        """The staging rows that load ``n`` brings to a vault table."""
         job = vault.JOBS[table]
+        return self._once(("business", table, n), lambda: vault.business_rows(
+            job, self.staged_kept(job.source, n), self._keeper(n)))
+
+    def missing(self, table: str, n: int) -> dict[str, DataFrame]:
+        job, parents = vault.JOBS[table], vault.TABLES[table].parents
 
         def make():
-            parents = vault.TABLES[table].parents
-            hubs = {
-                parents[c]: self.vault_kept(parents[c], n)
-                for c in vault.checked_references(job, self._strict)
-            }
-            keep = (lambda df, name: self._kept(df, f"{name}-{n}")) if self._keep else None
-            return vault.source_rows(
-                job, self.staged_kept(job.source, n), hubs, self.load_ts(n), self.load_src,
-                self._strict, keep)
-        return self._once(("source", table, n), make)
+            checked = vault.checked_references(job, self._strict)
+            hubs = {parents[c]: self.vault_kept(parents[c], n) for c in checked}
+            return vault.missing_references(
+                job, self.business(table, n), hubs, self._strict, self._keeper(n))
+        return self._once(("missing", table, n), make)
+
+    def source(self, table: str, n: int) -> DataFrame:
+        """The rows that load ``n`` merges into a vault table."""
+        return self._once(("source", table, n), lambda: vault.source_rows(
+            vault.JOBS[table], self.business(table, n), self.missing(table, n),
+            self.load_ts(n), self.load_src))
 
     def vault(self, table: str, n: int, close: str = CLOSE_OPEN_ONLY) -> DataFrame:
         """A vault table after load ``n``."""

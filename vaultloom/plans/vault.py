@@ -177,32 +177,35 @@ def checked_references(job: Job, strict: bool) -> tuple[str, ...]:
     return tuple(TABLES[job.table].parents) if strict else job.foreign
 
 
-def source_rows(
+def missing_references(
     job: Job,
-    staged: DataFrame,
+    rows: DataFrame,
     hubs: Mapping[str, DataFrame],
-    load_ts: str,
-    load_src: str,
     strict: bool = False,
     keep: Keep | None = None,
-) -> DataFrame:
-    """The rows the job merges: complete, with every reference in its hub.
+) -> dict[str, DataFrame]:
+    """Orphan keys per checked reference of the business rows.
 
     ``keep`` may write a DataFrame under a name and read it back. Orphan keys
     are usually few; once written their size is known, and the planner
     broadcasts them instead of moving the wide rows.
     """
-    rows = business_rows(job, staged, keep)
-    whole = rows
-    for column in checked_references(job, strict):
-        missing = orphans(job, whole, column, hubs)
-        if keep is not None:
-            missing = keep(missing, f"{job.table}.{column}")
+    found = {c: orphans(job, rows, c, hubs) for c in checked_references(job, strict)}
+    if keep is None:
+        return found
+    return {c: keep(df, f"{job.table}.{c}") for c, df in found.items()}
+
+
+def source_rows(
+    job: Job, rows: DataFrame, missing: Mapping[str, DataFrame], load_ts: str, load_src: str
+) -> DataFrame:
+    """The rows the job merges: business rows whose references are in their hubs."""
+    for column, orphan_keys in missing.items():
         ref = job.refs[column]
         if ref.nullable:
-            rows = anti_join_null_safe(rows, missing, ref.columns)
+            rows = anti_join_null_safe(rows, orphan_keys, ref.columns)
         else:
-            rows = rows.join(missing, list(ref.columns), "left_anti")
+            rows = rows.join(orphan_keys, list(ref.columns), "left_anti")
     return finished_rows(job, rows, load_ts, load_src)
 
 
@@ -218,33 +221,28 @@ def finished_rows(job: Job, rows: DataFrame, load_ts: str, load_src: str) -> Dat
         *[made.get(c, c) for c in present], *merge.audit_columns(load_ts, load_src))
 
 
-def rejected_rows(
-    job: Job, staged: DataFrame, hubs: Mapping[str, DataFrame], strict: bool = False
-) -> DataFrame:
+def rejected_rows(job: Job, staged: DataFrame, missing: Mapping[str, DataFrame]) -> DataFrame:
     """What the job leaves out, as (table, reason, row): rows that lack a required
     value, and rows that refer to a key its hub does not hold."""
     needed = {c for ref in job.refs.values() for c in ref.columns} | set(job.values.values())
     rows = (staged.filter(job.where) if job.where else staged).select(*sorted(needed))
     required = required_inputs(job)
+    complete = quality.complete_rows(rows, required)
     found = []
     if required:
         incomplete = quality.null_violations(rows, required)
         found.append((incomplete, "concat('missing ', null_columns)"))
-    complete = quality.complete_rows(rows, required)
-    for column in checked_references(job, strict):
-        missing = orphans(job, complete, column, hubs)
+    for column, orphan_keys in missing.items():
         columns = list(job.refs[column].columns)
         reason = f"'no {TABLES[job.table].parents[column]} row'"
-        found.append((complete.join(missing, columns, "left_semi"), reason))
+        found.append((complete.join(orphan_keys, columns, "left_semi"), reason))
+    if not found:
+        found.append((rows.filter("false"), "''"))
     row = f"to_json(struct({', '.join(sorted(needed))}), map('ignoreNullFields', 'false')) AS row"
-    described = [
+    return reduce(DataFrame.unionByName, [
         df.selectExpr(f"'{job.table}' AS table_name", f"{reason} AS reason", row)
         for df, reason in found
-    ]
-    if not described:
-        described = [rows.filter("false").selectExpr(
-            f"'{job.table}' AS table_name", "'' AS reason", row)]
-    return reduce(DataFrame.unionByName, described)
+    ])
 
 
 def load_table(

@@ -231,13 +231,12 @@ def dq_merge_ambiguity(spark, folder):
 def vault_rejects(spark, folder):
     """Rows of the second load that links leave out, with the reason."""
     c = chain(spark, folder, kept=True)
-    found = []
-    for table in ("l_order_customer", "l_review_order"):
-        job = vault.JOBS[table]
-        hubs = {vault.TABLES[table].parents[f]: c.vault_kept(vault.TABLES[table].parents[f], 2)
-                for f in job.foreign}
-        found.append(vault.rejected_rows(job, c.staged_kept(job.source, 2), hubs))
-    return found[0].unionByName(found[1]).select("table_name", "reason", "row")
+    found = [
+        vault.rejected_rows(
+            vault.JOBS[t], c.staged_kept(vault.JOBS[t].source, 2), c.missing(t, 2))
+        for t in ("l_order_customer", "l_review_order")
+    ]
+    return found[0].unionByName(found[1])
 
 
 # The load --------------------------------------------------------------------
