@@ -15,8 +15,7 @@ def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def merge_ambiguity(source: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
     """Merge keys that several source rows share; such a merge has no one answer."""
-    matching = source if null_safe else source.dropna(subset=list(keys))
-    return key_violations(matching, keys)
+    return key_violations(source if null_safe else complete_rows(source, keys), keys)
 
 
 def null_violations(df: DataFrame, required: Sequence[str]) -> DataFrame:
@@ -27,7 +26,10 @@ def null_violations(df: DataFrame, required: Sequence[str]) -> DataFrame:
 
 
 def complete_rows(df: DataFrame, required: Sequence[str]) -> DataFrame:
-    return df.dropna(subset=list(required)) if required else df
+    """Rows without a NULL in the columns; unlike ``dropna`` this reaches the scan."""
+    if not required:
+        return df
+    return df.filter(" AND ".join(f"{c} IS NOT NULL" for c in required))
 
 
 def orphan_keys(df: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
