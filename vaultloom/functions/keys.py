@@ -27,5 +27,11 @@ def hex_key(*columns: str) -> str:
 
 
 def hash_key(*columns: str, digits: int = KEY_HEX_DIGITS) -> str:
-    """Bigint key over the columns."""
-    return f"cast(conv(substr({hex_key(*columns)}, 1, {digits}), 16, 10) as bigint)"
+    """Bigint key over the columns.
+
+    A digest is never NULL, but ``conv`` is declared nullable; the ``coalesce``
+    says so to the planner, which would otherwise add a NULL test, and with it a
+    second digest per row, below every join on the key.
+    """
+    key = f"cast(conv(substr({hex_key(*columns)}, 1, {digits}), 16, 10) as bigint)"
+    return f"coalesce({key}, 0L)"

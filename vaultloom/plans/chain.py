@@ -8,6 +8,7 @@ in a real load: that cuts the lineage and tells the planner their sizes.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -71,11 +72,23 @@ class Chain:
 
         def make():
             checked = vault.checked_references(job, self._strict)
-            hubs = {parents[c]: self.vault_kept(parents[c], n) for c in checked}
-            return vault.missing_references(
-                job, self.business(table, n), hubs, self._strict, self._keeper(n))
+            self._stage_together({job.source, *(vault.JOBS[parents[c]].source for c in checked)}, n)
+            hubs = {parents[c]: self.vault(parents[c], n) for c in checked}
+            found = vault.missing_references(job, self.business(table, n), hubs, self._strict)
+            keep = self._keeper(n)
+            if not (keep and found):
+                return found
+            with ThreadPoolExecutor(len(found)) as pool:
+                return dict(zip(found, pool.map(
+                    lambda c: keep(found[c], f"{table}.{c}"), found), strict=True))
         return self._once(("missing", table, n), make)
 
+    def _stage_together(self, tables: set[str], n: int) -> None:
+        """Write independent staging tables at the same time, as a load does."""
+        if self._keep and len(tables) > 1:
+            with ThreadPoolExecutor(len(tables)) as pool:
+                list(pool.map(lambda t: self.staged_kept(t, n), sorted(tables)))
+
     def source(self, table: str, n: int) -> DataFrame:
         """The rows that load ``n`` merges into a vault table."""
         return self._once(("source", table, n), lambda: vault.source_rows(
@@ -84,13 +97,20 @@ class Chain:
 
     def vault(self, table: str, n: int, close: str = CLOSE_OPEN_ONLY) -> DataFrame:
         """A vault table after load ``n``."""
+        job = vault.JOBS[table]
+
         def make():
-            before = self.vault_kept(table, n - 1, close) if n > 1 else None
-            return vault.load_table(
-                vault.JOBS[table], before, self.source(table, n), self.load_ts(n), close)
+            source = self.source(table, n)  # first: it stages all drops side by side
+            before = self._before(job, n, close) if n > 1 else None
+            return vault.load_table(job, before, source, self.load_ts(n), close)
         return self._once(("vault", table, n, close), make)
 
-    def vault_kept(self, table: str, n: int, close: str = CLOSE_OPEN_ONLY) -> DataFrame:
+    def _before(self, job: vault.Job, n: int, close: str) -> DataFrame:
+        """The state before load ``n``. A history reads it twice (open and closed
+        rows), so it is kept; an upsert reads its target once."""
+        state = self.vault(job.table, n - 1, close)
+        if job.mode != vault.HISTORY:
+            return state
         return self._once(
-            ("vault kept", table, n, close),
-            lambda: self._kept(self.vault(table, n, close), f"{table}-{n}-{close}"))
+            ("before", job.table, n, close),
+            lambda: self._kept(state, f"{job.table}-{n - 1}-{close}"))

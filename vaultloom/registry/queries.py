@@ -244,12 +244,12 @@ def full_load(spark, folder):
     """Each order's current status with its customer and their current zip code,
     from the vault after two loads."""
     c = chain(spark, folder, kept=True)
+    links = c.vault("l_order_customer", 2).selectExpr("order_id AS id", "customer_id")
     statuses = history.open_rows(c.vault("sat_order_statuses", 2)).selectExpr(
         "order_id AS id", "order_status", "valid_from AS status_since")
     places = history.open_rows(c.vault("sat_customers_geolocation", 2)).selectExpr(
         "customer_id", "zip_code", "valid_from AS zip_since")
-    orders = c.vault_kept("hub_orders", 2).select("id", "order_id")
-    links = c.vault("l_order_customer", 2).selectExpr("order_id AS id", "customer_id")
+    orders = c.vault("hub_orders", 2).select("id", "order_id")
     return (
         orders.join(statuses, "id").join(links, "id").join(places, "customer_id")
         .select("order_id", "order_status", "status_since", "customer_id", "zip_code", "zip_since")
