@@ -7,11 +7,12 @@ in a real load: that cuts the lineage and tells the planner their sizes.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
+from vaultloom.operators.dedup import duplicate_keys
 from vaultloom.operators.history import CLOSE_OPEN_ONLY
 from vaultloom.plans import prep, staging, vault
 
@@ -43,23 +44,30 @@ class Chain:
         return (lambda df, name: self._keep(df, f"{name}-{n}")) if self._keep else None
 
     def prepared(self, feed: str, n: int) -> DataFrame:
+        """Cleaned drop ``n`` of a feed. Duplicated keys and the translation are
+        kept: both are small beside the rows they meet."""
         def make():
-            translation = None
+            raw, keys, translation, duplicates = self._feed(feed, n), prep.DEDUP_KEYS.get(feed), None, None
             if feed == "products":
                 translation = self._kept(self._feed("translation", n), f"translation-{n}")
-            return prep.prepare(feed, self._feed(feed, n), translation)
+            if keys and self._keep:
+                duplicates = self._keep(duplicate_keys(raw, keys), f"duplicates.{feed}-{n}")
+            return prep.prepare(feed, raw, translation, duplicates)
         return self._once(("prepared", feed, n), make)
 
     def staged(self, table: str, n: int) -> DataFrame:
         """The staging table after drop ``n``."""
         def make():
-            before = self.staged_kept(table, n - 1) if n > 1 else None
+            before = self.staged(table, n - 1) if n > 1 else None
             return staging.load_staging(table, before, self.prepared(table, n))
         return self._once(("staged", table, n), make)
 
     def staged_kept(self, table: str, n: int) -> DataFrame:
-        return self._once(
-            ("staged kept", table, n), lambda: self._kept(self.staged(table, n), f"{table}-{n}"))
+        def make():
+            before = self.staged_kept(table, n - 1) if n > 1 else None
+            state = staging.load_staging(table, before, self.prepared(table, n))
+            return self._kept(state, f"{table}-{n}")
+        return self._once(("staged kept", table, n), make)
 
     def business(self, table: str, n: int) -> DataFrame:
         """The staging rows that load ``n`` brings to a vault table."""
@@ -72,7 +80,7 @@ class Chain:
 
         def make():
             checked = vault.checked_references(job, self._strict)
-            self._stage_together({job.source, *(vault.JOBS[parents[c]].source for c in checked)}, n)
+            self.stage_together({job.source, *(vault.JOBS[parents[c]].source for c in checked)}, n)
             hubs = {parents[c]: self.vault(parents[c], n) for c in checked}
             found = vault.missing_references(job, self.business(table, n), hubs, self._strict)
             keep = self._keeper(n)
@@ -83,7 +91,7 @@ class Chain:
                     lambda c: keep(found[c], f"{table}.{c}"), found), strict=True))
         return self._once(("missing", table, n), make)
 
-    def _stage_together(self, tables: set[str], n: int) -> None:
+    def stage_together(self, tables: Collection[str], n: int) -> None:
         """Write independent staging tables at the same time, as a load does."""
         if self._keep and len(tables) > 1:
             with ThreadPoolExecutor(len(tables)) as pool:

@@ -21,6 +21,9 @@ from vaultloom.sources.tables import RAW_FEEDS, TABLES
 from vaultloom.sources.warehouse import REJECTS, Load, Warehouse
 
 FEED_FILES = {feed: f"{feed}.csv" for feed in RAW_FEEDS}
+# Feeds with free text, which may hold line breaks. Such files cannot be split
+# among tasks, so the others are read line by line.
+MULTILINE_FEEDS = frozenset({"reviews"})
 
 
 class LoadError(Exception):
@@ -38,11 +41,12 @@ class Settings:
 
 
 def read_feeds(
-    spark: SparkSession, folder: str, files: Mapping[str, str] = FEED_FILES, multiline: bool = True
+    spark: SparkSession, folder: str, files: Mapping[str, str] = FEED_FILES
 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """(typed rows, rejects) of every raw CSV file of a folder."""
     scans = {
-        feed: csv_files.csv_scan(spark, f"{folder}/{name}", RAW_FEEDS[feed], multiline=multiline)
+        feed: csv_files.csv_scan(
+            spark, f"{folder}/{name}", RAW_FEEDS[feed], multiline=feed in MULTILINE_FEEDS)
         for feed, name in files.items()
     }
     return {f: s[0] for f, s in scans.items()}, {f: s[1] for f, s in scans.items()}
@@ -57,7 +61,8 @@ def write_prepared(prepared: Mapping[str, DataFrame], folder: str) -> None:
 def read_prepared(spark: SparkSession, folder: str) -> tuple[dict, dict]:
     """(good rows, rejects) of prepared CSV folders."""
     loads = {
-        t: csv_files.typed_load(spark, f"{folder}/{t}", TABLES[t].plain_schema)
+        t: csv_files.typed_load(
+            spark, f"{folder}/{t}", TABLES[t].plain_schema, multiline=t in MULTILINE_FEEDS)
         for t in staging.STAGING_TABLES
     }
     return {t: pair[0] for t, pair in loads.items()}, {t: pair[1] for t, pair in loads.items()}

@@ -1,7 +1,7 @@
 """One query per job and operator. Each takes (session, data folder).
 
-Vault tables are shown after two loads (histories after three). Queries whose
-rows are checked against hubs keep shared states in written tables.
+Vault tables are shown after two loads (histories after three). States that
+several steps read go through written tables, as in a real load.
 """
 
 from __future__ import annotations
@@ -31,12 +31,11 @@ def load_ts(n: int) -> str:
     return f"2024-01-{n:02d} 01:00:00"
 
 
-def chain(spark: SparkSession, folder: str, kept: bool = False) -> Chain:
-    keep = None
-    if kept:
-        scratch = scratch_folder(spark)
-        keep = lambda df, name: written(df, scratch, name)
-    return Chain(lambda feed, n: raw_feed(spark, folder, feed, n), load_ts, LOAD_SRC, keep=keep)
+def chain(spark: SparkSession, folder: str) -> Chain:
+    scratch = scratch_folder(spark)
+    return Chain(
+        lambda feed, n: raw_feed(spark, folder, feed, n), load_ts, LOAD_SRC,
+        keep=lambda df, name: written(df, scratch, name))
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -88,8 +87,9 @@ def typed_load_rejects(spark, folder):
 def load_counts(spark, folder):
     """Rows of every staging table after two loads."""
     c = chain(spark, folder)
+    c.stage_together(staging.STAGING_TABLES, 2)
     counts = [
-        c.staged(t, 2).agg(F.count(F.lit(1)).alias("row_count")).selectExpr(
+        c.staged_kept(t, 2).agg(F.count(F.lit(1)).alias("row_count")).selectExpr(
             f"'{t}' AS table_name", "row_count")
         for t in staging.STAGING_TABLES
     ]
@@ -107,8 +107,9 @@ def append_batch(spark, folder):
 
 # Operators -------------------------------------------------------------------
 def dedup_drop_all(spark, folder):
-    return dedup.drop_all_duplicates(
-        _table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
+    lines, keys = _table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"]
+    duplicates = written(dedup.duplicate_keys(lines, keys), scratch_folder(spark), "duplicates")
+    return dedup.drop_all_duplicates(lines, keys, duplicates)
 
 
 def union_all(spark, folder):
@@ -230,7 +231,7 @@ def dq_merge_ambiguity(spark, folder):
 
 def vault_rejects(spark, folder):
     """Rows of the second load that links leave out, with the reason."""
-    c = chain(spark, folder, kept=True)
+    c = chain(spark, folder)
     found = [
         vault.rejected_rows(
             vault.JOBS[t], c.staged_kept(vault.JOBS[t].source, 2), c.missing(t, 2))
@@ -243,7 +244,7 @@ def vault_rejects(spark, folder):
 def full_load(spark, folder):
     """Each order's current status with its customer and their current zip code,
     from the vault after two loads."""
-    c = chain(spark, folder, kept=True)
+    c = chain(spark, folder)
     links = c.vault("l_order_customer", 2).selectExpr("order_id AS id", "customer_id")
     statuses = history.open_rows(c.vault("sat_order_statuses", 2)).selectExpr(
         "order_id AS id", "order_status", "valid_from AS status_since")
@@ -257,17 +258,15 @@ def full_load(spark, folder):
 
 
 def _prep_query(feed: str) -> Query:
-    return lambda spark, folder: chain(spark, folder, kept=feed == "products").prepared(feed, 2)
+    return lambda spark, folder: chain(spark, folder).prepared(feed, 2)
 
 
 def _staging_query(table: str) -> Query:
-    return lambda spark, folder: chain(spark, folder, kept=table == "products").staged(table, 2)
+    return lambda spark, folder: chain(spark, folder).staged(table, 2)
 
 
 def _vault_query(table: str) -> Query:
-    job = vault.JOBS[table]
-    kept = bool(job.foreign)
-    return lambda spark, folder: chain(spark, folder, kept).vault(table, loads_shown(table))
+    return lambda spark, folder: chain(spark, folder).vault(table, loads_shown(table))
 
 
 _PREP_NAMES = {feed: f"prep_{feed}" for feed in RAW_FEEDS if feed != "translation"}
