@@ -186,3 +186,24 @@ def test_empty_tables_are_created_with_constraints(spark):
 
 def test_every_table_has_a_job():
     assert set(vault.JOBS) == {t.name for t in TABLES.values() if t.layer != "staging"}
+
+
+def test_announced_drops_are_loaded_once_and_in_order(spark, tmp_path):
+    from vaultloom.streaming.drops import load_drops
+
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    notes = tmp_path / "announced"
+    notes.mkdir()
+    settings = Settings("", "test-feeds")
+
+    def run(n, changes=None):
+        folder = write_drop(tmp_path / f"drop{n}", changes)
+        (notes / f"{n}.json").write_text(f'{{"load_ts": "2024-01-0{n} 01:00:00", "folder": "{folder}"}}')
+        load_drops(spark, wh, str(notes), str(tmp_path / "checkpoint"), settings).awaitTermination()
+
+    run(1)
+    run(2, {"orders": [f"o1,c1,shipped,{AT},{AT},{AT},{AT},{AT}"]})
+    assert wh.spark.read.json(f"{wh.root}/commits").count() == 2
+    statuses = wh.table("sat_order_statuses")
+    assert rows(statuses.filter("valid_to IS NOT NULL"), "order_status") == Counter([("Delivered",)])
+    assert rows(statuses.filter("valid_to IS NULL"), "order_status") == Counter([("Shipped",)] * 3)

@@ -1,9 +1,9 @@
 """Vault jobs as data: how each hub, link and satellite row comes from staging.
 
 A hub id is the hash of the business key, so a row's references are computed
-where the reference design would join the hub to look them up. The hub is needed
-only to prove that it holds the id, and only for references to another feed:
-a feed's own hub was loaded from the same staging rows just before.
+and no hub is joined to look them up. A hub is needed only to prove that it holds
+the id, and only for references to another feed: a feed's own hub was loaded from
+the same staging rows just before.
 """
 
 from __future__ import annotations
