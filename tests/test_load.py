@@ -167,6 +167,21 @@ def test_first_seen_keeps_the_first_audit_columns(spark, loaded, tmp_path):
     assert {r.load_dttm.day for r in wh.table("sat_order_details").collect()} == {2}
 
 
+def test_compaction_keeps_the_rows(spark, loaded, tmp_path):
+    good, _ = read_feeds(spark, loaded[6])
+    plain, compact = (Warehouse(spark, str(tmp_path / n)) for n in ("plain", "compact"))
+    for n in (1, 2):
+        moved = {**good, "customers": good["customers"].selectExpr(
+            "customer_id", "customer_unique_id", f"customer_zip_code_prefix + {n} AS customer_zip_code_prefix",
+            "customer_city", "customer_state")}
+        for wh, after in ((plain, 60), (compact, 1)):
+            run_load(spark, wh, moved, Settings(f"2024-01-0{n} 01:00:00", "x", compact_after=after))
+    assert all_rows(plain) == all_rows(compact)
+    folders = {wh: len(wh.snapshot().tables["sat_customers_geolocation"]) for wh in (plain, compact)}
+    assert folders == {plain: 2, compact: 1}
+    assert len(plain.snapshot().tables["hub_cities"]) == 1
+
+
 def test_prepared_files(spark, loaded, tmp_path):
     good, _ = read_feeds(spark, loaded[6])
     from vaultloom.plans.prep import prepare_all

@@ -34,10 +34,11 @@ class LoadError(Exception):
 class Settings:
     load_ts: str
     load_src: str
-    strict: bool = False  # prove every reference, look for collisions, allow no rejects
+    strict: bool = False  # enforce every declared rule and allow no rejects
     close: str = history.CLOSE_OPEN_ONLY
     first_seen: bool = False  # hubs keep the audit columns of a key's first load
     parallel_jobs: int = 8
+    compact_after: int = 60  # folders of a growing table, before it is rewritten as one
 
 
 def read_feeds(
@@ -120,26 +121,27 @@ def _load_job(load: Load, job: vault.Job, settings: Settings) -> DataFrame:
 
 
 def _merge(load: Load, job: vault.Job, source: DataFrame, settings: Settings) -> None:
-    table = TABLES[job.table]
-    if job.mode == vault.HISTORY and settings.close == history.CLOSE_OPEN_ONLY:
+    name, ts = job.table, settings.load_ts
+    grows = load.folders(name) < settings.compact_after
+    if job.mode == vault.HISTORY and settings.close == history.CLOSE_OPEN_ONLY and grows:
         # Only open rows are read; what they turn into is appended as one folder.
-        load.append(job.table, vault.load_table(
-            job, load.target(job.table), source, settings.load_ts))
+        load.append(name, vault.load_table(job, load.target(name), source, ts))
     elif job.mode == vault.HISTORY:
-        load.replace(job.table, vault.load_table(
-            job, load.whole_target(job.table), source, settings.load_ts, settings.close))
-    elif job.mode == vault.INSERT:
-        load.append(job.table, merge.new_rows(load.target(job.table), source, table.key))
+        whole = load.whole_target(name)
+        load.replace(name, vault.load_table(job, whole, source, ts, settings.close))
+    elif job.mode == vault.INSERT and grows:
+        load.append(name, merge.new_rows(load.target(name), source, TABLES[name].key))
     else:
-        load.replace(job.table, vault.load_table(
-            job, load.target(job.table), source, settings.load_ts,
-            first_seen=settings.first_seen))
+        load.replace(name, vault.load_table(
+            job, load.target(name), source, ts, first_seen=settings.first_seen))
 
 
 def _check_source(load: Load, job: vault.Job, source: DataFrame) -> None:
     table, target = TABLES[job.table], load.target(job.table)
     key = list(job.refs) if job.mode == vault.HISTORY else table.key
     _expect_none(quality.merge_ambiguity(source, key), f"{job.table}: several rows share a key")
+    lengths = {c: n for c, n in table.max_bytes.items() if c in source.columns}
+    _expect_none(quality.too_long(source, key, lengths), f"{job.table}: a text is too long")
     business = list(job.values)
     if table.layer == "hub" and business:
         both = source if target is None else source.unionByName(target.select(*source.columns))

@@ -152,7 +152,17 @@ class Load:
         self._new[name] = [self._write(name, df)]
 
     def append(self, name: str, delta: DataFrame) -> None:
-        self._new[name] = [*self.base.tables.get(name, []), self._write(name, delta)]
+        """Add a folder; an empty delta of an insert-only table adds none. The
+        last folder of a history holds its open rows, so it always counts."""
+        before, path = self.base.tables.get(name, []), self._write(name, delta)
+        if before and not self.row_counts[name] and not _is_history(name):
+            self._new[name] = before
+        else:
+            self._new[name] = [*before, path]
+
+    def folders(self, name: str) -> int:
+        """How many folders the table had before this load."""
+        return len(self.base.tables.get(name, []))
 
     def _write(self, name: str, df: DataFrame) -> str:
         folder = f"{self.load_id}_{self._attempt}"
