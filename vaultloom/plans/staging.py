@@ -25,7 +25,10 @@ def conform(table: str, prepared: DataFrame) -> DataFrame:
 def _typed(f: StructField) -> str:
     value = f.name
     if isinstance(f.dataType, TimestampNTZType):
-        value = f"date_trunc('second', {f.name} + interval 500 milliseconds)"
+        # Not date_trunc: it goes through the session's time zone, where some
+        # local times do not exist.
+        later = f"({f.name} + interval 500 milliseconds)"
+        value = f"{later} - make_dt_interval(0, 0, 0, extract(SECOND FROM {later}) % 1)"
     return f"cast({value} as {f.dataType.simpleString()}) AS {f.name}"
 
 
