@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultloom.llm.common import WORD_BREAK, keyed_texts, python_tasks, table
+from vaultloom.llm.common import WORD_BREAK, python_tasks, stored_rows, table
 from vaultloom.sources.scratch import scratch_folder, written
 
 LENGTHS = (512, 1024, 2048, 4096)
@@ -115,7 +115,7 @@ def best_fit(docs: DataFrame, permitted: tuple[int, ...] = LENGTHS, overhead: in
 
 def sequences(docs: DataFrame, permitted: tuple[int, ...] = LENGTHS, overhead: int = OVERHEAD) -> DataFrame:
     """(bin_id, bin_length, n_words, texts): the packed sequences, pieces in order."""
-    rows = keyed_texts(docs).withColumn("text", F.col("text").cast("string"))
+    rows = stored_rows(docs)
     rows_packed = assigned(rows, permitted, overhead).filter("bin_id IS NOT NULL").drop("doc_id")
     words = rows.select("row", F.filter(F.split("text", WORD_BREAK), lambda w: w != "").alias("w"))
     return rows_packed.join(words, "row").select(
