@@ -7,15 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from vaultloom.llm import (
-    classlm, decontaminate, langid, line_dedup, packing, recompression, simhash, suffix_dedup, warc)
+    classlm, decontaminate, langid, line_dedup, packing, recompression, simhash, suffix_dedup,
+    vector_dedup, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def llm_queries() -> dict[str, Query]:
     found = [
-        suffix_dedup.op1_suffix_dedup, recompression.op2_recompression, warc.op3_warc, line_dedup.op4_line_dedup, simhash.op5_simhash, langid.op6_langid,
-        packing.op7_packing, classlm.op9_classlm, decontaminate.op10_decontaminate]
+        suffix_dedup.op1_suffix_dedup, recompression.op2_recompression, warc.op3_warc,
+        line_dedup.op4_line_dedup, simhash.op5_simhash, langid.op6_langid, packing.op7_packing,
+        vector_dedup.op8_vector_dedup, classlm.op9_classlm, decontaminate.op10_decontaminate]
     return {f.__name__: f for f in found}
 
 
