@@ -16,18 +16,18 @@ from vaultloom.sources.scratch import scratch_folder, written
 MOST_STEPS = 200
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, folder: str, name: str) -> DataFrame:
     """Larger neighbours of each node move to the node's least neighbour."""
     both = edges.select("a", "b").unionByName(edges.selectExpr("b AS a", "a AS b"))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
+    least = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least")), folder, f"{name}l")
     return (both.join(least, "a").filter("b > a").selectExpr("b AS a", "least AS b")
             .filter("a <> b").distinct())
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, folder: str, name: str) -> DataFrame:
     """Smaller neighbours of each node, and the node, move to the least of them."""
-    down = edges.selectExpr("greatest(a, b) AS a", "least(a, b) AS b")
-    least = down.groupBy("a").agg(F.min("b").alias("least"))
+    down = written(edges.selectExpr("greatest(a, b) AS a", "least(a, b) AS b"), folder, f"{name}d")
+    least = written(down.groupBy("a").agg(F.min("b").alias("least")), folder, f"{name}s")
     moved = down.join(least, "a").filter("b <> least").selectExpr("b AS a", "least AS b")
     return moved.unionByName(least.selectExpr("a", "least AS b")).distinct()
 
@@ -42,7 +42,8 @@ def components(edges: DataFrame) -> DataFrame:
     now = written(edges.filter("a <> b").distinct(), folder, "edges")
     seen = None
     for step in range(MOST_STEPS):
-        now = written(_small_star(_large_star(now)), folder, f"step{step}")
+        now = written(
+            _small_star(_large_star(now, folder, f"{step}"), folder, f"{step}"), folder, f"{step}")
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == seen:
             return now.selectExpr("a AS node", "b AS root").unionByName(

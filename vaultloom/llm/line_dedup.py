@@ -44,11 +44,12 @@ def _windows(rows: DataFrame, lines: int) -> DataFrame:
 
 def removed_lines(rows: DataFrame, lines: int = WINDOW_LINES) -> DataFrame:
     """(row, starts): first lines of the windows of each stored row that are removed."""
-    windows = written(_windows(rows, lines), scratch_folder(rows.sparkSession), "windows")
+    folder = scratch_folder(rows.sparkSession)
+    windows = written(_windows(rows, lines), folder, "windows")
     place = F.struct("doc_id", "row", "at")
-    repeated = (
+    repeated = written(
         windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-        .filter("n > 1").select("h1", "h2", "first"))
+        .filter("n > 1").select("h1", "h2", "first"), folder, "repeated")
     later = windows.join(repeated, ["h1", "h2"]).filter(
         ~(F.col("first.row").eqNullSafe(F.col("row")) & (F.col("first.at") == F.col("at"))))
     return later.select("row", "at").groupBy("row").agg(F.collect_list("at").alias("starts"))

@@ -107,7 +107,8 @@ def close_links(fps: DataFrame) -> DataFrame:
         "fp", "k.part", "k.block")
     points_near = (f"concat(array(fp), transform(element_at(array({', '.join(flips)}), part + 1),"
                    " f -> fp ^ f))")
-    sizes = blocked.groupBy("part", "block").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    sizes = written(blocked.groupBy("part", "block").agg(
+        F.count(F.lit(1)).alias("members")).filter("members > 1"), folder, "sizes")
     met = written(blocked.join(sizes, ["part", "block"]), folder, "met")
     few = met.filter(F.col("members") <= PAIRED)
     pairs = (
@@ -136,7 +137,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> Data
     distinct = written(
         found.groupBy("fp").agg(F.min("doc_id").alias("first_id")), folder, "distinct")
     rooted = written(_rooted(distinct.select("fp")).join(distinct, "fp"), folder, "rooted")
-    firsts = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    firsts = written(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), folder, "firsts")
     names = rooted.join(firsts, "root").select("fp", "component_id")
     return found.join(names, "fp").select("doc_id", "fp", "component_id")
 

@@ -59,10 +59,11 @@ def with_record_types(pages: DataFrame, least_revisit: int = LEAST_REVISIT) -> D
         F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload")).select(
         "*", F.sha1("payload").alias("digest"),
         F.unhex(F.sha2("payload", 256)).alias("content"))
-    copied = (
+    copied = written(
         rows.filter(F.length("payload") >= least_revisit).groupBy("content")
         .agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("copies"))
-        .filter("copies > 1 AND first IS NOT NULL").select("content", "first"))
+        .filter("copies > 1 AND first IS NOT NULL").select("content", "first"),
+        scratch_folder(pages.sparkSession), "copied")
     return rows.join(copied, "content", "left").select(
         "page_id", "url", "payload", "digest",
         F.expr("CASE WHEN first <=> page_id THEN NULL ELSE first END").alias("refers_to"))

@@ -170,10 +170,12 @@ def repeated_windows(texts: DataFrame, units: Units) -> DataFrame:
         return rows.mapInArrow(run, ", ".join(f"{c} binary" if c == "span" else f"{c} long" for c in schema.split()))
 
     anchors = written(mapped(texts.select("row", "packed"), _anchor_rows(units), "key full row at"), folder, "anchors")
-    groups = anchors.groupBy("key").agg(
+    # counts are written before they are joined: then both sides of the join are plain
+    # exchanges, which the planner may split where a key is hot
+    groups = written(anchors.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min("full").alias("a"), F.max("full").alias("b")).filter("n > 1")
-    shared = written(
-        anchors.join(groups.selectExpr("key", "a = b AS same"), "key"), folder, "shared")
+        .selectExpr("key", "a = b AS same"), folder, "groups")
+    shared = written(anchors.join(groups, "key"), folder, "shared")
     other = shared.filter("NOT same").select("key", "full", "row", "at")
     place = F.struct("row", "at")
     classes = written(
@@ -188,10 +190,11 @@ def repeated_windows(texts: DataFrame, units: Units) -> DataFrame:
         folder, "spans")
     blocks = written(mapped(spans, _blocks(units), "key block core whole row at first last"), folder, "blocks")
     by = ["key", "block", "core"]
-    alike = blocks.groupBy(*by).agg(
+    alike = written(blocks.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.min("whole").alias("a"), F.max("whole").alias("b")).filter("n > 1")
+        .selectExpr(*by, "a = b AS same"), folder, "alike")
     judged = written(
-        blocks.drop("whole").join(alike.selectExpr(*by, "a = b AS same"), by)
+        blocks.drop("whole").join(alike, by)
         .select("key", "row", "at", "first", "last", "same"), folder, "judged")
     left = judged.filter("NOT same").groupBy("key", "row", "at").agg(
         F.collect_list(F.struct("first", "last")).alias("blocks"))
@@ -199,7 +202,8 @@ def repeated_windows(texts: DataFrame, units: Units) -> DataFrame:
         spans.join(left, ["key", "row", "at"]).select("key", "row", "at", "span", "blocks"), _singles(units),
         "key offset hash row first"), folder, "singles")
     by = ["key", "offset", "hash"]
-    twice = singles.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*by)
+    twice = written(
+        singles.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*by), folder, "twice")
 
     found = judged.filter("same").select("row", "first", "last").unionByName(
         singles.join(twice, by).select("row", "first", F.col("first").alias("last")))
