@@ -1,8 +1,10 @@
 """The whole load on small hand-written CSV drops."""
 
+import json
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from vaultloom.plans import pipeline, vault
 from vaultloom.plans.pipeline import LoadError, Settings, read_feeds, run_load
@@ -174,8 +176,9 @@ def test_compaction_keeps_the_rows(spark, loaded, tmp_path):
         moved = {**good, "customers": good["customers"].selectExpr(
             "customer_id", "customer_unique_id", f"customer_zip_code_prefix + {n} AS customer_zip_code_prefix",
             "customer_city", "customer_state")}
-        for wh, after in ((plain, 60), (compact, 1)):
-            run_load(spark, wh, moved, Settings(f"2024-01-0{n} 01:00:00", "x", compact_after=after))
+        for wh in (plain, compact):
+            run_load(spark, wh, moved, Settings(f"2024-01-0{n} 01:00:00", "x"))
+    pipeline.compact(compact)
     assert all_rows(plain) == all_rows(compact)
     folders = {wh: len(wh.snapshot().tables["sat_customers_geolocation"]) for wh in (plain, compact)}
     assert folders == {plain: 2, compact: 1}
@@ -222,3 +225,59 @@ def test_announced_drops_are_loaded_once_and_in_order(spark, tmp_path):
     statuses = wh.table("sat_order_statuses")
     assert rows(statuses.filter("valid_to IS NOT NULL"), "order_status") == Counter([("Delivered",)])
     assert rows(statuses.filter("valid_to IS NULL"), "order_status") == Counter([("Shipped",)] * 3)
+
+
+def test_a_late_or_doubled_announcement_stops_the_stream(spark, tmp_path, feeds):
+    from vaultloom.streaming.drops import load_drops
+
+    def announce(n, *drops):
+        lines = [json.dumps({"load_ts": f"2024-01-0{d} 01:00:00", "folder": f"{tmp_path}/drop{f}"}) for d, f in drops]
+        (tmp_path / "news").mkdir(exist_ok=True)
+        (tmp_path / "news" / f"{n}.json").write_text("\n".join(lines))
+
+    def run(name):
+        wh = Warehouse(spark, str(tmp_path / name))
+        load_drops(spark, wh, str(tmp_path / "news"), str(tmp_path / f"{name}-mark"),
+                   Settings("", "x")).awaitTermination()
+
+    announce(1, (1, 1), (1, 2))
+    with pytest.raises(Exception, match="two folders"):
+        run("doubled")
+
+
+def test_null_keys_and_bad_cells_are_rejected(spark, tmp_path, feeds):
+    broken = dict(feeds)
+    broken["orders"] = feeds["orders"].unionByName(
+        feeds["orders"].limit(1).withColumn("order_id", F.lit(None).cast("string")))
+    cells = spark.createDataFrame([("O1", "zz", "price")], "order_id string, price string, bad_columns string")
+    wh = Warehouse(spark, str(tmp_path / "plain"))
+    run_load(spark, wh, broken, Settings("2024-01-01 01:00:00", "x"), {"order_items": cells})
+    found = {(r.table_name, r.reason) for r in wh.table(REJECTS).collect()}
+    assert ("orders", "missing order_id") in found and ("order_items", "bad cells price") in found
+    for c in ("review_comment_title", "review_comment_message"):
+        broken["reviews"] = broken["reviews"].withColumn(c, F.substring(c, 1, 9))
+    with pytest.raises(LoadError, match="rejected"):
+        run_load(spark, Warehouse(spark, str(tmp_path / "strict")), broken,
+                 Settings("2024-01-01 01:00:00", "x", strict=True), {"order_items": cells})
+
+
+def test_a_doubled_translation_fails_the_load(spark, tmp_path, feeds):
+    broken = {**feeds, "translation": feeds["translation"].unionByName(feeds["translation"])}
+    with pytest.raises(LoadError, match="translation"):
+        run_load(spark, Warehouse(spark, str(tmp_path)), broken, Settings("2024-01-01 01:00:00", "x"))
+
+
+def test_a_load_over_a_stale_base_is_refused(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+    first, second = wh.begin("2024-1-2"), wh.begin("2024-01-02 00:00:00")
+    assert first.load_id == second.load_id < wh.begin("2024-01-03").load_id
+    first.commit()
+    with pytest.raises(RuntimeError, match="meanwhile"):
+        second.commit()
+
+
+@pytest.fixture
+def feeds(spark):
+    from vaultloom.sources.sample_feeds import FEEDS, raw_feed
+
+    return {f: raw_feed(spark, "/root/testdata/sf0.001", f, 1) for f in FEEDS}

@@ -8,6 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+class LoadError(Exception):
+    """A load broke one of its rules; nothing was published."""
+
+
+def expect_none(violations: DataFrame, rule: str) -> None:
+    few = violations.limit(3).collect()
+    if few:
+        raise LoadError(f"{rule}, e.g. {[row.asDict() for row in few]}")
+
+
 def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Primary-key values held by more than one row, with their count."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")

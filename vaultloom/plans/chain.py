@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 
 from vaultloom.operators.dedup import duplicate_keys
 from vaultloom.operators.history import CLOSE_OPEN_ONLY
+from vaultloom.operators.quality import expect_none, merge_ambiguity
 from vaultloom.plans import prep, staging, vault
 
 
@@ -50,6 +51,9 @@ class Chain:
             raw, keys, translation, duplicates = self._feed(feed, n), prep.DEDUP_KEYS.get(feed), None, None
             if feed == "products":
                 translation = self._kept(self._feed("translation", n), f"translation-{n}")
+                if self._keep:
+                    expect_none(merge_ambiguity(translation, prep.TRANSLATION_KEY),
+                                "translation: several rows share a category name")
             if keys and self._keep:
                 duplicates = self._keep(duplicate_keys(raw, keys), f"duplicates.{feed}-{n}")
             return prep.prepare(feed, raw, translation, duplicates)

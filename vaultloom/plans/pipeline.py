@@ -15,21 +15,21 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from vaultloom.operators import dedup, history, merge, quality
+from vaultloom.operators.quality import LoadError
+from vaultloom.operators.quality import expect_none as _expect_none
 from vaultloom.plans import prep, staging, vault
 from vaultloom.sources import csv_files
 from vaultloom.sources.tables import RAW_FEEDS, TABLES
 from vaultloom.sources.warehouse import REJECTS, Load, Warehouse
 
+__all__ = ["LoadError", "Settings", "compact", "read_feeds", "read_prepared", "run_load", "write_prepared"]
+
 FEED_FILES = {feed: f"{feed}.csv" for feed in RAW_FEEDS}
 # Feeds with free text, which may hold line breaks. Such files cannot be split
 # among tasks, so the others are read line by line.
 MULTILINE_FEEDS = frozenset({"reviews"})
 
 
-class LoadError(Exception):
-    """A load broke one of its rules; nothing was published."""
-
-
 @dataclass(frozen=True)
 class Settings:
     load_ts: str
@@ -38,7 +38,6 @@ class Settings:
     close: str = history.CLOSE_OPEN_ONLY
     first_seen: bool = False  # hubs keep the audit columns of a key's first load
     parallel_jobs: int = 8
-    compact_after: int = 60  # folders of a growing table, before it is rewritten as one
 
 
 def read_feeds(
@@ -70,9 +69,14 @@ def read_prepared(spark: SparkSession, folder: str) -> tuple[dict, dict]:
 
 
 def run_load(
-    spark: SparkSession, warehouse: Warehouse, feeds: Mapping[str, DataFrame], settings: Settings
+    spark: SparkSession, warehouse: Warehouse, feeds: Mapping[str, DataFrame], settings: Settings,
+    rejected: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, int]:
-    """Load one drop and publish it; returns the rows written per table."""
+    """Load one drop and publish it; returns the rows written per table.
+
+    ``rejected`` are the raw rows that ``read_feeds`` could not type. They go to the
+    rejects with what staging and the vault leave out.
+    """
     load = warehouse.begin(settings.load_ts)
     with ThreadPoolExecutor(settings.parallel_jobs) as pool:
         def each(work: Callable, items: Iterable) -> list:
@@ -80,7 +84,8 @@ def run_load(
 
         prepared = dict(each(lambda feed: (feed, _prepare(load, feeds, feed)), staging.STAGING_TABLES))
         each(lambda table: _stage(load, prepared[table], table, settings), staging.STAGING_TABLES)
-        rejects = []
+        rejects = [_cells(feed, df) for feed, df in (rejected or {}).items()]
+        rejects += [staging.rejected_rows(t, prepared[t]) for t in staging.STAGING_TABLES]
         for layer in vault.LAYERS:
             rejects += each(lambda job: _load_job(load, job, settings), layer)
     _write_rejects(load, rejects, settings)
@@ -94,6 +99,9 @@ def _prepare(load: Load, feeds: Mapping[str, DataFrame], feed: str) -> DataFrame
     translation = None
     if feed == "products":
         translation = load.keep(feeds["translation"], "translation")
+        _expect_none(
+            quality.merge_ambiguity(translation, prep.TRANSLATION_KEY),
+            "translation: several rows share a category name")
     return load.keep(prep.prepare(feed, raw, translation, duplicates), f"prepared.{feed}")
 
 
@@ -122,14 +130,16 @@ def _load_job(load: Load, job: vault.Job, settings: Settings) -> DataFrame:
 
 def _merge(load: Load, job: vault.Job, source: DataFrame, settings: Settings) -> None:
     name, ts = job.table, settings.load_ts
-    grows = load.folders(name) < settings.compact_after
-    if job.mode == vault.HISTORY and settings.close == history.CLOSE_OPEN_ONLY and grows:
-        # Only open rows are read; what they turn into is appended as one folder.
-        load.append(name, vault.load_table(job, load.target(name), source, ts))
+    if job.mode == vault.HISTORY and settings.close == history.CLOSE_OPEN_ONLY:
+        # Only open rows are read, once; what they turn into is appended as one folder.
+        opened = load.target(name)
+        rows = history.first_load(source, ts) if opened is None else history.advance(
+            opened, source, list(job.refs), list(job.values), ts)
+        load.append(name, rows.select(*TABLES[name].columns))
     elif job.mode == vault.HISTORY:
         whole = load.whole_target(name)
         load.replace(name, vault.load_table(job, whole, source, ts, settings.close))
-    elif job.mode == vault.INSERT and grows:
+    elif job.mode == vault.INSERT:
         load.append(name, merge.new_rows(load.target(name), source, TABLES[name].key))
     else:
         load.replace(name, vault.load_table(
@@ -150,14 +160,26 @@ def _check_source(load: Load, job: vault.Job, source: DataFrame) -> None:
             f"{job.table}: one id stands for several business keys")
 
 
+def compact(warehouse: Warehouse) -> None:
+    """Rewrite each growing table as one folder, under the newest load; maintenance, to be
+    called between loads. Rows stay as they are."""
+    newest = warehouse.snapshot()
+    load = Load(warehouse, newest.load_id, newest, newest)
+    for name, folders in newest.tables.items():
+        if len(folders) > 1:
+            load.replace(name, warehouse.table(name, newest))
+    load.commit()
+
+
+def _cells(feed: str, rejected: DataFrame) -> DataFrame:
+    cells = [c for c in rejected.columns if c != "bad_columns"]
+    row = f"to_json(struct({', '.join(cells)}), map('ignoreNullFields', 'false')) AS row"
+    return rejected.selectExpr(
+        f"'{feed}' AS table_name", "concat('bad cells ', bad_columns) AS reason", row)
+
+
 def _write_rejects(load: Load, rejects: list[DataFrame], settings: Settings) -> None:
     found = reduce(DataFrame.unionByName, rejects)
     if settings.strict:
         _expect_none(found, "rows were rejected")
     load.replace(REJECTS, found)
-
-
-def _expect_none(violations: DataFrame, rule: str) -> None:
-    few = violations.limit(3).collect()
-    if few:
-        raise LoadError(f"{rule}, e.g. {[row.asDict() for row in few]}")

@@ -22,6 +22,9 @@ DEDUP_KEYS = {
 }
 
 
+TRANSLATION_KEY = ["product_category_name"]  # proved unique before products are joined
+
+
 def _renamed(df: DataFrame, table: str, **names: str) -> DataFrame:
     """The staging columns by name; ``names`` gives the SQL text where it differs."""
     return df.selectExpr(*[f"{names.get(c, c)} AS {c}" for c in TABLES[table].columns])

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructField, TimestampNTZType
 
 from vaultloom.operators.merge import merge_upsert
-from vaultloom.operators.quality import complete_rows
+from vaultloom.operators.quality import complete_rows, null_violations
 from vaultloom.sources.tables import STAGING, TABLES, tables_of
 
 STAGING_TABLES = [t.name for t in tables_of(STAGING)]
@@ -37,6 +37,15 @@ def stage_rows(table: str, prepared: DataFrame) -> DataFrame:
     return complete_rows(conform(table, prepared), TABLES[table].required)
 
 
+def rejected_rows(table: str, prepared: DataFrame) -> DataFrame:
+    """What staging leaves out, as (table, reason, row): rows with a forbidden NULL."""
+    t = TABLES[table]
+    broken = null_violations(conform(table, prepared), t.required)
+    row = f"to_json(struct({', '.join(t.columns)}), map('ignoreNullFields', 'false')) AS row"
+    return broken.selectExpr(
+        f"'{table}' AS table_name", "concat('missing ', null_columns) AS reason", row)
+
+
 def null_safe_key(table: str) -> bool:
     """Whether a part of the merge key may be NULL."""
     t = TABLES[table]

@@ -153,7 +153,7 @@ def business_rows(job: Job, staged: DataFrame, keep: Keep | None = None) -> Data
     if job.smallest:
         least = job.values[job.smallest]
         others = sorted(needed - {least})
-        return rows.distinct().groupBy(*others).agg(F.min(least).alias(least))
+        return rows.groupBy(*others).agg(F.min(least).alias(least))
     if job.distinct:
         rows = rows.distinct()
         if keep is not None and job.foreign:

@@ -396,7 +396,7 @@ def all_oracles() -> dict[str, str]:
             SELECT review_id, order_id, review_score, title AS review_comment_title,
                    message AS review_comment_message, created AS review_creation_date,
                    answered AS review_answer_timestamp FROM raw_reviews_2""",
-        "csv_roundtrip": "SELECT * FROM prep_orders_2",
+        "csv_roundtrip": "SELECT *, 1 AS load_no FROM prep_orders_1 UNION ALL SELECT *, 2 FROM prep_orders_2",
         "typed_load_good": f"""
             SELECT order_id, order_item_id::bigint AS order_item_id, product_id, seller_id,
                    shipping_limit_date::timestamp AS shipping_limit_date, price::double AS price, freight_value
@@ -472,7 +472,8 @@ def all_oracles() -> dict[str, str]:
             FROM stg_reviews_2 WHERE order_id NOT IN (SELECT order_id FROM stg_orders_2)""",
     }
     for t in STAGING_KEYS:
-        q["prep_geolocations" if t == "geolocation" else f"prep_{t}"] = f"SELECT * FROM prep_{t}_2"
+        q["prep_geolocations" if t == "geolocation" else f"prep_{t}"] = (
+            f"SELECT *, 1 AS load_no FROM prep_{t}_1 UNION ALL SELECT *, 2 FROM prep_{t}_2")
         q[f"stg_{t}"] = f"SELECT * FROM stg_{t}_2"
     q.update({t: f"SELECT * FROM {t}_2" for t in VAULT_KEYS})
     q.update({t: f"SELECT * FROM {t}_3" for t in HISTORIES})

@@ -17,10 +17,12 @@ from vaultloom.functions.keys import hash_key, hex_key
 from vaultloom.operators import dedup, history, merge, quality
 from vaultloom.plans import prep, staging, vault
 from vaultloom.plans.chain import Chain
+from vaultloom.plans.pipeline import Settings, run_load
 from vaultloom.sources import csv_files
 from vaultloom.sources.sample_feeds import raw_feed
 from vaultloom.sources.scratch import scratch_folder, written
 from vaultloom.sources.tables import RAW_FEEDS, TABLES
+from vaultloom.sources.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,10 +57,13 @@ def csv_scan(spark, folder):
 
 
 def csv_roundtrip(spark, folder):
-    """Prepared orders through the CSV writer and the typed loader."""
-    path = f"{scratch_folder(spark)}/orders"
-    csv_files.write_csv(chain(spark, folder).prepared("orders", 2), path)
-    return csv_files.typed_load(spark, path, TABLES["orders"].plain_schema, multiline=False)[0]
+    """Prepared orders of both drops through the CSV writer and the typed loader."""
+    path, c, drops = f"{scratch_folder(spark)}/orders", chain(spark, folder), []
+    for n in (1, 2):
+        csv_files.write_csv(c.prepared("orders", n), f"{path}/{n}")
+        rows = csv_files.typed_load(spark, f"{path}/{n}", TABLES["orders"].plain_schema, multiline=False)[0]
+        drops.append(rows.withColumn("load_no", F.lit(n)))
+    return reduce(DataFrame.unionByName, drops)
 
 
 def _untidy_items(spark, folder):
@@ -243,14 +248,17 @@ def vault_rejects(spark, folder):
 # The load --------------------------------------------------------------------
 def full_load(spark, folder):
     """Each order's current status with its customer and their current zip code,
-    from the vault after two loads."""
-    c = chain(spark, folder)
-    links = c.vault("l_order_customer", 2).selectExpr("order_id AS id", "customer_id")
-    statuses = history.open_rows(c.vault("sat_order_statuses", 2)).selectExpr(
+    from the warehouse after two whole loads of all tables."""
+    warehouse = Warehouse(spark, scratch_folder(spark))
+    for n in (1, 2):
+        feeds = {feed: raw_feed(spark, folder, feed, n) for feed in RAW_FEEDS}
+        run_load(spark, warehouse, feeds, Settings(load_ts(n), LOAD_SRC))
+    links = warehouse.table("l_order_customer").selectExpr("order_id AS id", "customer_id")
+    statuses = history.open_rows(warehouse.table("sat_order_statuses")).selectExpr(
         "order_id AS id", "order_status", "valid_from AS status_since")
-    places = history.open_rows(c.vault("sat_customers_geolocation", 2)).selectExpr(
+    places = history.open_rows(warehouse.table("sat_customers_geolocation")).selectExpr(
         "customer_id", "zip_code", "valid_from AS zip_since")
-    orders = c.vault("hub_orders", 2).select("id", "order_id")
+    orders = warehouse.table("hub_orders").select("id", "order_id")
     return (
         orders.join(statuses, "id").join(links, "id").join(places, "customer_id")
         .select("order_id", "order_status", "status_since", "customer_id", "zip_code", "zip_since")
@@ -258,7 +266,12 @@ def full_load(spark, folder):
 
 
 def _prep_query(feed: str) -> Query:
-    return lambda spark, folder: chain(spark, folder).prepared(feed, 2)
+    """The feed's cleaned rows of both drops, which together hold every source row."""
+    def query(spark, folder):
+        c = chain(spark, folder)
+        return reduce(DataFrame.unionByName, [
+            c.prepared(feed, n).withColumn("load_no", F.lit(n)) for n in (1, 2)])
+    return query
 
 
 def _staging_query(table: str) -> Query:

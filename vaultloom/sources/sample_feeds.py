@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from vaultloom.functions.keys import hash_key
 from vaultloom.sources.tables import RAW_FEEDS
@@ -171,11 +172,12 @@ def raw_order_items(spark: SparkSession, folder: str, load: int) -> DataFrame:
     lines = _read(spark, folder, "lineitem")
     if load == 1:
         lines = lines.filter("l_shipdate < TIMESTAMP_NTZ'2001-01-01 00:00:00'")
-    items = lines.groupBy("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").agg(
-        F.max("l_shipdate").alias("shipped"),
-        F.max("l_extendedprice").alias("price"),
-        F.max("l_quantity").alias("quantity"),
-    )
+    # of lines that share all four numbers one is taken whole, the dearest first
+    nth = Window.partitionBy("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").orderBy(
+        F.desc("l_extendedprice"), F.desc("l_quantity"), F.desc("l_shipdate"))
+    items = lines.withColumn("nth", F.row_number().over(nth)).filter("nth = 1").selectExpr(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate AS shipped",
+        "l_extendedprice AS price", "l_quantity AS quantity")
     return _as_feed(
         items, "order_items",
         order_id="concat('O', l_orderkey)",

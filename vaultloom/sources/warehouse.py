@@ -18,13 +18,14 @@ import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
-from vaultloom.sources.scratch import scratch_folder, written
+from vaultloom.sources.scratch import written
 from vaultloom.sources.tables import TABLES
 
 _COMMIT = "load_id string, committed_ns bigint, tables map<string, array<string>>"
@@ -33,9 +34,23 @@ REJECTS = "rejects"
 _REJECTS_SCHEMA = "table_name string, reason string, row string"
 
 
+def load_id(load_ts: str) -> str:
+    """A load's place in the order of loads: its time, to the microsecond, in digits.
+
+    The time is parsed, so that ``2024-1-2`` and ``2024-01-02`` are the same day.
+    """
+    for form in ("%Y-%m-%d %H:%M:%S.%f", "%Y-%m-%d %H:%M:%S", "%Y-%m-%d"):
+        try:
+            return datetime.strptime(load_ts.strip().replace("T", " "), form).strftime("%Y%m%d%H%M%S%f")
+        except ValueError:
+            continue
+    raise ValueError(f"not a load time: {load_ts!r}")
+
+
 @dataclass(frozen=True)
 class Snapshot:
     load_id: str = ""
+    committed_ns: int = 0
     tables: dict[str, list[str]] = field(default_factory=dict)
 
 
@@ -56,7 +71,17 @@ class Warehouse:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             newest = []
-        return Snapshot(newest[0].load_id, newest[0].tables) if newest else Snapshot()
+        return Snapshot(newest[0].load_id, newest[0].committed_ns, newest[0].tables) if newest else Snapshot()
+
+    def loaded(self) -> set[str]:
+        """Ids of all committed loads; one short text per load."""
+        try:
+            commits = self.spark.read.schema(_COMMIT).json(f"{self.root}/commits")
+            return {r.load_id for r in commits.select("load_id").distinct().collect()}
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return set()
 
     def table(self, name: str, snapshot: Snapshot | None = None) -> DataFrame:
         """A table as of a snapshot; empty before its first load."""
@@ -109,10 +134,11 @@ class Warehouse:
         return table
 
     def begin(self, load_ts: str) -> Load:
-        load_id = "".join(ch for ch in load_ts if ch.isdigit())
-        if load_id < self.snapshot().load_id:
+        """A load at ``load_ts``; one writer at a time, which ``commit`` checks."""
+        this, newest = load_id(load_ts), self.snapshot()
+        if this < newest.load_id:
             raise ValueError(f"load {load_ts} is older than the newest committed load")
-        return Load(self, load_id, self.snapshot(before=load_id))
+        return Load(self, this, self.snapshot(before=this), newest)
 
 
 class Load:
@@ -121,10 +147,10 @@ class Load:
     Repeating a load starts again from the state before it and replaces it.
     """
 
-    def __init__(self, warehouse: Warehouse, load_id: str, base: Snapshot) -> None:
-        self.warehouse, self.load_id, self.base = warehouse, load_id, base
+    def __init__(self, warehouse: Warehouse, load_id: str, base: Snapshot, newest: Snapshot) -> None:
+        self.warehouse, self.load_id, self.base, self._newest = warehouse, load_id, base, newest
         self._attempt = uuid.uuid4().hex[:12]
-        self._scratch = scratch_folder(warehouse.spark)
+        self._scratch = f"{warehouse.root}/scratch/{load_id}_{self._attempt}"
         self._new: dict[str, list[str]] = {}
         self.row_counts: dict[str, int] = {}
 
@@ -146,7 +172,7 @@ class Load:
 
     def current(self, name: str) -> DataFrame:
         """The table as this load has written it."""
-        return self.warehouse.table(name, Snapshot(self.load_id, self._new))
+        return self.warehouse.table(name, Snapshot(self.load_id, 0, self._new))
 
     def replace(self, name: str, df: DataFrame) -> None:
         self._new[name] = [self._write(name, df)]
@@ -185,12 +211,15 @@ class Load:
         return path
 
     def commit(self) -> Snapshot:
-        tables = {**self.base.tables, **self._new}
-        record = [(self.load_id, time.time_ns(), tables)]
+        """Publish the load, unless another one was published since it began."""
+        if self.warehouse.snapshot() != self._newest:
+            raise RuntimeError(f"load {self.load_id}: another load was committed meanwhile")
+        tables, now = {**self.base.tables, **self._new}, time.time_ns()
+        record = [(self.load_id, now, tables)]
         spark = self.warehouse.spark
         spark.createDataFrame(record, _COMMIT).coalesce(1).write.mode("append").json(
             f"{self.warehouse.root}/commits")
-        return Snapshot(self.load_id, tables)
+        return Snapshot(self.load_id, now, tables)
 
 
 INSERT_ONLY = ("hub_categories", "hub_geolocations", "hub_cities")
@@ -208,7 +237,7 @@ def _schema(spark: SparkSession, name: str) -> StructType:
 
 def create_tables(spark: SparkSession, database: str, names: Sequence[str] | None = None) -> None:
     """Drop and create empty catalog tables with the declared types, lengths and
-    NOT NULL marks, clustered by key."""
+    NOT NULL marks."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name in names or TABLES:
         columns = ", ".join(
