@@ -141,10 +141,12 @@ def _raw(n: int) -> dict[str, str]:
         f"raw_order_items_{n}": f"""
             SELECT 'O' || l_orderkey AS order_id, {hk('l_partkey', 'l_suppkey', 'l_linenumber')} AS order_item_id,
                    'P' || l_partkey AS product_id, 'S' || l_suppkey AS seller_id,
-                   max(l_shipdate) AS shipping_limit_date, max(l_extendedprice) AS price,
-                   max(l_quantity) + CASE WHEN l_linenumber = 7 THEN {later} ELSE 0 END AS freight_value
+                   l_shipdate AS shipping_limit_date, l_extendedprice AS price,
+                   l_quantity + CASE WHEN l_linenumber = 7 THEN {later} ELSE 0 END AS freight_value
             FROM lineitem WHERE {"l_shipdate < TIMESTAMP '2001-01-01'" if n == 1 else "true"}
-            GROUP BY l_orderkey, l_partkey, l_suppkey, l_linenumber""",
+            QUALIFY row_number() OVER (
+                PARTITION BY l_orderkey, l_partkey, l_suppkey, l_linenumber
+                ORDER BY l_extendedprice DESC, l_quantity DESC, l_shipdate DESC) = 1""",
         f"raw_payments_{n}": f"""
             SELECT 'O' || o_orderkey AS order_id, seq::int AS payment_sequential,
                    replace(lower(substr(o_orderpriority, 3)), ' ', '_') AS kind,
