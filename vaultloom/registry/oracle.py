@@ -12,6 +12,7 @@ import re
 from vaultloom.functions.people import (
     BIRTH_DAYS, FIRST_BIRTH_DATE, FIRST_NAMES, LAST_NAMES, MAIL_DOMAINS, WORDS,
 )
+from vaultloom.sources.tables import TABLES
 
 LOADS = (1, 2, 3)
 SRC = "'raw-feeds'"
@@ -344,6 +345,10 @@ def _steps() -> dict[str, str]:
     for n in LOADS:
         for make in (_raw, _prep, _staged, _sources, _states):
             steps.update(make(n))
+    steps["untidy_items_1"] = """
+        SELECT CASE WHEN freight_value <> 13 THEN order_id END AS order_id, product_id, seller_id,
+               CASE WHEN freight_value <> 11 THEN price END AS price, freight_value = 7 AS bad
+        FROM raw_order_items_1"""
     return steps
 
 
@@ -384,6 +389,43 @@ def _two_modes(n: int) -> str:
             f"SELECT *, 'all_differing' FROM {t}_moving_{n}")
 
 
+def _checksums() -> str:
+    """Rows of each table after three loads, and the sum of a 32-bit hash of each row."""
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS row_count, "
+        f"sum({hk(*t.columns, digits=8)})::varchar AS checksum "
+        f"FROM {'stg_' if name in STAGING_KEYS else ''}{name}_3"
+        for name, t in TABLES.items())
+
+
+def _load_rejects() -> str:
+    def left_out(table, reason, source, where, *ids):
+        cells = [c if c in ids else f"NULL::varchar AS {c}"
+                 for c in ("order_id", "product_id", "seller_id", "customer_id", "review_id")]
+        return (f"SELECT '{table}' AS table_name, '{reason}' AS reason, {', '.join(cells)} "
+                f"FROM {source} WHERE {where}")
+
+    def unknown(parent):
+        return f"{parent}_id NOT IN (SELECT {parent}_id FROM stg_{parent}s_1)"
+
+    items, staged = "untidy_items_1", "NOT bad AND order_id IS NOT NULL"
+    pair, line = ("product_id", "seller_id"), ("order_id", "product_id")
+    return " UNION ALL ".join([
+        left_out("order_items", "bad cells price", items, "bad", "order_id", *pair),
+        left_out("order_items", "missing order_id", items, "NOT bad AND order_id IS NULL", *pair),
+        *[left_out("l_product_seller", f"no hub_{p}s row", items, f"{staged} AND {unknown(p)}", *pair)
+          for p in ("product", "seller")],
+        left_out("l_order_items", "missing price", items, f"{staged} AND price IS NULL", *line),
+        *[left_out("l_order_items", f"no hub_{p}s row", items,
+                   f"{staged} AND price IS NOT NULL AND {unknown(p)}", *line)
+          for p in ("product", "order")],
+        left_out("l_order_customer", "no hub_customers row", "stg_orders_1", unknown("customer"),
+                 "order_id", "customer_id"),
+        left_out("l_review_order", "no hub_orders row", "stg_reviews_1", unknown("order"),
+                 "order_id", "review_id"),
+    ])
+
+
 def all_oracles() -> dict[str, str]:
     steps = _steps()
     reject = "json_object({}) AS row"
@@ -471,7 +513,21 @@ def all_oracles() -> dict[str, str]:
             UNION ALL
             SELECT 'l_review_order', 'no hub_orders row',
                    {reject.format("'order_id', order_id, 'review_id', review_id")}
-            FROM stg_reviews_2 WHERE order_id NOT IN (SELECT order_id FROM stg_orders_2)""",
+            FROM stg_reviews_2 WHERE order_id NOT IN (SELECT order_id FROM stg_orders_2)
+            """ + "".join(f"""
+            UNION ALL
+            SELECT '{link}', 'no hub_{parent}s row', {reject.format(cells)}
+            FROM stg_order_items_2 WHERE {parent}_id NOT IN (SELECT {parent}_id FROM stg_{parent}s_2)"""
+            for link, cells, parents in (
+                ("l_product_seller", "'product_id', product_id, 'seller_id', seller_id",
+                 ("product", "seller")),
+                ("l_order_items", "'freight_value', freight_value, 'order_id', order_id, "
+                 "'order_item_id', order_item_id, 'price', price, 'product_id', product_id",
+                 ("product", "order")))
+            for parent in parents),
+        "load_tables": _checksums(),
+        "load_tables_bucketed": _checksums(),
+        "load_rejects": _load_rejects(),
     }
     for t in STAGING_KEYS:
         q["prep_geolocations" if t == "geolocation" else f"prep_{t}"] = (

@@ -22,7 +22,7 @@ from vaultloom.sources import csv_files
 from vaultloom.sources.sample_feeds import raw_feed
 from vaultloom.sources.scratch import scratch_folder, written
 from vaultloom.sources.tables import RAW_FEEDS, TABLES
-from vaultloom.sources.warehouse import Warehouse
+from vaultloom.sources.warehouse import REJECTS, Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -235,14 +235,12 @@ def dq_merge_ambiguity(spark, folder):
 
 
 def vault_rejects(spark, folder):
-    """Rows of the second load that links leave out, with the reason."""
+    """Rows of the second load that the vault's jobs leave out, with the reason."""
     c = chain(spark, folder)
-    found = [
-        vault.rejected_rows(
-            vault.JOBS[t], c.staged_kept(vault.JOBS[t].source, 2), c.missing(t, 2))
-        for t in ("l_order_customer", "l_review_order")
-    ]
-    return found[0].unionByName(found[1])
+    return reduce(DataFrame.unionByName, [
+        vault.rejected_rows(job, c.staged_kept(job.source, 2), c.missing(t, 2))
+        for t, job in vault.JOBS.items()
+    ])
 
 
 # The load --------------------------------------------------------------------
@@ -265,6 +263,51 @@ def full_load(spark, folder):
     )
 
 
+def _checksums(spark, folder, buckets=None):
+    """Rows and an order-free checksum of all 36 tables after loads 1, 2, 2 again, and 3."""
+    warehouse = Warehouse(spark, scratch_folder(spark), buckets)
+    for n in (1, 2, 2, 3):
+        feeds = {feed: raw_feed(spark, folder, feed, n) for feed in RAW_FEEDS}
+        run_load(spark, warehouse, feeds, Settings(load_ts(n), LOAD_SRC))
+    newest = warehouse.snapshot()
+    sums = [
+        warehouse.table(name, newest).selectExpr(f"{hash_key(*t.columns, digits=8)} AS h")
+        .selectExpr(
+            f"'{name}' AS table_name", "count(*) AS row_count",
+            "cast(sum(cast(h AS decimal(28, 0))) AS string) AS checksum")
+        for name, t in TABLES.items()
+    ]
+    return reduce(DataFrame.unionByName, sums)
+
+
+def load_tables(spark, folder):
+    return _checksums(spark, folder)
+
+
+def load_tables_bucketed(spark, folder):
+    return _checksums(spark, folder, buckets=8)
+
+
+def load_rejects(spark, folder):
+    """What one whole load leaves out of untidy order items, read from CSV: prices that
+    are no numbers, items without an order or a price, and references to rows not sent."""
+    scratch = scratch_folder(spark)
+    feeds = {feed: raw_feed(spark, folder, feed, 1) for feed in RAW_FEEDS}
+    untidy = feeds["order_items"].selectExpr(
+        "CASE WHEN freight_value <> 13 THEN order_id END AS order_id",
+        "order_item_id", "product_id", "seller_id", "shipping_limit_date",
+        "CASE WHEN freight_value = 7 THEN 'zz' WHEN freight_value <> 11 THEN cast(price AS string) END"
+        " AS price", "freight_value")
+    csv_files.write_csv(untidy, f"{scratch}/items")
+    feeds["order_items"], bad = csv_files.csv_scan(
+        spark, f"{scratch}/items", RAW_FEEDS["order_items"], multiline=False)
+    warehouse = Warehouse(spark, f"{scratch}/warehouse")
+    run_load(spark, warehouse, feeds, Settings(load_ts(1), LOAD_SRC), {"order_items": bad})
+    ids = ("order_id", "product_id", "seller_id", "customer_id", "review_id")
+    return warehouse.table(REJECTS).selectExpr(
+        "table_name", "reason", *[f"get_json_object(row, '$.{c}') AS {c}" for c in ids])
+
+
 def _prep_query(feed: str) -> Query:
     """The feed's cleaned rows of both drops, which together hold every source row."""
     def query(spark, folder):
@@ -288,7 +331,7 @@ _PREP_NAMES["geolocation"] = "prep_geolocations"
 
 def all_queries() -> dict[str, Query]:
     named = [
-        full_load, csv_scan, csv_roundtrip, typed_load_good, typed_load_rejects, load_counts,
+        full_load, load_tables, load_tables_bucketed, load_rejects, csv_scan, csv_roundtrip, typed_load_good, typed_load_rejects, load_counts,
         append_batch, dedup_drop_all, union_all, distinct_rows, hash_key_1, hash_key_n,
         merge_upsert, merge_insert_only, scd2_changed_keys, scd2_two_loads, scd2_three_loads,
         enrich_people, enrich_product_names, dq_pk_violations, dq_null_violations,
