@@ -1,9 +1,10 @@
-"""Every query against DuckDB on the smallest data."""
+"""Every query of the library's own operators against DuckDB on the smallest data."""
 
 import pytest
 
-import __spark_entry__ as entry
 from tests.compare import mismatch, oracle_connection
+from vaultloom.registry.oracle import all_oracles
+from vaultloom.registry.queries import all_queries
 
 DATA = "/root/testdata/sf0.001"
 MAY_BE_EMPTY = {"dq_hash_collisions"}
@@ -15,10 +16,10 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_equals_sql(spark, con, name):
-    problem = mismatch(entry.queries()[name](spark, DATA), con, entry.oracle_sql()[name])
+    problem = mismatch(all_queries()[name](spark, DATA), con, all_oracles()[name])
     assert problem is None or (name in MAY_BE_EMPTY and problem == "no rows on either side"), problem
