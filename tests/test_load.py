@@ -281,3 +281,11 @@ def feeds(spark):
     from vaultloom.sources.sample_feeds import FEEDS, raw_feed
 
     return {f: raw_feed(spark, "/root/testdata/sf0.001", f, 1) for f in FEEDS}
+
+
+def test_colliding_hub_ids_fail_every_load(spark, tmp_path, feeds, monkeypatch):
+    monkeypatch.setattr(vault.Ref, "expression", lambda ref: "1L")
+    wh = Warehouse(spark, str(tmp_path / "collision"))
+    with pytest.raises(LoadError, match="one id stands for several business keys"):
+        run_load(spark, wh, feeds, Settings("2024-01-01 01:00:00", "x"))
+    assert wh.snapshot().tables == {}
