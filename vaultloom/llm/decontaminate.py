@@ -206,7 +206,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, similarity: float = S
     bad = matches(docs, benchmark, similarity).select(
         F.col("h1").alias("_bad1"), F.col("h2").alias("_bad2")).distinct()
     h1, h2 = (c for c in _text_key(F.col("text").cast("string")))
-    return docs.join(bad, (h1 == F.col("_bad1")) & (h2 == F.col("_bad2")), "left_anti")
+    return docs.join(bad, (h1 == bad["_bad1"]) & (h2 == bad["_bad2"]), "left_anti")
 
 
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
