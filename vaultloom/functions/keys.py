@@ -16,9 +16,15 @@ def key_part(c: str) -> str:
 
 
 def float_input(c: str) -> str:
-    """One form of zero, as joins and groupings have it. The text that follows is
-    the JVM's shortest form, so keep one JDK line for the life of a warehouse."""
-    return f"({c} + 0.0D)"
+    """A double as a text that is defined here, since a cast's text depends on the JDK:
+    sign, whole part, and the rest in units of 2**-62, which is exact from 2**-10 on.
+    Both zeros are one, as joins and groupings have them. Values from 2**53 on, infinite
+    ones and NaN have the cast's text."""
+    whole = f"floor(abs({c}))"
+    return (
+        f"CASE WHEN abs({c}) < 9007199254740992D THEN concat(CASE WHEN {c} < 0D THEN '-' ELSE '' END, "
+        f"cast({whole} as string), '+', cast(cast((abs({c}) - {whole}) * 4611686018427387904D as bigint) as string)) "
+        f"ELSE cast({c} as string) END")
 
 
 def hex_key(*columns: str) -> str:

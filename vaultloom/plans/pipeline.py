@@ -19,6 +19,7 @@ from vaultloom.operators.quality import LoadError
 from vaultloom.operators.quality import expect_none as _expect_none
 from vaultloom.plans import prep, staging, vault
 from vaultloom.sources import csv_files
+from vaultloom.sources.scratch import scratch_folder, written
 from vaultloom.sources.tables import HUB, RAW_FEEDS, TABLES
 from vaultloom.sources.warehouse import REJECTS, Load, Warehouse
 
@@ -43,12 +44,19 @@ class Settings:
 def read_feeds(
     spark: SparkSession, folder: str, files: Mapping[str, str] = FEED_FILES
 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """(typed rows, rejects) of every raw CSV file of a folder."""
-    scans = {
-        feed: csv_files.csv_scan(
-            spark, f"{folder}/{name}", RAW_FEEDS[feed], multiline=feed in MULTILINE_FEEDS)
-        for feed, name in files.items()
-    }
+    """(typed rows, rejects) of every raw CSV file of a folder.
+
+    Each file is parsed once, into a table of typed cells in the scratch folder.
+    """
+    scratch = scratch_folder(spark)
+
+    def scan(feed: str) -> tuple[DataFrame, DataFrame]:
+        return csv_files.csv_scan(
+            spark, f"{folder}/{files[feed]}", RAW_FEEDS[feed], lambda df: written(df, scratch, feed),
+            multiline=feed in MULTILINE_FEEDS)
+
+    with ThreadPoolExecutor(len(files)) as pool:
+        scans = dict(zip(files, pool.map(scan, files), strict=True))
     return {f: s[0] for f, s in scans.items()}, {f: s[1] for f, s in scans.items()}
 
 

@@ -140,8 +140,11 @@ def required_inputs(job: Job) -> list[str]:
     return sorted(keys | {src for column, src in job.values.items() if column in required})
 
 
-def business_rows(job: Job, staged: DataFrame, keep: Keep | None = None) -> DataFrame:
-    """Complete rows of the staging columns that the job reads, each once if asked.
+def business_rows(
+    job: Job, staged: DataFrame, keep: Keep | None = None, complete: bool = True
+) -> DataFrame:
+    """Rows of the staging columns that the job reads, each once if the job says so;
+    ``complete`` leaves out those that lack a required value.
 
     Rows are folded before anything is hashed or joined. ``keep`` writes the
     folded rows where checks follow, since the optimizer would push the checks'
@@ -149,7 +152,7 @@ def business_rows(job: Job, staged: DataFrame, keep: Keep | None = None) -> Data
     """
     needed = {c for ref in job.refs.values() for c in ref.columns} | set(job.values.values())
     rows = staged.filter(job.where) if job.where else staged
-    rows = quality.complete_rows(rows.select(*sorted(needed)), required_inputs(job))
+    rows = quality.complete_rows(rows.select(*sorted(needed)), required_inputs(job) if complete else [])
     if job.smallest:
         least = job.values[job.smallest]
         others = sorted(needed - {least})

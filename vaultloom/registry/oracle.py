@@ -35,6 +35,12 @@ def hk(*cols: str, digits: int = 15) -> str:
     return f"('0x' || substr({hexkey(*cols)}, 1, {digits}))::bigint"
 
 
+def floating(c: str) -> str:
+    whole = f"floor(abs({c}))"
+    return (f"((CASE WHEN {c} < 0 THEN '-' ELSE '' END) || {whole}::bigint || '+' || "
+            f"((abs({c}) - {whole}) * 4611686018427387904::double)::bigint)")
+
+
 def title(c: str) -> str:
     return (
         f"array_to_string(list_transform(regexp_extract_all(lower({c}), "
@@ -234,17 +240,22 @@ def _staged(n: int) -> dict[str, str]:
 
 
 # Vault: what load n contributes, then the latest contribution per key ---------
-def _sources(n: int) -> dict[str, str]:
+def _sources(n: int, staged: str = "stg", made: str = "src", checked: bool = True) -> dict[str, str]:
+    """``checked``: rows whose references are staged."""
     audit = f"{ts(n)} AS load_dttm, {SRC} AS load_src"
-    s = {t: f"stg_{t}_{n}" for t in STAGING_KEYS}
+    s = {t: f"{staged}_{t}_{n}" for t in STAGING_KEYS}
     cust, order, prod, sell, rev = (
         hk(c) for c in ("customer_id", "order_id", "product_id", "seller_id", "review_id"))
     cat, city = hk("category_name_eng"), hk("city", "state")
-    point = hk("zip_code", "latitude", "longitude")
+    point = hk("zip_code", floating("latitude"), floating("longitude"))
     in_orders = f"order_id IN (SELECT order_id FROM {s['orders']})"
     in_products = f"product_id IN (SELECT product_id FROM {s['products']})"
     in_sellers = f"seller_id IN (SELECT seller_id FROM {s['sellers']})"
     in_customers = f"customer_id IN (SELECT customer_id FROM {s['customers']})"
+    once = "DISTINCT"
+    if not checked:  # rows as the jobs make them; these rely on staging to make them unique
+        in_orders = in_products = in_sellers = in_customers = "true"
+        once = ""
     rows = {
         "hub_customers": f"{cust} AS id, customer_id, {audit} FROM {s['customers']}",
         "hub_orders": f"{order} AS id, order_id, {audit} FROM {s['orders']}",
@@ -262,7 +273,7 @@ def _sources(n: int) -> dict[str, str]:
         "l_seller_geolocation": f"{sell} AS seller_id, zip_code, {audit} FROM {s['sellers']}",
         "l_product_seller": f"DISTINCT {prod} AS product_id, {sell} AS seller_id, {audit} "
                             f"FROM {s['order_items']} WHERE {in_products} AND {in_sellers}",
-        "l_product_category": f"DISTINCT {prod} AS product_id, {cat} AS category_id, {audit} "
+        "l_product_category": f"{once} {prod} AS product_id, {cat} AS category_id, {audit} "
                               f"FROM {s['products']}",
         "l_review_order": f"{rev} AS review_id, {order} AS order_id, {audit} "
                           f"FROM {s['reviews']} WHERE {in_orders}",
@@ -291,7 +302,7 @@ def _sources(n: int) -> dict[str, str]:
         "sat_cities_info": f"DISTINCT {city} AS city_id, city AS city_name, state, {audit} "
                            f"FROM {s['geolocation']}",
     }
-    return {f"src_{t}_{n}": f"SELECT {body}" for t, body in rows.items()}
+    return {f"{made}_{t}_{n}": f"SELECT {body}" for t, body in rows.items()}
 
 
 HISTORIES = {"sat_customers_geolocation": ("customer_id", "zip_code"),
@@ -349,6 +360,13 @@ def _steps() -> dict[str, str]:
         SELECT CASE WHEN freight_value <> 13 THEN order_id END AS order_id, product_id, seller_id,
                CASE WHEN freight_value <> 11 THEN price END AS price, freight_value = 7 AS bad
         FROM raw_order_items_1"""
+    # both drops of each feed, as vault rows of which none is left out
+    steps.update({f"both_{t}_2": f"SELECT * FROM prep_{t}_1 UNION ALL SELECT * FROM prep_{t}_2" for t in STAGING_KEYS})
+    steps["both_order_items_2"] = """
+        SELECT * REPLACE (CASE WHEN freight_value <> 13 THEN order_id END AS order_id,
+                          CASE WHEN freight_value <> 11 THEN price END AS price) FROM prep_order_items_1
+        UNION ALL SELECT * FROM prep_order_items_2"""
+    steps.update(_sources(2, "both", "any", checked=False))
     return steps
 
 
@@ -426,6 +444,42 @@ def _load_rejects() -> str:
     ])
 
 
+HASHED_NULLS = ("hub_categories.id", "hub_geolocations.id", "hub_cities.id", "l_geolocation_city.city_id",
+                "l_product_category.category_id", "sat_category.category_id", "sat_coordinates.geolocation_id",
+                "sat_cities_info.city_id")
+MADE_IDS = ("l_geolocation_city.id", "l_order_items.order_item_id")
+
+
+def _declared_rules() -> str:
+    """A NULL business key shows as the hash of NULL, but where that is a normal id."""
+    found, of_null = [], hk("NULL::varchar")
+    for name, t in TABLES.items():
+        staged = name in STAGING_KEYS
+        source = f"both_{name}_2" if staged else f"any_{name}_2"
+        made = () if staged else ("load_dttm", "load_src", "valid_from")
+        ids = {f.name for f in t.schema if f.dataType.typeName() == "long" and f.name.endswith("id")}
+
+        def rule(kind, column, violations, name=name):
+            found.append(f"SELECT '{name}' AS table_name, '{kind}' AS rule, '{column}' AS column_name, ({violations}) AS violations")
+
+        for c in t.required:
+            if c in made or f"{name}.{c}" in MADE_IDS:
+                continue
+            broken = f"{c} IS NULL"
+            if not staged and c in ids:
+                broken = "false" if f"{name}.{c}" in HASHED_NULLS else f"{c} = {of_null}"
+            rule("null", c, f"SELECT count(*) FROM {source} WHERE {broken}")
+        for c, n in t.max_bytes.items():
+            if c not in made:
+                rule("length", c, f"SELECT count(*) FROM {source} WHERE strlen({c}) > {n}")
+        key = ", ".join(t.key)
+        rule("key", ",".join(t.key), f"SELECT count(*) FROM (SELECT {key} FROM {source} GROUP BY {key} HAVING count(*) > 1)")
+        for c, hub in t.parents.items():
+            real = "true" if f"{name}.{c}" in HASHED_NULLS else f"{c} <> {of_null}"
+            rule("parent", c, f"SELECT count(DISTINCT {c}) FROM {source} WHERE {real} AND {c} NOT IN (SELECT id FROM {hub}_2)")
+    return " UNION ALL ".join(found)
+
+
 def all_oracles() -> dict[str, str]:
     steps = _steps()
     reject = "json_object({}) AS row"
@@ -528,6 +582,7 @@ def all_oracles() -> dict[str, str]:
         "load_tables": _checksums(),
         "load_tables_bucketed": _checksums(),
         "load_rejects": _load_rejects(),
+        "dq_declared_rules": _declared_rules(),
     }
     for t in STAGING_KEYS:
         q["prep_geolocations" if t == "geolocation" else f"prep_{t}"] = (

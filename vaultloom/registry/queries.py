@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from vaultloom.functions import people
 from vaultloom.functions.keys import hash_key, hex_key
 from vaultloom.operators import dedup, history, merge, quality
-from vaultloom.plans import prep, staging, vault
+from vaultloom.plans import rules, staging, vault
 from vaultloom.plans.chain import Chain
 from vaultloom.plans.pipeline import Settings, run_load
 from vaultloom.sources import csv_files
@@ -234,6 +234,20 @@ def dq_merge_ambiguity(spark, folder):
     return quality.merge_ambiguity(chain(spark, folder).staged("geolocation", 2), ["zip_code"])
 
 
+def dq_declared_rules(spark, folder):
+    """Every declared rule of all 36 tables, counted over both drops together (so keys
+    repeat), in which some order items lack their order or price."""
+    c, scratch = chain(spark, folder), scratch_folder(spark)
+    items = c.prepared("order_items", 1).withColumns({
+        "order_id": F.expr("CASE WHEN freight_value <> 13 THEN order_id END"),
+        "price": F.expr("CASE WHEN freight_value <> 11 THEN price END")})
+    feeds = {
+        t: written((items if t == "order_items" else c.prepared(t, 1)).unionByName(c.prepared(t, 2)), scratch, t)
+        for t in staging.STAGING_TABLES}
+    hubs = {job.table: written(c.vault(job.table, 2), scratch, job.table) for job in vault.HUB_JOBS}
+    return rules.counted(feeds, hubs)
+
+
 def vault_rejects(spark, folder):
     """Rows of the second load that the vault's jobs leave out, with the reason."""
     c = chain(spark, folder)
@@ -331,7 +345,8 @@ _PREP_NAMES["geolocation"] = "prep_geolocations"
 
 def all_queries() -> dict[str, Query]:
     named = [
-        full_load, load_tables, load_tables_bucketed, load_rejects, csv_scan, csv_roundtrip, typed_load_good, typed_load_rejects, load_counts,
+        full_load, load_tables, load_tables_bucketed, load_rejects, dq_declared_rules,
+        csv_scan, csv_roundtrip, typed_load_good, typed_load_rejects, load_counts,
         append_batch, dedup_drop_all, union_all, distinct_rows, hash_key_1, hash_key_n,
         merge_upsert, merge_insert_only, scd2_changed_keys, scd2_two_loads, scd2_three_loads,
         enrich_people, enrich_product_names, dq_pk_violations, dq_null_violations,
