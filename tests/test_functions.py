@@ -62,3 +62,15 @@ def test_generated_attributes_depend_on_the_key_only(spark):
 def test_generated_attributes_accept_missing_keys(spark, key):
     row = spark.range(1).selectExpr(f"{people.email(f'cast({key} AS string)')} AS e").first()
     assert "@example." in row.e
+
+
+def test_floating_key_text_is_exact(spark):
+    from fractions import Fraction
+
+    numbers = [0.1, -0.1, 1 / 3, -22.5, 179.99999999999997, 180.0, 0.30000000000000004, 0.3, 2.0 ** -10, 12345678.9]
+    df = spark.createDataFrame([(x,) for x in numbers], "d double")
+    for x, r in zip(numbers, df.selectExpr(f"{float_input('d')} AS t").collect(), strict=True):
+        sign, (whole, rest) = -1 if r.t[0] == "-" else 1, r.t.lstrip("-").split("+")
+        assert sign * (int(whole) + Fraction(int(rest), 1 << 62)) == Fraction(x)
+    odd = spark.createDataFrame([(float("nan"),), (float("inf"),), (1e300,), (None,)], "d double")
+    assert [r.t for r in odd.selectExpr(f"{float_input('d')} AS t").collect()] == ["NaN", "Infinity", "1.0E300", None]

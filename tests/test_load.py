@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from vaultloom.plans import pipeline, vault
 from vaultloom.plans.pipeline import LoadError, Settings, read_feeds, run_load
 from vaultloom.sources.tables import RAW_FEEDS, TABLES
-from vaultloom.sources.warehouse import REJECTS, Warehouse, create_tables
+from vaultloom.sources.warehouse import INSERT_ONLY, REJECTS, Warehouse, create_tables
 
 AT = "2024-01-01 10:00:00"
 DROP = {
@@ -289,3 +289,43 @@ def test_colliding_hub_ids_fail_every_load(spark, tmp_path, feeds, monkeypatch):
     with pytest.raises(LoadError, match="one id stands for several business keys"):
         run_load(spark, wh, feeds, Settings("2024-01-01 01:00:00", "x"))
     assert wh.snapshot().tables == {}
+
+
+@pytest.mark.parametrize("buckets", [None, 2])
+def test_removal_spares_what_newer_loads_name(spark, loaded, tmp_path, buckets):
+    from pathlib import Path
+
+    wh = Warehouse(spark, str(tmp_path / "wh"), buckets)
+    assert wh.remove_superseded() == []
+    for n in (1, 2, 3):
+        load(spark, wh, loaded[6], n)
+    before, first = all_rows(wh), "20240101"
+    gone = wh.remove_superseded()
+    data = [g for g in gone if "/wh/data/" in g]
+    assert any(f"/{first}" in g for g in data)
+    later = {g.split("/")[-2] for g in data if first not in g}
+    assert later <= set(INSERT_ONLY)  # the empty deltas of load 2, which it doesn't name
+    assert not any(Path(g).exists() for g in gone)
+    assert Path(wh.snapshot().tables["hub_cities"][0]).name.startswith(first)  # insert-only: still named
+    assert all_rows(wh) == before
+    load(spark, wh, loaded[6], 3)
+    assert all_rows(wh) == before and wh.remove_superseded() == []
+    with pytest.raises(ValueError):
+        wh.remove_superseded(1)
+
+
+def test_a_drop_announced_late_stops_the_stream(spark, tmp_path):
+    from vaultloom.streaming.drops import load_drops
+
+    wh, notes = Warehouse(spark, str(tmp_path / "wh")), tmp_path / "announced"
+    notes.mkdir()
+
+    def announce(n):
+        folder = write_drop(tmp_path / f"drop{n}")
+        (notes / f"{n}.json").write_text(f'{{"load_ts": "2024-01-0{n} 01:00:00", "folder": "{folder}"}}')
+        load_drops(spark, wh, str(notes), str(tmp_path / "checkpoint"), Settings("", "x")).awaitTermination()
+
+    announce(2)
+    with pytest.raises(Exception, match="after a later one"):
+        announce(1)
+    assert len(wh.loaded()) == 1

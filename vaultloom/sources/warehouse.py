@@ -133,6 +133,43 @@ class Warehouse:
                 f"SORTED BY ({key}) INTO {self.buckets} BUCKETS LOCATION '{path}'")
         return table
 
+    def remove_superseded(self, keep_loads: int = 2) -> list[str]:
+        """Delete what no commit of the newest ``keep_loads`` loads names: table folders, their
+        catalog entries, and intermediate tables. Returns the deleted folders.
+
+        Two loads at least, so that the newest can be repeated. Folders of the newest load and
+        of one that still runs are left alone; readers of older states lose them.
+        """
+        if keep_loads < 2:
+            raise ValueError("keep two loads at least")
+        newest = self.snapshot().load_id
+        if not newest:
+            return []
+        commits = self.spark.read.schema(_COMMIT).json(f"{self.root}/commits")
+        kept = (commits.groupBy("load_id").agg(F.max_by("tables", "committed_ns").alias("tables"))
+                .orderBy(F.desc("load_id")).limit(keep_loads).collect())
+        named = {tuple(p.split("/")[-2:]) for r in kept for paths in r.tables.values() for p in paths}
+        path_of = self.spark._jvm.org.apache.hadoop.fs.Path
+        files = path_of(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+        def folders(path: str) -> list[str]:
+            at = path_of(path)
+            return [f.getPath().getName() for f in files.listStatus(at)] if files.exists(at) else []
+
+        def older(folder: str) -> bool:
+            return folder.removeprefix(f"{SEGMENT}=").split("_")[0] < newest
+
+        gone = [f"{self.root}/scratch/{f}" for f in folders(f"{self.root}/scratch") if older(f)]
+        for name in folders(f"{self.root}/data"):
+            for folder in folders(self._folder(name)):
+                if older(folder) and (name, folder) not in named:
+                    if self._bucketed(name):
+                        self.spark.sql(f"DROP TABLE IF EXISTS {name}_{folder}")
+                    gone.append(f"{self._folder(name)}/{folder}")
+        for path in gone:
+            files.delete(path_of(path), True)
+        return gone
+
     def begin(self, load_ts: str) -> Load:
         """A load at ``load_ts``; one writer at a time, which ``commit`` checks."""
         this, newest = load_id(load_ts), self.snapshot()
