@@ -229,6 +229,11 @@ def held_out():
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(4)) == 2
 
 
+def has_letter(text):
+    """Whether a language can be told at all: false for null, and for text without a letter."""
+    return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+
+
 def training_snippets(docs: DataFrame, sampled: int = SAMPLED) -> list[tuple[str, bytes]]:
     """At most ``sampled`` x SNIPPETS snippets of each language, from rows that may be
     learned from. What comes to the driver is bounded by that number."""
@@ -274,7 +279,7 @@ def predicted(docs: DataFrame, keep_rows: bool = False, sampled: int = SAMPLED)
     row = F.struct(*[F.col(c) for c in docs.columns]) if keep_rows else F.lit(None).cast("int")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), text_bytes().alias("text"),
-        F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"), row.alias("d"))
+        has_letter(F.col("text")).alias("letters"), row.alias("d"))
     kind = rows.schema["d"].dataType.simpleString()
     return rows.mapInArrow(
         _predictions(net), f"doc_id long, held_out boolean, lang_pred string, score double, d {kind}")
