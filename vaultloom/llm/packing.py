@@ -28,7 +28,7 @@ from vaultloom.sources.scratch import scratch_folder, written
 
 LENGTHS = (512, 1024, 2048, 4096)
 OVERHEAD = 16
-SHARD_PIECES = 1024
+SHARD_PIECES = 100_000
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
