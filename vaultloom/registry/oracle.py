@@ -95,6 +95,8 @@ def _raw(n: int) -> dict[str, str]:
     order_here = ("o_orderdate < TIMESTAMP '2001-01-01'" if n == 1
                   else "NOT (o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '1996-01-01')")
     places = "nation JOIN region ON n_regionkey = r_regionkey"
+    line_id = hk("l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", floating("l_extendedprice"),
+                 floating("l_quantity"), "copy")
     return {
         f"cust_{n}": f"""
             SELECT *, (1000 + c_nationkey * 40 + c_custkey % 40
@@ -146,14 +148,13 @@ def _raw(n: int) -> dict[str, str]:
                    CASE WHEN p_type IN ('ECONOMY', 'PROMO') THEN 'budget' ELSE lower(p_type) END AS english
             FROM part WHERE NOT (p_type = 'MEDIUM' AND split_part(p_name, ' ', 2) = 'rod')""",
         f"raw_order_items_{n}": f"""
-            SELECT 'O' || l_orderkey AS order_id, {hk('l_partkey', 'l_suppkey', 'l_linenumber')} AS order_item_id,
+            SELECT 'O' || l_orderkey AS order_id, {line_id} AS order_item_id,
                    'P' || l_partkey AS product_id, 'S' || l_suppkey AS seller_id,
                    l_shipdate AS shipping_limit_date, l_extendedprice AS price,
                    l_quantity + CASE WHEN l_linenumber = 7 THEN {later} ELSE 0 END AS freight_value
-            FROM lineitem WHERE {"l_shipdate < TIMESTAMP '2001-01-01'" if n == 1 else "true"}
-            QUALIFY row_number() OVER (
-                PARTITION BY l_orderkey, l_partkey, l_suppkey, l_linenumber
-                ORDER BY l_extendedprice DESC, l_quantity DESC, l_shipdate DESC) = 1""",
+            FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate,
+                                                     l_extendedprice, l_quantity) AS copy FROM lineitem
+                  WHERE {"l_shipdate < TIMESTAMP '2001-01-01'" if n == 1 else "true"})""",
         f"raw_payments_{n}": f"""
             SELECT 'O' || o_orderkey AS order_id, seq::int AS payment_sequential,
                    replace(lower(substr(o_orderpriority, 3)), ' ', '_') AS kind,
@@ -356,10 +357,14 @@ def _steps() -> dict[str, str]:
     for n in LOADS:
         for make in (_raw, _prep, _staged, _sources, _states):
             steps.update(make(n))
-    steps["untidy_items_1"] = """
-        SELECT CASE WHEN freight_value <> 13 THEN order_id END AS order_id, product_id, seller_id,
-               CASE WHEN freight_value <> 11 THEN price END AS price, freight_value = 7 AS bad
-        FROM raw_order_items_1"""
+    for n in (1, 2):
+        steps[f"untidy_items_{n}"] = f"""
+            SELECT CASE WHEN freight_value <> 13 THEN order_id END AS order_id, order_item_id, product_id, seller_id,
+                   CASE WHEN freight_value <> 11 THEN price END AS price, freight_value = 7 AS bad
+            FROM raw_order_items_{n}"""
+        steps[f"tidy_items_{n}"] = f"SELECT * FROM untidy_items_{n} WHERE NOT bad AND order_id IS NOT NULL"
+        steps[f"stg_tidy_items_{n}"] = _latest(
+            [(m, f"tidy_items_{m}") for m in range(1, n + 1)], STAGING_KEYS["order_items"])
     # both drops of each feed, as vault rows of which none is left out
     steps.update({f"both_{t}_2": f"SELECT * FROM prep_{t}_1 UNION ALL SELECT * FROM prep_{t}_2" for t in STAGING_KEYS})
     steps["both_order_items_2"] = """
@@ -416,30 +421,30 @@ def _checksums() -> str:
         for name, t in TABLES.items())
 
 
-def _load_rejects() -> str:
+def _load_rejects(n: int) -> str:
+    """Cells and NULL keys of the drop itself, the rest of what staging holds after it."""
     def left_out(table, reason, source, where, *ids):
         cells = [c if c in ids else f"NULL::varchar AS {c}"
                  for c in ("order_id", "product_id", "seller_id", "customer_id", "review_id")]
-        return (f"SELECT '{table}' AS table_name, '{reason}' AS reason, {', '.join(cells)} "
+        return (f"SELECT {n} AS load_no, '{table}' AS table_name, '{reason}' AS reason, {', '.join(cells)} "
                 f"FROM {source} WHERE {where}")
 
     def unknown(parent):
-        return f"{parent}_id NOT IN (SELECT {parent}_id FROM stg_{parent}s_1)"
+        return f"{parent}_id NOT IN (SELECT {parent}_id FROM stg_{parent}s_{n})"
 
-    items, staged = "untidy_items_1", "NOT bad AND order_id IS NOT NULL"
+    items, staged = f"untidy_items_{n}", f"stg_tidy_items_{n}"
     pair, line = ("product_id", "seller_id"), ("order_id", "product_id")
     return " UNION ALL ".join([
         left_out("order_items", "bad cells price", items, "bad", "order_id", *pair),
         left_out("order_items", "missing order_id", items, "NOT bad AND order_id IS NULL", *pair),
-        *[left_out("l_product_seller", f"no hub_{p}s row", items, f"{staged} AND {unknown(p)}", *pair)
+        *[left_out("l_product_seller", f"no hub_{p}s row", staged, unknown(p), *pair)
           for p in ("product", "seller")],
-        left_out("l_order_items", "missing price", items, f"{staged} AND price IS NULL", *line),
-        *[left_out("l_order_items", f"no hub_{p}s row", items,
-                   f"{staged} AND price IS NOT NULL AND {unknown(p)}", *line)
+        left_out("l_order_items", "missing price", staged, "price IS NULL", *line),
+        *[left_out("l_order_items", f"no hub_{p}s row", staged, f"price IS NOT NULL AND {unknown(p)}", *line)
           for p in ("product", "order")],
-        left_out("l_order_customer", "no hub_customers row", "stg_orders_1", unknown("customer"),
+        left_out("l_order_customer", "no hub_customers row", f"stg_orders_{n}", unknown("customer"),
                  "order_id", "customer_id"),
-        left_out("l_review_order", "no hub_orders row", "stg_reviews_1", unknown("order"),
+        left_out("l_review_order", "no hub_orders row", f"stg_reviews_{n}", unknown("order"),
                  "order_id", "review_id"),
     ])
 
@@ -581,7 +586,7 @@ def all_oracles() -> dict[str, str]:
             for parent in parents),
         "load_tables": _checksums(),
         "load_tables_bucketed": _checksums(),
-        "load_rejects": _load_rejects(),
+        "load_rejects": " UNION ALL ".join(_load_rejects(n) for n in (1, 2)),
         "dq_declared_rules": _declared_rules(),
     }
     for t in STAGING_KEYS:

@@ -303,23 +303,26 @@ def load_tables_bucketed(spark, folder):
 
 
 def load_rejects(spark, folder):
-    """What one whole load leaves out of untidy order items, read from CSV: prices that
+    """What two whole loads leave out of untidy order items, read from CSV: prices that
     are no numbers, items without an order or a price, and references to rows not sent."""
     scratch = scratch_folder(spark)
-    feeds = {feed: raw_feed(spark, folder, feed, 1) for feed in RAW_FEEDS}
-    untidy = feeds["order_items"].selectExpr(
-        "CASE WHEN freight_value <> 13 THEN order_id END AS order_id",
-        "order_item_id", "product_id", "seller_id", "shipping_limit_date",
-        "CASE WHEN freight_value = 7 THEN 'zz' WHEN freight_value <> 11 THEN cast(price AS string) END"
-        " AS price", "freight_value")
-    csv_files.write_csv(untidy, f"{scratch}/items")
-    feeds["order_items"], bad = csv_files.csv_scan(
-        spark, f"{scratch}/items", RAW_FEEDS["order_items"], multiline=False)
-    warehouse = Warehouse(spark, f"{scratch}/warehouse")
-    run_load(spark, warehouse, feeds, Settings(load_ts(1), LOAD_SRC), {"order_items": bad})
-    ids = ("order_id", "product_id", "seller_id", "customer_id", "review_id")
-    return warehouse.table(REJECTS).selectExpr(
-        "table_name", "reason", *[f"get_json_object(row, '$.{c}') AS {c}" for c in ids])
+    warehouse, ids = Warehouse(spark, f"{scratch}/warehouse"), (
+        "order_id", "product_id", "seller_id", "customer_id", "review_id")
+    found = []
+    for n in (1, 2):
+        feeds = {feed: raw_feed(spark, folder, feed, n) for feed in RAW_FEEDS}
+        untidy = feeds["order_items"].selectExpr(
+            "CASE WHEN freight_value <> 13 THEN order_id END AS order_id",
+            "order_item_id", "product_id", "seller_id", "shipping_limit_date",
+            "CASE WHEN freight_value = 7 THEN 'zz' WHEN freight_value <> 11 THEN cast(price AS string) END"
+            " AS price", "freight_value")
+        csv_files.write_csv(untidy, f"{scratch}/items{n}")
+        feeds["order_items"], bad = csv_files.csv_scan(
+            spark, f"{scratch}/items{n}", RAW_FEEDS["order_items"], multiline=False)
+        run_load(spark, warehouse, feeds, Settings(load_ts(n), LOAD_SRC), {"order_items": bad})
+        found.append(warehouse.table(REJECTS).selectExpr(
+            f"{n} AS load_no", "table_name", "reason", *[f"get_json_object(row, '$.{c}') AS {c}" for c in ids]))
+    return reduce(DataFrame.unionByName, found)
 
 
 def _prep_query(feed: str) -> Query:

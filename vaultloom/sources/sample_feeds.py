@@ -9,9 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from vaultloom.functions.keys import hash_key
+from vaultloom.functions.keys import float_input, hash_key
 from vaultloom.sources.tables import RAW_FEEDS
 
 
@@ -168,24 +167,25 @@ def raw_translation(spark: SparkSession, folder: str, load: int) -> DataFrame:
 
 
 def raw_order_items(spark: SparkSession, folder: str, load: int) -> DataFrame:
-    """Line items; the item number is derived from what tells an order's lines apart."""
+    """All line items. The item number is derived from what tells an order's lines apart;
+    lines alike in all of it are counted, which folds them in the tasks, and numbered."""
     lines = _read(spark, folder, "lineitem")
     if load == 1:
         lines = lines.filter("l_shipdate < TIMESTAMP_NTZ'2001-01-01 00:00:00'")
-    # of lines that share all four numbers one is taken whole, the dearest first
-    nth = Window.partitionBy("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").orderBy(
-        F.desc("l_extendedprice"), F.desc("l_quantity"), F.desc("l_shipdate"))
-    items = lines.withColumn("nth", F.row_number().over(nth)).filter("nth = 1").selectExpr(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate AS shipped",
-        "l_extendedprice AS price", "l_quantity AS quantity")
+    alike = lines.groupBy(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice", "l_quantity")
+    items = _sent(alike.agg(F.count(F.lit(1)).alias("copies")), "cast(copies AS int)")
     return _as_feed(
         items, "order_items",
         order_id="concat('O', l_orderkey)",
-        order_item_id=hash_key("l_partkey", "l_suppkey", "l_linenumber"),
+        order_item_id=hash_key(
+            "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", float_input("l_extendedprice"),
+            float_input("l_quantity"), "sent"),
         product_id="concat('P', l_partkey)",
         seller_id="concat('S', l_suppkey)",
-        shipping_limit_date="shipped",
-        freight_value=f"quantity + CASE WHEN l_linenumber = 7 THEN {load - 1} ELSE 0 END",
+        shipping_limit_date="l_shipdate",
+        price="l_extendedprice",
+        freight_value=f"l_quantity + CASE WHEN l_linenumber = 7 THEN {load - 1} ELSE 0 END",
     )
 
 
