@@ -142,6 +142,21 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> Data
     return found.join(names, "fp").select("doc_id", "fp", "component_id")
 
 
+def kept_rows(rows: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+    """The row of each component with the least doc_id, nulls last, then the least row.
+
+    ``rows`` has a unique ``row`` beside ``doc_id`` and ``text``; all columns are returned.
+    """
+    folder = scratch_folder(rows.sparkSession)
+    found = written(
+        fingerprints(rows, "row", "doc_id", shingle_words=shingle_words), folder, "fingerprints")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("row"))
+    distinct = written(found.groupBy("fp").agg(F.min(place).alias("place")), folder, "distinct")
+    rooted = written(_rooted(distinct.select("fp")).join(distinct, "fp"), folder, "rooted")
+    kept = rooted.groupBy("root").agg(F.min("place").alias("place")).select(F.col("place.row").alias("row"))
+    return rows.join(written(kept, folder, "kept"), "row", "left_semi")
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
