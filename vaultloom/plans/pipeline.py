@@ -190,7 +190,9 @@ def compact(warehouse: Warehouse) -> None:
 
 
 def _cells(feed: str, rejected: DataFrame) -> DataFrame:
-    cells = [c for c in rejected.columns if c != "bad_columns"]
+    cells = [c for c in rejected.columns if c not in ("bad_columns", "record")]
+    if "record" in rejected.columns:
+        cells.append("record")
     row = f"to_json(struct({', '.join(cells)}), map('ignoreNullFields', 'false')) AS row"
     return rejected.selectExpr(
         f"'{feed}' AS table_name", "concat('bad cells ', bad_columns) AS reason", row)

@@ -402,7 +402,7 @@ def _items_cells() -> str:
                CASE WHEN l_linestatus = 'O' AND l_returnflag = 'R' THEN 'not yet'
                     ELSE l_shipdate::varchar END AS shipping_limit_date,
                CASE WHEN l_discount = 0.1::double THEN 'zz' ELSE l_extendedprice::varchar END AS price,
-               CASE WHEN l_tax > 0 THEN l_quantity END AS freight_value
+               CASE WHEN l_tax > 0 THEN l_quantity END AS freight_value, l_tax = 0.08::double AS longer
         FROM lineitem"""
 
 
@@ -503,13 +503,15 @@ def all_oracles() -> dict[str, str]:
         "typed_load_good": f"""
             SELECT order_id, order_item_id::bigint AS order_item_id, product_id, seller_id,
                    shipping_limit_date::timestamp AS shipping_limit_date, price::double AS price, freight_value
-            FROM ({_items_cells()}) WHERE shipping_limit_date <> 'not yet' AND price <> 'zz'""",
+            FROM ({_items_cells()}) WHERE shipping_limit_date <> 'not yet' AND price <> 'zz' AND NOT longer""",
         "typed_load_rejects": f"""
             SELECT order_id, order_item_id::varchar AS order_item_id, product_id, seller_id,
                    shipping_limit_date, price, freight_value::varchar AS freight_value,
                    concat_ws(',', CASE WHEN shipping_limit_date = 'not yet' THEN 'shipping_limit_date' END,
-                             CASE WHEN price = 'zz' THEN 'price' END) AS bad_columns
-            FROM ({_items_cells()}) WHERE shipping_limit_date = 'not yet' OR price = 'zz'""",
+                             CASE WHEN price = 'zz' THEN 'price' END, CASE WHEN longer THEN '_record' END) AS bad_columns,
+                   CASE WHEN longer THEN concat_ws(',', order_id, order_item_id, product_id, seller_id, shipping_limit_date,
+                                                   price, freight_value, 'one more') END AS record
+            FROM ({_items_cells()}) WHERE shipping_limit_date = 'not yet' OR price = 'zz' OR longer""",
         "load_counts": " UNION ALL ".join(
             f"SELECT '{t}' AS table_name, count(*) AS row_count FROM stg_{t}_2" for t in STAGING_KEYS),
         "append_batch": """

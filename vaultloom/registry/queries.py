@@ -67,8 +67,9 @@ def csv_roundtrip(spark, folder):
 
 
 def _untidy_items(spark, folder):
-    """Line items as a CSV in which some cells do not have their column's type."""
-    path = f"{scratch_folder(spark)}/items"
+    """Line items as a CSV in which some cells do not have their column's type, and some
+    records have a cell more than there are columns."""
+    path, columns = f"{scratch_folder(spark)}/items", TABLES["order_items"].plain_schema
     lines = _table(spark, folder, "lineitem").selectExpr(
         "concat('O', l_orderkey) AS order_id", "l_linenumber AS order_item_id",
         "concat('P', l_partkey) AS product_id", "concat('S', l_suppkey) AS seller_id",
@@ -76,9 +77,11 @@ def _untidy_items(spark, folder):
         " ELSE cast(l_shipdate AS string) END AS shipping_limit_date",
         "CASE WHEN l_discount = 0.1D THEN 'zz' ELSE cast(l_extendedprice AS string) END AS price",
         "CASE WHEN l_tax > 0 THEN l_quantity END AS freight_value",
+        "CASE WHEN l_tax = 0.08D THEN ',one more' ELSE '' END AS more",
     )
-    csv_files.write_csv(lines, path)
-    return csv_files.typed_load(spark, path, TABLES["order_items"].plain_schema, multiline=False)
+    cells = [f"coalesce(cast({c} AS string), '')" for c in columns.names]
+    lines.selectExpr(f"concat(concat_ws(',', {', '.join(cells)}), more) AS value").write.text(path)
+    return csv_files.typed_load(spark, path, columns, header=False, multiline=False)
 
 
 def typed_load_good(spark, folder):
