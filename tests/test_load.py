@@ -284,7 +284,7 @@ def feeds(spark):
 
 
 def test_colliding_hub_ids_fail_every_load(spark, tmp_path, feeds, monkeypatch):
-    monkeypatch.setattr(vault.Ref, "expression", lambda ref: "1L")
+    monkeypatch.setattr(vault.Ref, "expression", lambda ref, key="": "1L")
     wh = Warehouse(spark, str(tmp_path / "collision"))
     with pytest.raises(LoadError, match="one id stands for several business keys"):
         run_load(spark, wh, feeds, Settings("2024-01-01 01:00:00", "x"))
@@ -329,3 +329,40 @@ def test_a_drop_announced_late_stops_the_stream(spark, tmp_path):
     with pytest.raises(Exception, match="after a later one"):
         announce(1)
     assert len(wh.loaded()) == 1
+
+
+def test_a_collision_with_a_key_that_left_staging_fails_the_load(spark, tmp_path, monkeypatch):
+    real = vault.Ref.expression
+    monkeypatch.setattr(vault.Ref, "expression", lambda ref, key="int60": "7L" if ref == vault.CITY else real(ref, key))
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    only = {"customers": DROP["customers"][:2], "orders": DROP["orders"][:2]}
+    first = write_drop(tmp_path / "1", {**only, "geolocation": ["100,-22.5,-47.25,one,SP", "200,-23.5,-46.5,one,SP"]})
+    load(spark, wh, first, 1)
+    load(spark, wh, first, 2)  # the same key again is no collision
+    assert rows(wh.table("hub_cities"), "id") == Counter([(7,)])
+    renamed = write_drop(tmp_path / "2", {**only, "geolocation": ["100,-22.5,-47.25,two,SP", "200,-23.5,-46.5,two,SP"]})
+    with pytest.raises(LoadError, match="hub_cities: one id stands for several"):
+        load(spark, wh, renamed, 3)
+    assert wh.snapshot().load_id.startswith("20240102")
+
+
+def test_wide_keys(spark, loaded, tmp_path):
+    """A load with 128-bit keys holds the same rows under other ids, and its warehouse takes no others."""
+    wide = Warehouse(spark, str(tmp_path / "wide"), buckets=2)
+    load(spark, wide, loaded[6], 1, key="hex128")
+    plain = Warehouse(spark, str(tmp_path / "plain"))
+    load(spark, plain, loaded[6], 1)
+    for name, t in TABLES.items():
+        ids = set(t.hash_keys)
+        others = [c for c in t.columns if c not in ids]
+        assert rows(wide.table(name), *others) == rows(plain.table(name), *others), name
+        assert all(wide.table(name).filter(f"length({c}) <> 32 OR {c} IS NULL").isEmpty() for c in ids), name
+    hub, status = wide.table("hub_orders"), wide.table("sat_order_statuses")
+    assert hub.join(status, hub.id == status.order_id).count() == status.count() == 3
+    load(spark, wide, loaded[6], 2, key="hex128")
+    with pytest.raises(ValueError, match="hex128, not int60"):
+        load(spark, wide, loaded[6], 3)
+    with pytest.raises(ValueError, match="int60, not hex128"):
+        load(spark, plain, loaded[6], 2, key="hex128")
+    with pytest.raises(ValueError, match="unknown kind"):
+        load(spark, Warehouse(spark, str(tmp_path / "none")), loaded[6], 1, key="hex64")

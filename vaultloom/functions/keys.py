@@ -7,8 +7,13 @@ NULL hashes to a normal value and ``('a|b','c')`` differs from ``('a','b|c')``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 KEY_HEX_DIGITS = 15  # 60 bits: always a positive bigint
 
+INT60, HEX128 = "int60", "hex128"
+"""Kinds of key: a bigint of 60 bits, or 32 hex digits for warehouses beyond some 10^9 keys."""
+
 
 def key_part(c: str) -> str:
     text = f"cast({c} as string)"
@@ -28,7 +33,7 @@ def float_input(c: str) -> str:
 
 
 def hex_key(*columns: str) -> str:
-    """128-bit key as 32 hex digits, for warehouses beyond some 10^9 keys."""
+    """128-bit key as 32 hex digits."""
     return f"md5(concat({', '.join(key_part(c) for c in columns)}))"
 
 
@@ -41,3 +46,20 @@ def hash_key(*columns: str, digits: int = KEY_HEX_DIGITS) -> str:
     """
     key = f"cast(conv(substr({hex_key(*columns)}, 1, {digits}), 16, 10) as bigint)"
     return f"coalesce({key}, 0L)"
+
+
+def key_of(kind: str, *columns: str) -> str:
+    """The key of a kind over the columns."""
+    if kind not in (INT60, HEX128):
+        raise ValueError(f"unknown kind of key {kind!r}")
+    return hash_key(*columns) if kind == INT60 else hex_key(*columns)
+
+
+def digest_of(*columns: str) -> str:
+    """128 bits of another hash than the keys', to tell apart what shares a key."""
+    return f"substr(sha2(concat({', '.join(key_part(c) for c in columns)}), 256), 1, 32)"
+
+
+def key_inputs(schema, columns: Sequence[str]) -> list[str]:
+    """The columns as inputs of a key: floating ones by the text that is defined here."""
+    return [float_input(c) if schema[c].dataType.typeName() in ("double", "float") else c for c in columns]

@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vaultloom.functions.keys import INT60
 from vaultloom.operators import dedup, history, merge, quality
 from vaultloom.operators.quality import LoadError
 from vaultloom.operators.quality import expect_none as _expect_none
@@ -21,7 +22,7 @@ from vaultloom.plans import prep, staging, vault
 from vaultloom.sources import csv_files
 from vaultloom.sources.scratch import scratch_folder, written
 from vaultloom.sources.tables import HUB, RAW_FEEDS, TABLES
-from vaultloom.sources.warehouse import REJECTS, Load, Warehouse
+from vaultloom.sources.warehouse import LEDGER, REJECTS, Load, Warehouse
 
 __all__ = ["LoadError", "Settings", "compact", "read_feeds", "read_prepared", "run_load", "write_prepared"]
 
@@ -38,6 +39,7 @@ class Settings:
     strict: bool = False  # enforce every declared rule and allow no rejects
     close: str = history.CLOSE_OPEN_ONLY
     first_seen: bool = False  # hubs keep the audit columns of a key's first load
+    key: str = INT60  # or HEX128; a warehouse has one kind of key for good
     parallel_jobs: int = 8
 
 
@@ -85,7 +87,7 @@ def run_load(
     ``rejected`` are the raw rows that ``read_feeds`` could not type. They go to the
     rejects with what staging and the vault leave out.
     """
-    load = warehouse.begin(settings.load_ts)
+    load = warehouse.begin(settings.load_ts, settings.key)
     with ThreadPoolExecutor(settings.parallel_jobs) as pool:
         def each(work: Callable, items: Iterable) -> list:
             return list(pool.map(work, items))
@@ -128,9 +130,11 @@ def _load_job(load: Load, job: vault.Job, settings: Settings) -> DataFrame:
     parents = TABLES[job.table].parents
     checked = vault.checked_references(job, settings.strict)
     hubs = {parents[c]: load.current(parents[c]) for c in checked}
-    missing = vault.missing_references(job, rows, hubs, settings.strict, load.keep)
-    source = vault.source_rows(job, rows, missing, settings.load_ts, settings.load_src)
+    missing = vault.missing_references(job, rows, hubs, settings.strict, load.keep, settings.key)
+    source = vault.source_rows(job, rows, missing, settings.load_ts, settings.load_src, settings.key)
     _check_keys(job, source, settings)
+    if TABLES[job.table].layer == HUB and vault.may_forget(job):
+        _check_ledger(load, job, rows, settings)
     if settings.strict:
         _check_lengths(job, source)
     _merge(load, job, source, settings)
@@ -171,6 +175,20 @@ def _check_keys(job: vault.Job, source: DataFrame, settings: Settings) -> None:
     _expect_none(quality.merge_ambiguity(source, key), f"{job.table}: {rule}")
 
 
+def _check_ledger(load: Load, job: vault.Job, rows: DataFrame, settings: Settings) -> None:
+    """Staging may have lost keys that the hub still stands for; their digests are kept
+    in a ledger, so that a new key with the id of a lost one is seen before the merge."""
+    name = LEDGER + job.table
+    digests = load.keep(vault.key_digests(job, rows, settings.key), f"{job.table}.digests")
+    before = load.target(name)
+    if before is not None:
+        known = before.selectExpr("id", "digest AS known_digest")
+        _expect_none(
+            digests.join(known, "id").filter("digest <> known_digest"),
+            f"{job.table}: one id stands for several business keys")
+    load.append(name, merge.new_rows(before, digests, ["id"]))
+
+
 def _check_lengths(job: vault.Job, source: DataFrame) -> None:
     table = TABLES[job.table]
     key = list(job.refs) if job.mode == vault.HISTORY else table.key
@@ -182,7 +200,7 @@ def compact(warehouse: Warehouse) -> None:
     """Rewrite each growing table as one folder, under the newest load; maintenance, to be
     called between loads. Rows stay as they are."""
     newest = warehouse.snapshot()
-    load = Load(warehouse, newest.load_id, newest, newest)
+    load = Load(warehouse, newest.load_id, newest, newest, newest.key)
     for name, folders in newest.tables.items():
         if len(folders) > 1:
             load.replace(name, warehouse.table(name, newest))

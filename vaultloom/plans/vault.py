@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultloom.functions.keys import float_input, hash_key
+from vaultloom.functions.keys import INT60, digest_of, float_input, key_of
 from vaultloom.operators import history, merge, quality
 from vaultloom.operators.dedup import anti_join_null_safe
 from vaultloom.sources.tables import TABLES
@@ -35,8 +35,11 @@ class Ref:
     columns: tuple[str, ...]
     nullable: bool = False
 
-    def expression(self) -> str:
-        return hash_key(*[float_input(c) if c in FLOATING else c for c in self.columns])
+    def inputs(self) -> list[str]:
+        return [float_input(c) if c in FLOATING else c for c in self.columns]
+
+    def expression(self, key: str = INT60) -> str:
+        return key_of(key, *self.inputs())
 
 
 @dataclass(frozen=True)
@@ -164,14 +167,28 @@ def business_rows(
     return rows
 
 
-def orphans(job: Job, rows: DataFrame, column: str, hubs: Mapping[str, DataFrame]) -> DataFrame:
+def may_forget(job: Job) -> bool:
+    """Whether staging can lose a business key of the hub: where it is not staging's key."""
+    [ref] = job.refs.values()
+    return set(ref.columns) != set(TABLES[job.source].key)
+
+
+def key_digests(job: Job, rows: DataFrame, key: str = INT60) -> DataFrame:
+    """(id, digest) of a hub's business keys; the digest tells keys apart that share an id."""
+    [ref] = job.refs.values()
+    return rows.selectExpr(f"{ref.expression(key)} AS id", f"{digest_of(*ref.inputs())} AS digest").distinct()
+
+
+def orphans(
+    job: Job, rows: DataFrame, column: str, hubs: Mapping[str, DataFrame], key: str = INT60
+) -> DataFrame:
     """Business keys of a reference whose hub lacks the id, each once.
 
     The distinct comes first: it folds hot values inside the tasks, so the rows
     that refer to one popular parent never meet in a single partition.
     """
     ref, hub = job.refs[column], hubs[TABLES[job.table].parents[column]]
-    keys = rows.select(*ref.columns).distinct().selectExpr("*", f"{ref.expression()} AS id")
+    keys = rows.select(*ref.columns).distinct().selectExpr("*", f"{ref.expression(key)} AS id")
     return keys.join(hub.select("id"), "id", "left_anti").select(*ref.columns)
 
 
@@ -186,6 +203,7 @@ def missing_references(
     hubs: Mapping[str, DataFrame],
     strict: bool = False,
     keep: Keep | None = None,
+    key: str = INT60,
 ) -> dict[str, DataFrame]:
     """Orphan keys per checked reference of the business rows.
 
@@ -193,14 +211,15 @@ def missing_references(
     are usually few; once written their size is known, and the planner
     broadcasts them instead of moving the wide rows.
     """
-    found = {c: orphans(job, rows, c, hubs) for c in checked_references(job, strict)}
+    found = {c: orphans(job, rows, c, hubs, key) for c in checked_references(job, strict)}
     if keep is None:
         return found
     return {c: keep(df, f"{job.table}.{c}") for c, df in found.items()}
 
 
 def source_rows(
-    job: Job, rows: DataFrame, missing: Mapping[str, DataFrame], load_ts: str, load_src: str
+    job: Job, rows: DataFrame, missing: Mapping[str, DataFrame], load_ts: str, load_src: str,
+    key: str = INT60,
 ) -> DataFrame:
     """The rows the job merges: business rows whose references are in their hubs."""
     for column, orphan_keys in missing.items():
@@ -209,16 +228,18 @@ def source_rows(
             rows = anti_join_null_safe(rows, orphan_keys, ref.columns)
         else:
             rows = rows.join(orphan_keys, list(ref.columns), "left_anti")
-    return finished_rows(job, rows, load_ts, load_src)
+    return finished_rows(job, rows, load_ts, load_src, key)
 
 
-def finished_rows(job: Job, rows: DataFrame, load_ts: str, load_src: str) -> DataFrame:
+def finished_rows(
+    job: Job, rows: DataFrame, load_ts: str, load_src: str, key: str = INT60
+) -> DataFrame:
     """Business rows as rows of the table, but for the interval of a history."""
     fields = {f.name: f.dataType.simpleString() for f in TABLES[job.table].plain_schema}
-    ids = [f"{ref.expression()} AS {column}" for column, ref in job.refs.items()]
+    ids = [f"{ref.expression(key)} AS {column}" for column, ref in job.refs.items()]
     values = [f"cast({src} as {fields[c]}) AS {c}" for c, src in job.values.items()]
     rows = rows.selectExpr(*ids, *values)
-    made = {c: f"{hash_key(*columns)} AS {c}" for c, columns in job.combined.items()}
+    made = {c: f"{key_of(key, *columns)} AS {c}" for c, columns in job.combined.items()}
     present = [c for c in fields if c in made or c in rows.columns]
     return rows.selectExpr(
         *[made.get(c, c) for c in present], *merge.audit_columns(load_ts, load_src))

@@ -241,8 +241,8 @@ def _staged(n: int) -> dict[str, str]:
 
 
 # Vault: what load n contributes, then the latest contribution per key ---------
-def _sources(n: int, staged: str = "stg", made: str = "src", checked: bool = True) -> dict[str, str]:
-    """``checked``: rows whose references are staged."""
+def _sources(n: int, staged: str = "stg", made: str = "src", checked: bool = True, hk=hk) -> dict[str, str]:
+    """``checked``: rows whose references are staged. ``hk`` makes the keys."""
     audit = f"{ts(n)} AS load_dttm, {SRC} AS load_src"
     s = {t: f"{staged}_{t}_{n}" for t in STAGING_KEYS}
     cust, order, prod, sell, rev = (
@@ -323,14 +323,15 @@ VAULT_KEYS = {
 }
 
 
-def _states(n: int) -> dict[str, str]:
+def _states(n: int, made: str = "src", state: str = "") -> dict[str, str]:
     steps = {
-        f"{t}_{n}": _latest([(m, f"src_{t}_{m}") for m in range(1, n + 1)], keys,
-                            newest=t not in INSERT_ONLY)
+        f"{state}{t}_{n}": _latest([(m, f"{made}_{t}_{m}") for m in range(1, n + 1)], keys,
+                                   newest=t not in INSERT_ONLY)
         for t, keys in VAULT_KEYS.items()
     }
-    for t, (key, value) in HISTORIES.items():
-        seen = " UNION ALL ".join(f"SELECT *, {m} AS m FROM src_{t}_{m}" for m in range(1, n + 1))
+    for name, (key, value) in HISTORIES.items():
+        t = state + name
+        seen = " UNION ALL ".join(f"SELECT *, {m} AS m FROM {made}_{name}_{m}" for m in range(1, n + 1))
         steps[f"seen_{t}_{n}"] = seen
         # A row opens where the value differs from the one before, and closes
         # where the next row opens.
@@ -357,6 +358,9 @@ def _steps() -> dict[str, str]:
     for n in LOADS:
         for make in (_raw, _prep, _staged, _sources, _states):
             steps.update(make(n))
+    for n in LOADS:
+        steps.update(_sources(n, made="widesrc", hk=hexkey))
+    steps.update(_states(3, made="widesrc", state="wide_"))
     for n in (1, 2):
         steps[f"untidy_items_{n}"] = f"""
             SELECT CASE WHEN freight_value <> 13 THEN order_id END AS order_id, order_item_id, product_id, seller_id,
@@ -412,12 +416,12 @@ def _two_modes(n: int) -> str:
             f"SELECT *, 'all_differing' FROM {t}_moving_{n}")
 
 
-def _checksums() -> str:
+def _checksums(state: str = "") -> str:
     """Rows of each table after three loads, and the sum of a 32-bit hash of each row."""
     return " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count, "
         f"sum({hk(*t.columns, digits=8)})::varchar AS checksum "
-        f"FROM {'stg_' if name in STAGING_KEYS else ''}{name}_3"
+        f"FROM {'stg_' if name in STAGING_KEYS else state}{name}_3"
         for name, t in TABLES.items())
 
 
@@ -485,6 +489,15 @@ def _declared_rules() -> str:
     return " UNION ALL ".join(found)
 
 
+def _hub_keys():
+    for t in ("customer", "order", "product", "seller", "review"):
+        yield f"hub_{t}s", f"{t}s", [f"{t}_id"], [f"{t}_id"]
+    yield "hub_categories", "products", ["category_name_eng"], ["category_name_eng"]
+    point = ["zip_code", "latitude", "longitude"]
+    yield "hub_geolocations", "geolocation", point, [point[0], floating(point[1]), floating(point[2])]
+    yield "hub_cities", "geolocation", ["city", "state"], ["city", "state"]
+
+
 def all_oracles() -> dict[str, str]:
     steps = _steps()
     reject = "json_object({}) AS row"
@@ -526,7 +539,7 @@ def all_oracles() -> dict[str, str]:
         "distinct_rows": "SELECT DISTINCT user_id, event_type FROM events",
         "hash_key_1": f"SELECT doc_id, {hk('text')} AS text_key, {hexkey('text')} AS text_hex FROM documents",
         "hash_key_n": f"""
-            SELECT event_id, {hk('user_id', 'ts', 'value')} AS event_key,
+            SELECT event_id, {hk('user_id', 'ts', floating('value'))} AS event_key,
                    {hk('event_type', 'nullif(user_id, 8)')} AS type_key FROM events""",
         "merge_upsert": """
             SELECT c_custkey, c_name, c_nationkey, c_mktsegment,
@@ -561,10 +574,10 @@ def all_oracles() -> dict[str, str]:
             f"FROM stg_reviews_2 WHERE strlen({c}) > {n}"
             for c, n in (("review_id", 100), ("order_id", 100), ("comment_title", 100),
                          ("comment_message", 300))),
-        "dq_hash_collisions": f"""
-            SELECT {hk('customer_id', digits=3)} AS id, count(DISTINCT customer_id) AS business_keys
-            FROM (SELECT customer_id FROM raw_customers_1 UNION SELECT customer_id FROM raw_customers_2)
-            GROUP BY 1 HAVING count(DISTINCT customer_id) > 1""",
+        "dq_hash_collisions": " UNION ALL ".join(f"""
+            SELECT '{hub}' AS table_name, {hk(*inputs, digits=2)} AS id, count(*) AS business_keys
+            FROM (SELECT DISTINCT {", ".join(columns)} FROM both_{staged}_2) GROUP BY 2 HAVING count(*) > 1"""
+            for hub, staged, columns, inputs in _hub_keys()),
         "dq_merge_ambiguity": """
             SELECT zip_code, count(*) AS copies FROM stg_geolocation_2 GROUP BY 1 HAVING count(*) > 1""",
         "vault_rejects": f"""
@@ -588,6 +601,7 @@ def all_oracles() -> dict[str, str]:
             for parent in parents),
         "load_tables": _checksums(),
         "load_tables_bucketed": _checksums(),
+        "load_tables_wide": _checksums("wide_"),
         "load_rejects": " UNION ALL ".join(_load_rejects(n) for n in (1, 2)),
         "dq_declared_rules": _declared_rules(),
     }

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultloom.functions import people
-from vaultloom.functions.keys import hash_key, hex_key
+from vaultloom.functions.keys import HEX128, hash_key, hex_key, key_inputs
 from vaultloom.operators import dedup, history, merge, quality
 from vaultloom.plans import rules, staging, vault
 from vaultloom.plans.chain import Chain
@@ -140,8 +140,9 @@ def hash_key_1(spark, folder):
 
 
 def hash_key_n(spark, folder):
-    return _table(spark, folder, "events").selectExpr(
-        "event_id", f"{hash_key('user_id', 'ts', 'value')} AS event_key",
+    events = _table(spark, folder, "events")
+    return events.selectExpr(
+        "event_id", f"{hash_key(*key_inputs(events.schema, ['user_id', 'ts', 'value']))} AS event_key",
         f"{hash_key('event_type', 'nullif(user_id, 8)')} AS type_key")
 
 
@@ -226,10 +227,16 @@ def dq_too_long(spark, folder):
 
 
 def dq_hash_collisions(spark, folder):
-    """A key cut to 12 bits over both drops' customers, so that it does collide."""
-    both = raw_feed(spark, folder, "customers", 1).unionByName(raw_feed(spark, folder, "customers", 2))
-    keyed = both.selectExpr(f"{hash_key('customer_id', digits=3)} AS id", "customer_id")
-    return quality.hash_collisions(keyed, "id", ["customer_id"])
+    """All hubs' business keys of both drops under a key cut to 8 bits, so that it does collide."""
+    c, found = chain(spark, folder), []
+    for job in vault.HUB_JOBS:
+        drops = [staging.conform(job.source, c.prepared(job.source, n)) for n in (1, 2)]
+        rows = vault.business_rows(job, drops[0].unionByName(drops[1]))
+        [ref] = job.refs.values()
+        keyed = rows.selectExpr(f"{hash_key(*ref.inputs(), digits=2)} AS id", *ref.columns)
+        found.append(quality.hash_collisions(keyed, "id", ref.columns).selectExpr(
+            f"'{job.table}' AS table_name", "id", "business_keys"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def dq_merge_ambiguity(spark, folder):
@@ -280,12 +287,12 @@ def full_load(spark, folder):
     )
 
 
-def _checksums(spark, folder, buckets=None):
+def _checksums(spark, folder, buckets=None, **settings):
     """Rows and an order-free checksum of all 36 tables after loads 1, 2, 2 again, and 3."""
     warehouse = Warehouse(spark, scratch_folder(spark), buckets)
     for n in (1, 2, 2, 3):
         feeds = {feed: raw_feed(spark, folder, feed, n) for feed in RAW_FEEDS}
-        run_load(spark, warehouse, feeds, Settings(load_ts(n), LOAD_SRC))
+        run_load(spark, warehouse, feeds, Settings(load_ts(n), LOAD_SRC, **settings))
     newest = warehouse.snapshot()
     sums = [
         warehouse.table(name, newest).selectExpr(f"{hash_key(*t.columns, digits=8)} AS h")
@@ -305,6 +312,11 @@ def load_tables_bucketed(spark, folder):
     return _checksums(spark, folder, buckets=8)
 
 
+def load_tables_wide(spark, folder):
+    """The same with keys of 128 bits in all hubs, links and satellites."""
+    return _checksums(spark, folder, key=HEX128)
+
+
 def load_rejects(spark, folder):
     """What two whole loads leave out of untidy order items, read from CSV: prices that
     are no numbers, items without an order or a price, and references to rows not sent."""
@@ -351,7 +363,7 @@ _PREP_NAMES["geolocation"] = "prep_geolocations"
 
 def all_queries() -> dict[str, Query]:
     named = [
-        full_load, load_tables, load_tables_bucketed, load_rejects, dq_declared_rules,
+        full_load, load_tables, load_tables_bucketed, load_tables_wide, load_rejects, dq_declared_rules,
         csv_scan, csv_roundtrip, typed_load_good, typed_load_rejects, load_counts,
         append_batch, dedup_drop_all, union_all, distinct_rows, hash_key_1, hash_key_n,
         merge_upsert, merge_insert_only, scd2_changed_keys, scd2_two_loads, scd2_three_loads,

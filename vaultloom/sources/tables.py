@@ -55,7 +55,19 @@ class Table:
     @property
     def plain_schema(self) -> StructType:
         """The schema as DataFrames carry it: strings without a declared length."""
-        return StructType([StructField(f.name, plain(f.dataType), True) for f in self.schema])
+        return self.schema_with(LongType())
+
+    def schema_with(self, key_type: DataType) -> StructType:
+        """The plain schema with hash keys of this type."""
+        return StructType([
+            StructField(f.name, key_type if f.name in self.hash_keys else plain(f.dataType), True) for f in self.schema])
+
+    @property
+    def hash_keys(self) -> list[str]:
+        """Columns that hold a hash key: ids of hubs, and of rows that combine several."""
+        if self.layer == STAGING:
+            return []
+        return [f.name for f in self.schema if isinstance(f.dataType, LongType) and not f.nullable]
 
 
 def plain(t: DataType) -> DataType:

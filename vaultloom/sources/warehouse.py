@@ -23,15 +23,19 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
+from vaultloom.functions.keys import HEX128, INT60
 from vaultloom.sources.scratch import written
 from vaultloom.sources.tables import TABLES
 
-_COMMIT = "load_id string, committed_ns bigint, tables map<string, array<string>>"
+_COMMIT = "load_id string, committed_ns bigint, tables map<string, array<string>>, key string"
 SEGMENT, IS_OPEN = "segment", "is_open"
 REJECTS = "rejects"
 _REJECTS_SCHEMA = "table_name string, reason string, row string"
+LEDGER = "keys_of_"
+"""Before a hub's name: the ids it ever stood for, each with a digest of its business key."""
+KEY_TYPES = {INT60: LongType(), HEX128: StringType()}
 
 
 def load_id(load_ts: str) -> str:
@@ -52,6 +56,7 @@ class Snapshot:
     load_id: str = ""
     committed_ns: int = 0
     tables: dict[str, list[str]] = field(default_factory=dict)
+    key: str = INT60
 
 
 class Warehouse:
@@ -71,7 +76,9 @@ class Warehouse:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             newest = []
-        return Snapshot(newest[0].load_id, newest[0].committed_ns, newest[0].tables) if newest else Snapshot()
+        if not newest:
+            return Snapshot()
+        return Snapshot(newest[0].load_id, newest[0].committed_ns, newest[0].tables, newest[0].key or INT60)
 
     def loaded(self) -> set[str]:
         """Ids of all committed loads; one short text per load."""
@@ -85,27 +92,28 @@ class Warehouse:
 
     def table(self, name: str, snapshot: Snapshot | None = None) -> DataFrame:
         """A table as of a snapshot; empty before its first load."""
-        paths = (snapshot or self.snapshot()).tables.get(name, [])
+        state = snapshot or self.snapshot()
+        paths = state.tables.get(name, [])
         if _is_history(name):
-            return self.closed_rows(name, paths).unionByName(self.open_rows(name, paths))
-        return self.read(name, paths)
+            return self.closed_rows(name, paths, state.key).unionByName(self.open_rows(name, paths, state.key))
+        return self.read(name, paths, state.key)
 
-    def read(self, name: str, paths: Sequence[str]) -> DataFrame:
-        schema = _schema(self.spark, name)
+    def read(self, name: str, paths: Sequence[str], key: str = INT60) -> DataFrame:
+        schema = _schema(name, key)
         if not paths:
             return self.spark.createDataFrame([], schema)
         if self._bucketed(name):
             return self.spark.table(self._registered(name, paths[0], schema))
         return self.spark.read.schema(schema).parquet(*paths)
 
-    def open_rows(self, name: str, paths: Sequence[str]) -> DataFrame:
-        return self._part(name, paths[-1:], IS_OPEN)
+    def open_rows(self, name: str, paths: Sequence[str], key: str = INT60) -> DataFrame:
+        return self._part(name, paths[-1:], IS_OPEN, key)
 
-    def closed_rows(self, name: str, paths: Sequence[str]) -> DataFrame:
-        return self._part(name, paths, f"NOT {IS_OPEN}")
+    def closed_rows(self, name: str, paths: Sequence[str], key: str = INT60) -> DataFrame:
+        return self._part(name, paths, f"NOT {IS_OPEN}", key)
 
-    def _part(self, name: str, paths: Sequence[str], which: str) -> DataFrame:
-        schema = _schema(self.spark, name)
+    def _part(self, name: str, paths: Sequence[str], which: str, key: str) -> DataFrame:
+        schema = _schema(name, key)
         if not paths:
             return self.spark.createDataFrame([], schema)
         split = StructType([
@@ -170,12 +178,17 @@ class Warehouse:
             files.delete(path_of(path), True)
         return gone
 
-    def begin(self, load_ts: str) -> Load:
-        """A load at ``load_ts``; one writer at a time, which ``commit`` checks."""
+    def begin(self, load_ts: str, key: str = INT60) -> Load:
+        """A load at ``load_ts``; one writer at a time, which ``commit`` checks. A warehouse
+        whose loads have another kind of ``key`` refuses it."""
+        if key not in KEY_TYPES:
+            raise ValueError(f"unknown kind of key {key!r}")
         this, newest = load_id(load_ts), self.snapshot()
+        if newest.load_id and newest.key != key:
+            raise ValueError(f"this warehouse has keys of kind {newest.key}, not {key}")
         if this < newest.load_id:
             raise ValueError(f"load {load_ts} is older than the newest committed load")
-        return Load(self, this, self.snapshot(before=this), newest)
+        return Load(self, this, self.snapshot(before=this), newest, key)
 
 
 class Load:
@@ -184,8 +197,11 @@ class Load:
     Repeating a load starts again from the state before it and replaces it.
     """
 
-    def __init__(self, warehouse: Warehouse, load_id: str, base: Snapshot, newest: Snapshot) -> None:
+    def __init__(
+        self, warehouse: Warehouse, load_id: str, base: Snapshot, newest: Snapshot, key: str = INT60
+    ) -> None:
         self.warehouse, self.load_id, self.base, self._newest = warehouse, load_id, base, newest
+        self.key = key
         self._attempt = uuid.uuid4().hex[:12]
         self._scratch = f"{warehouse.root}/scratch/{load_id}_{self._attempt}"
         self._new: dict[str, list[str]] = {}
@@ -201,15 +217,15 @@ class Load:
         if not paths:
             return None
         if _is_history(name):
-            return self.warehouse.open_rows(name, paths)
-        return self.warehouse.read(name, paths)
+            return self.warehouse.open_rows(name, paths, self.key)
+        return self.warehouse.read(name, paths, self.key)
 
     def whole_target(self, name: str) -> DataFrame | None:
         return self.warehouse.table(name, self.base) if self.base.tables.get(name) else None
 
     def current(self, name: str) -> DataFrame:
         """The table as this load has written it."""
-        return self.warehouse.table(name, Snapshot(self.load_id, 0, self._new))
+        return self.warehouse.table(name, Snapshot(self.load_id, 0, self._new, self.key))
 
     def replace(self, name: str, df: DataFrame) -> None:
         self._new[name] = [self._write(name, df)]
@@ -231,7 +247,7 @@ class Load:
         folder = f"{self.load_id}_{self._attempt}"
         path = f"{self.warehouse._folder(name)}/{folder}"
         counted = Observation(name)
-        rows = df.select(*_schema(self.warehouse.spark, name).names).observe(
+        rows = df.select(*_schema(name, self.key).names).observe(
             counted, F.count(F.lit(1)).alias("rows"))
         if _is_history(name):
             path = f"{self.warehouse._folder(name)}/{SEGMENT}={folder}"
@@ -252,11 +268,11 @@ class Load:
         if self.warehouse.snapshot() != self._newest:
             raise RuntimeError(f"load {self.load_id}: another load was committed meanwhile")
         tables, now = {**self.base.tables, **self._new}, time.time_ns()
-        record = [(self.load_id, now, tables)]
+        record = [(self.load_id, now, tables, self.key)]
         spark = self.warehouse.spark
         spark.createDataFrame(record, _COMMIT).coalesce(1).write.mode("append").json(
             f"{self.warehouse.root}/commits")
-        return Snapshot(self.load_id, now, tables)
+        return Snapshot(self.load_id, now, tables, self.key)
 
 
 INSERT_ONLY = ("hub_categories", "hub_geolocations", "hub_cities")
@@ -266,10 +282,12 @@ def _is_history(name: str) -> bool:
     return name in TABLES and "valid_to" in TABLES[name].columns
 
 
-def _schema(spark: SparkSession, name: str) -> StructType:
+def _schema(name: str, key: str) -> StructType:
     if name == REJECTS:
         return StructType.fromDDL(_REJECTS_SCHEMA)
-    return TABLES[name].plain_schema
+    if name.startswith(LEDGER):
+        return StructType([StructField("id", KEY_TYPES[key]), StructField("digest", StringType())])
+    return TABLES[name].schema_with(KEY_TYPES[key])
 
 
 def create_tables(spark: SparkSession, database: str, names: Sequence[str] | None = None) -> None:
