@@ -72,7 +72,11 @@ def advance(
     load_ts: str,
     close: str = CLOSE_OPEN_ONLY,
 ) -> DataFrame:
-    """The given target rows and the source, joined and brought to ``load_ts``."""
+    """The given target rows and the source, joined and brought to ``load_ts``.
+
+    Where both lie in partitions of the key, as the open rows of a bucketed history and a
+    placed source do, nothing is moved, and the result lies in them too.
+    """
     opened = first_load(source, load_ts)
     columns = opened.columns
     joined = target.select(*columns).alias("old").join(

@@ -69,8 +69,10 @@ class Chain:
     def staged_kept(self, table: str, n: int) -> DataFrame:
         def make():
             before = self.staged_kept(table, n - 1) if n > 1 else None
-            state = staging.load_staging(table, before, self.prepared(table, n))
-            return self._kept(state, f"{table}-{n}")
+            rows = self.prepared(table, n)
+            if before is not None:  # a merge reads its source twice, keys and rows
+                rows = self._kept(rows, f"prepared.{table}-{n}")
+            return self._kept(staging.load_staging(table, before, rows), f"{table}-{n}")
         return self._once(("staged kept", table, n), make)
 
     def business(self, table: str, n: int) -> DataFrame:

@@ -121,7 +121,18 @@ def _stage(load: Load, prepared: DataFrame, table: str, settings: Settings) -> N
         _expect_none(
             quality.merge_ambiguity(rows, TABLES[table].key, staging.null_safe_key(table)),
             f"{table}: several rows share a merge key")
-    load.replace(table, staging.load_staging(table, load.target(table), prepared))
+    _upsert(load, table, rows, staging.null_safe_key(table))
+
+
+def _upsert(load: Load, table: str, source: DataFrame, null_safe: bool = False) -> None:
+    """Merge into the table; a bucketed one stays where it is, and the source comes to it."""
+    target, key = load.target(table), TABLES[table].key
+    if load.in_buckets(table):
+        source = load.warehouse.placed(table, source)
+        rows = source if target is None else merge.merge_placed(target, source, key)
+        load.replace(table, rows, placed=True)
+    else:
+        load.replace(table, merge.merge_upsert(target, source, key, null_safe))
 
 
 def _load_job(load: Load, job: vault.Job, settings: Settings) -> DataFrame:
@@ -145,10 +156,11 @@ def _merge(load: Load, job: vault.Job, source: DataFrame, settings: Settings) ->
     name, ts = job.table, settings.load_ts
     if job.mode == vault.HISTORY and settings.close == history.CLOSE_OPEN_ONLY:
         # Only open rows are read, once; what they turn into is appended as one folder.
-        opened = load.target(name)
+        opened, placed = load.target(name), load.in_buckets(name)
+        source = load.warehouse.placed(name, source) if placed else source
         rows = history.first_load(source, ts) if opened is None else history.advance(
             opened, source, list(job.refs), list(job.values), ts)
-        load.append(name, rows.select(*TABLES[name].columns))
+        load.append(name, rows.select(*TABLES[name].columns), placed=placed)
     elif job.mode == vault.HISTORY:
         whole = load.whole_target(name)
         load.replace(name, vault.load_table(job, whole, source, ts, settings.close))
@@ -156,9 +168,10 @@ def _merge(load: Load, job: vault.Job, source: DataFrame, settings: Settings) ->
         load.append(name, merge.new_rows(load.target(name), source, TABLES[name].key))
     elif TABLES[name].layer == HUB and not settings.first_seen:
         load.replace(name, source)  # staging never loses a key, so no old row is missing
+    elif TABLES[name].layer == HUB:
+        load.replace(name, vault.load_table(job, load.target(name), source, ts, first_seen=True))
     else:
-        load.replace(name, vault.load_table(
-            job, load.target(name), source, ts, first_seen=settings.first_seen))
+        _upsert(load, name, source)
 
 
 def _check_keys(job: vault.Job, source: DataFrame, settings: Settings) -> None:

@@ -6,10 +6,11 @@ record, so a load becomes visible as a whole, and a failed or repeated load
 leaves no trace in it. Nothing is read and overwritten in place.
 
 - An upserted table is one folder, optionally bucketed by its key, so that the
-  next merge does not shuffle it.
+  next merge does not shuffle it, neither to read nor to write it.
 - An insert-only table is a list of folders; a load appends its delta.
 - A history is a list of folders split by ``is_open``: open rows count in the
-  last folder only, closed rows in all. A load reads and rewrites open rows.
+  last folder only, closed rows in all. A load reads and rewrites open rows, which
+  are bucketed like an upserted table.
 """
 
 from __future__ import annotations
@@ -20,7 +21,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
@@ -67,28 +67,31 @@ class Warehouse:
 
     def snapshot(self, before: str | None = None) -> Snapshot:
         """The newest committed state, or the newest older than load ``before``."""
-        try:
-            commits = self.spark.read.schema(_COMMIT).json(f"{self.root}/commits")
-            if before:
-                commits = commits.filter(F.col("load_id") < before)
-            newest = commits.orderBy(F.desc("load_id"), F.desc("committed_ns")).limit(1).collect()
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            newest = []
+        commits = self._commits()
+        if commits is None:
+            return Snapshot()
+        if before:
+            commits = commits.filter(F.col("load_id") < before)
+        newest = commits.orderBy(F.desc("load_id"), F.desc("committed_ns")).limit(1).collect()
         if not newest:
             return Snapshot()
         return Snapshot(newest[0].load_id, newest[0].committed_ns, newest[0].tables, newest[0].key or INT60)
 
     def loaded(self) -> set[str]:
         """Ids of all committed loads; one short text per load."""
-        try:
-            commits = self.spark.read.schema(_COMMIT).json(f"{self.root}/commits")
-            return {r.load_id for r in commits.select("load_id").distinct().collect()}
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return set()
+        commits = self._commits()
+        return {r.load_id for r in commits.select("load_id").distinct().collect()} if commits else set()
+
+    def _commits(self) -> DataFrame | None:
+        files, path_of = self._files()
+        if not files.exists(path_of(f"{self.root}/commits")):
+            return None
+        return self.spark.read.schema(_COMMIT).json(f"{self.root}/commits")
+
+    def _files(self):
+        """The file system of the warehouse, and its kind of path."""
+        path_of = self.spark._jvm.org.apache.hadoop.fs.Path
+        return path_of(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration()), path_of
 
     def table(self, name: str, snapshot: Snapshot | None = None) -> DataFrame:
         """A table as of a snapshot; empty before its first load."""
@@ -102,7 +105,7 @@ class Warehouse:
         schema = _schema(name, key)
         if not paths:
             return self.spark.createDataFrame([], schema)
-        if self._bucketed(name):
+        if self._in_buckets(name, paths[0]):
             return self.spark.table(self._registered(name, paths[0], schema))
         return self.spark.read.schema(schema).parquet(*paths)
 
@@ -116,6 +119,9 @@ class Warehouse:
         schema = _schema(name, key)
         if not paths:
             return self.spark.createDataFrame([], schema)
+        if which == IS_OPEN and self._in_buckets(name, paths[-1]):
+            opened = self.spark.table(self._registered(name, paths[-1], schema)).filter(which)
+            return opened.select(*schema.names)
         split = StructType([
             *schema.fields, StructField(SEGMENT, StringType()), StructField(IS_OPEN, BooleanType())])
         rows = self.spark.read.schema(split).option("basePath", self._folder(name)).parquet(*paths)
@@ -124,21 +130,31 @@ class Warehouse:
     def _folder(self, name: str) -> str:
         return f"{self.root}/data/{name}"
 
-    def _bucketed(self, name: str) -> bool:
+    def bucketed(self, name: str) -> bool:
         t = TABLES.get(name)
-        return bool(
-            self.buckets and t and t.name not in INSERT_ONLY and not _is_history(name)
-            and set(t.key) <= set(t.required))
+        return bool(self.buckets and t and t.name not in INSERT_ONLY and set(t.key) <= set(t.required))
+
+    def _in_buckets(self, name: str, path: str) -> bool:
+        """Whether the folder was written in as many buckets as this warehouse has."""
+        return self.bucketed(name) and path.endswith(f"_{self.buckets}b")
+
+    def placed(self, name: str, rows: DataFrame) -> DataFrame:
+        """Rows of a bucketed table in as many partitions, by the hash that buckets have."""
+        return rows.repartition(self.buckets, *_bucket_key(name)) if self.bucketed(name) else rows
 
     def _registered(self, name: str, path: str, schema: StructType) -> str:
         """The catalog name of a bucketed folder, registered if this catalog lacks it."""
-        table = f"{name}_{path.rsplit('/', 1)[1]}"
+        table = f"{name}_{path.rsplit('/', 1)[1].removeprefix(f'{SEGMENT}=')}"
         if not self.spark.catalog.tableExists(table):
             columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
-            key = ", ".join(TABLES[name].key)
+            key, split = ", ".join(_bucket_key(name)), ""
+            if _is_history(name):
+                columns, split = f"{columns}, {IS_OPEN} boolean", f"PARTITIONED BY ({IS_OPEN}) "
             self.spark.sql(
-                f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY ({key}) "
+                f"CREATE TABLE {table} ({columns}) USING parquet {split}CLUSTERED BY ({key}) "
                 f"SORTED BY ({key}) INTO {self.buckets} BUCKETS LOCATION '{path}'")
+            if split:
+                self.spark.catalog.recoverPartitions(table)
         return table
 
     def remove_superseded(self, keep_loads: int = 2) -> list[str]:
@@ -157,8 +173,7 @@ class Warehouse:
         kept = (commits.groupBy("load_id").agg(F.max_by("tables", "committed_ns").alias("tables"))
                 .orderBy(F.desc("load_id")).limit(keep_loads).collect())
         named = {tuple(p.split("/")[-2:]) for r in kept for paths in r.tables.values() for p in paths}
-        path_of = self.spark._jvm.org.apache.hadoop.fs.Path
-        files = path_of(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        files, path_of = self._files()
 
         def folders(path: str) -> list[str]:
             at = path_of(path)
@@ -171,8 +186,8 @@ class Warehouse:
         for name in folders(f"{self.root}/data"):
             for folder in folders(self._folder(name)):
                 if older(folder) and (name, folder) not in named:
-                    if self._bucketed(name):
-                        self.spark.sql(f"DROP TABLE IF EXISTS {name}_{folder}")
+                    if folder.endswith("b"):
+                        self.spark.sql(f"DROP TABLE IF EXISTS {name}_{folder.removeprefix(f'{SEGMENT}=')}")
                     gone.append(f"{self._folder(name)}/{folder}")
         for path in gone:
             files.delete(path_of(path), True)
@@ -220,6 +235,11 @@ class Load:
             return self.warehouse.open_rows(name, paths, self.key)
         return self.warehouse.read(name, paths, self.key)
 
+    def in_buckets(self, name: str) -> bool:
+        """Whether rows of the table are to be written in buckets, and lie in them if there are any."""
+        paths = self.base.tables.get(name)
+        return self.warehouse.bucketed(name) and (not paths or self.warehouse._in_buckets(name, paths[-1]))
+
     def whole_target(self, name: str) -> DataFrame | None:
         return self.warehouse.table(name, self.base) if self.base.tables.get(name) else None
 
@@ -227,13 +247,14 @@ class Load:
         """The table as this load has written it."""
         return self.warehouse.table(name, Snapshot(self.load_id, 0, self._new, self.key))
 
-    def replace(self, name: str, df: DataFrame) -> None:
-        self._new[name] = [self._write(name, df)]
+    def replace(self, name: str, df: DataFrame, placed: bool = False) -> None:
+        """``placed``: the rows lie in partitions of the buckets already."""
+        self._new[name] = [self._write(name, df, placed)]
 
-    def append(self, name: str, delta: DataFrame) -> None:
+    def append(self, name: str, delta: DataFrame, placed: bool = False) -> None:
         """Add a folder; an empty delta of an insert-only table adds none. The
         last folder of a history holds its open rows, so it always counts."""
-        before, path = self.base.tables.get(name, []), self._write(name, delta)
+        before, path = self.base.tables.get(name, []), self._write(name, delta, placed)
         if before and not self.row_counts[name] and not _is_history(name):
             self._new[name] = before
         else:
@@ -243,23 +264,27 @@ class Load:
         """How many folders the table had before this load."""
         return len(self.base.tables.get(name, []))
 
-    def _write(self, name: str, df: DataFrame) -> str:
+    def _write(self, name: str, df: DataFrame, placed: bool = False) -> str:
         folder = f"{self.load_id}_{self._attempt}"
+        if self.warehouse.bucketed(name):
+            folder += f"_{self.warehouse.buckets}b"
         path = f"{self.warehouse._folder(name)}/{folder}"
         counted = Observation(name)
         rows = df.select(*_schema(name, self.key).names).observe(
             counted, F.count(F.lit(1)).alias("rows"))
+        if self.warehouse.bucketed(name) and not placed:
+            rows = self.warehouse.placed(name, rows)
         if _is_history(name):
             path = f"{self.warehouse._folder(name)}/{SEGMENT}={folder}"
-            split = rows.selectExpr("*", f"valid_to IS NULL AS {IS_OPEN}")
-            split.write.partitionBy(IS_OPEN).parquet(path)
-        elif self.warehouse._bucketed(name):
-            key, n = TABLES[name].key, self.warehouse.buckets
-            (rows.repartition(n, *key).write.format("parquet")
-                 .bucketBy(n, *key).sortBy(*key).option("path", path)
-                 .saveAsTable(f"{name}_{folder}"))
+            rows = rows.selectExpr("*", f"valid_to IS NULL AS {IS_OPEN}")
+        out = rows.write.format("parquet")
+        if _is_history(name):
+            out = out.partitionBy(IS_OPEN)
+        if self.warehouse.bucketed(name):
+            key = _bucket_key(name)
+            out.bucketBy(self.warehouse.buckets, *key).sortBy(*key).option("path", path).saveAsTable(f"{name}_{folder}")
         else:
-            rows.write.parquet(path)
+            out.save(path)
         self.row_counts[name] = counted.get["rows"]
         return path
 
@@ -282,6 +307,12 @@ def _is_history(name: str) -> bool:
     return name in TABLES and "valid_to" in TABLES[name].columns
 
 
+def _bucket_key(name: str) -> tuple[str, ...]:
+    """What rows are bucketed by: the key; of a history, what tells its objects apart."""
+    t = TABLES[name]
+    return tuple(c for c in t.key if c in t.parents) if _is_history(name) else t.key
+
+
 def _schema(name: str, key: str) -> StructType:
     if name == REJECTS:
         return StructType.fromDDL(_REJECTS_SCHEMA)
