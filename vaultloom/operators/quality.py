@@ -28,10 +28,14 @@ def merge_ambiguity(source: DataFrame, keys: Sequence[str], null_safe: bool = Fa
     return key_violations(source if null_safe else complete_rows(source, keys), keys)
 
 
+def any_null(columns: Sequence[str]) -> str:
+    return " OR ".join(f"{c} IS NULL" for c in columns) or "false"
+
+
 def null_violations(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """Rows with a NULL in a required column, naming the columns."""
     names = ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in required)
-    broken = df.filter(" OR ".join(f"{c} IS NULL" for c in required))
+    broken = df.filter(any_null(required))
     return broken.selectExpr("*", f"concat_ws(',', {names}) AS null_columns")
 
 

@@ -12,7 +12,8 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from vaultloom.functions.keys import INT60
 from vaultloom.operators import dedup, history, merge, quality
@@ -22,7 +23,7 @@ from vaultloom.plans import prep, staging, vault
 from vaultloom.sources import csv_files
 from vaultloom.sources.scratch import scratch_folder, written
 from vaultloom.sources.tables import HUB, RAW_FEEDS, TABLES
-from vaultloom.sources.warehouse import LEDGER, REJECTS, Load, Warehouse
+from vaultloom.sources.warehouse import LEDGER, REJECTS, REJECTS_SCHEMA, Load, Warehouse
 
 __all__ = ["LoadError", "Settings", "compact", "read_feeds", "read_prepared", "run_load", "write_prepared"]
 
@@ -30,6 +31,7 @@ FEED_FILES = {feed: f"{feed}.csv" for feed in RAW_FEEDS}
 # Feeds with free text, which may hold line breaks. Such files cannot be split
 # among tasks, so the others are read line by line.
 MULTILINE_FEEDS = frozenset({"reviews"})
+BROKEN = "broken"
 
 
 @dataclass(frozen=True)
@@ -48,18 +50,25 @@ def read_feeds(
 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """(typed rows, rejects) of every raw CSV file of a folder.
 
-    Each file is parsed once, into a table of typed cells in the scratch folder.
+    Each file is parsed once, into a table of typed cells in the scratch folder. Bad rows
+    are counted in that write; a feed without any has no rejects in the result.
     """
     scratch = scratch_folder(spark)
 
-    def scan(feed: str) -> tuple[DataFrame, DataFrame]:
-        return csv_files.csv_scan(
-            spark, f"{folder}/{files[feed]}", RAW_FEEDS[feed], lambda df: written(df, scratch, feed),
-            multiline=feed in MULTILINE_FEEDS)
+    def scan(feed: str) -> tuple[DataFrame, DataFrame | None]:
+        bad = Observation(feed)
+
+        def keep(df: DataFrame) -> DataFrame:
+            any_bad = F.count_if(F.col(csv_files.BAD_COLUMNS) != "").alias(BROKEN)
+            return written(df.observe(bad, any_bad), scratch, feed)
+
+        good, rejects = csv_files.csv_scan(
+            spark, f"{folder}/{files[feed]}", RAW_FEEDS[feed], keep, multiline=feed in MULTILINE_FEEDS)
+        return good, rejects if bad.get[BROKEN] else None
 
     with ThreadPoolExecutor(len(files)) as pool:
         scans = dict(zip(files, pool.map(scan, files), strict=True))
-    return {f: s[0] for f, s in scans.items()}, {f: s[1] for f, s in scans.items()}
+    return {f: s[0] for f, s in scans.items()}, {f: s[1] for f, s in scans.items() if s[1] is not None}
 
 
 def write_prepared(prepared: Mapping[str, DataFrame], folder: str) -> None:
@@ -95,9 +104,11 @@ def run_load(
         prepared = dict(each(lambda feed: (feed, _prepare(load, feeds, feed)), staging.STAGING_TABLES))
         each(lambda table: _stage(load, prepared[table], table, settings), staging.STAGING_TABLES)
         rejects = [_cells(feed, df) for feed, df in (rejected or {}).items()]
-        rejects += [staging.rejected_rows(t, prepared[t]) for t in staging.STAGING_TABLES]
+        rejects += [
+            staging.rejected_rows(t, prepared[t]) for t in staging.STAGING_TABLES
+            if load.counted(f"prepared.{t}", BROKEN)]
         for layer in vault.LAYERS:
-            rejects += each(lambda job: _load_job(load, job, settings), layer)
+            rejects += filter(None, each(lambda job: _load_job(load, job, settings), layer))
     _write_rejects(load, rejects, settings)
     load.commit()
     return load.row_counts
@@ -112,7 +123,8 @@ def _prepare(load: Load, feeds: Mapping[str, DataFrame], feed: str) -> DataFrame
         _expect_none(
             quality.merge_ambiguity(translation, prep.TRANSLATION_KEY),
             "translation: several rows share a category name")
-    return load.keep(prep.prepare(feed, raw, translation, duplicates), f"prepared.{feed}")
+    return load.keep(
+        prep.prepare(feed, raw, translation, duplicates), f"prepared.{feed}", {BROKEN: staging.broken(feed)})
 
 
 def _stage(load: Load, prepared: DataFrame, table: str, settings: Settings) -> None:
@@ -124,15 +136,24 @@ def _stage(load: Load, prepared: DataFrame, table: str, settings: Settings) -> N
     _upsert(load, table, rows, staging.null_safe_key(table))
 
 
+def _incomplete(table: str) -> dict[str, str]:
+    """What to count while a staging table is written: rows that each of its jobs leaves out."""
+    jobs = [job for job in vault.JOBS.values() if job.source == table]
+    return {job.table: vault.incomplete(job) for job in jobs if vault.required_inputs(job)}
+
+
 def _upsert(load: Load, table: str, source: DataFrame, null_safe: bool = False) -> None:
     """Merge into the table; a bucketed one stays where it is, and the source comes to it."""
+    if load.warehouse.ranged(table):
+        load.merge_changes(table, source)
+        return
     target, key = load.target(table), TABLES[table].key
     if load.in_buckets(table):
         source = load.warehouse.placed(table, source)
         rows = source if target is None else merge.merge_placed(target, source, key)
-        load.replace(table, rows, placed=True)
+        load.replace(table, rows, placed=True, counts=_incomplete(table))
     else:
-        load.replace(table, merge.merge_upsert(target, source, key, null_safe))
+        load.replace(table, merge.merge_upsert(target, source, key, null_safe), counts=_incomplete(table))
 
 
 def _load_job(load: Load, job: vault.Job, settings: Settings) -> DataFrame:
@@ -142,6 +163,7 @@ def _load_job(load: Load, job: vault.Job, settings: Settings) -> DataFrame:
     checked = vault.checked_references(job, settings.strict)
     hubs = {parents[c]: load.current(parents[c]) for c in checked}
     missing = vault.missing_references(job, rows, hubs, settings.strict, load.keep, settings.key)
+    missing = {c: keys for c, keys in missing.items() if load.counted(f"{job.table}.{c}")}
     source = vault.source_rows(job, rows, missing, settings.load_ts, settings.load_src, settings.key)
     _check_keys(job, source, settings)
     if TABLES[job.table].layer == HUB and vault.may_forget(job):
@@ -149,7 +171,8 @@ def _load_job(load: Load, job: vault.Job, settings: Settings) -> DataFrame:
     if settings.strict:
         _check_lengths(job, source)
     _merge(load, job, source, settings)
-    return vault.rejected_rows(job, staged, missing)
+    counts = _incomplete(job.source)
+    return vault.rejected_rows(job, staged, missing, job.table in counts and load.counted(job.source, job.table) > 0)
 
 
 def _merge(load: Load, job: vault.Job, source: DataFrame, settings: Settings) -> None:
@@ -166,6 +189,8 @@ def _merge(load: Load, job: vault.Job, source: DataFrame, settings: Settings) ->
         load.replace(name, vault.load_table(job, whole, source, ts, settings.close))
     elif job.mode == vault.INSERT:
         load.append(name, merge.new_rows(load.target(name), source, TABLES[name].key))
+    elif load.warehouse.ranged(name):
+        _upsert(load, name, source)
     elif TABLES[name].layer == HUB and not settings.first_seen:
         load.replace(name, source)  # staging never loses a key, so no old row is missing
     elif TABLES[name].layer == HUB:
@@ -230,7 +255,9 @@ def _cells(feed: str, rejected: DataFrame) -> DataFrame:
 
 
 def _write_rejects(load: Load, rejects: list[DataFrame], settings: Settings) -> None:
-    found = reduce(DataFrame.unionByName, rejects)
-    if settings.strict:
+    """Rejects are sought only where something was counted that would be one."""
+    spark = load.warehouse.spark
+    found = reduce(DataFrame.unionByName, rejects) if rejects else spark.createDataFrame([], REJECTS_SCHEMA)
+    if settings.strict and rejects:
         _expect_none(found, "rows were rejected")
     load.replace(REJECTS, found)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructField, TimestampNTZType
 
 from vaultloom.operators.merge import merge_upsert
-from vaultloom.operators.quality import complete_rows, null_violations
+from vaultloom.operators.quality import any_null, complete_rows, null_violations
 from vaultloom.sources.tables import STAGING, TABLES, tables_of
 
 STAGING_TABLES = [t.name for t in tables_of(STAGING)]
@@ -37,6 +37,11 @@ def stage_rows(table: str, prepared: DataFrame) -> DataFrame:
     return complete_rows(conform(table, prepared), TABLES[table].required)
 
 
+def broken(table: str) -> str:
+    """The condition on a prepared row under which staging leaves it out."""
+    return any_null(TABLES[table].required)
+
+
 def rejected_rows(table: str, prepared: DataFrame) -> DataFrame:
     """What staging leaves out, as (table, reason, row): rows with a forbidden NULL."""
     t = TABLES[table]

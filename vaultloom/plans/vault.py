@@ -245,23 +245,30 @@ def finished_rows(
         *[made.get(c, c) for c in present], *merge.audit_columns(load_ts, load_src))
 
 
-def rejected_rows(job: Job, staged: DataFrame, missing: Mapping[str, DataFrame]) -> DataFrame:
+def incomplete(job: Job) -> str:
+    """The condition on a staged row under which the job leaves it out for a NULL."""
+    return f"({job.where or 'true'}) AND ({quality.any_null(required_inputs(job))})"
+
+
+def rejected_rows(
+    job: Job, staged: DataFrame, missing: Mapping[str, DataFrame], any_incomplete: bool = True
+) -> DataFrame | None:
     """What the job leaves out, as (table, reason, row): rows that lack a required
-    value, and rows that refer to a key its hub does not hold."""
+    value, unless it is known that there are none, and rows that refer to a key its hub
+    does not hold. None where nothing can be left out."""
     needed = {c for ref in job.refs.values() for c in ref.columns} | set(job.values.values())
     rows = (staged.filter(job.where) if job.where else staged).select(*sorted(needed))
     required = required_inputs(job)
     complete = quality.complete_rows(rows, required)
     found = []
-    if required:
-        incomplete = quality.null_violations(rows, required)
-        found.append((incomplete, "concat('missing ', null_columns)"))
+    if required and any_incomplete:
+        found.append((quality.null_violations(rows, required), "concat('missing ', null_columns)"))
     for column, orphan_keys in missing.items():
         columns = list(job.refs[column].columns)
         reason = f"'no {TABLES[job.table].parents[column]} row'"
         found.append((complete.join(orphan_keys, columns, "left_semi"), reason))
     if not found:
-        found.append((rows.filter("false"), "''"))
+        return None
     row = f"to_json(struct({', '.join(sorted(needed))}), map('ignoreNullFields', 'false')) AS row"
     return reduce(DataFrame.unionByName, [
         df.selectExpr(f"'{job.table}' AS table_name", f"{reason} AS reason", row)

@@ -361,6 +361,7 @@ def _steps() -> dict[str, str]:
     for n in LOADS:
         steps.update(_sources(n, made="widesrc", hk=hexkey))
     steps.update(_states(3, made="widesrc", state="wide_"))
+    steps.update(_changed_states())
     for n in (1, 2):
         steps[f"untidy_items_{n}"] = f"""
             SELECT CASE WHEN freight_value <> 13 THEN order_id END AS order_id, order_item_id, product_id, seller_id,
@@ -425,6 +426,51 @@ def _checksums(state: str = "") -> str:
         for name, t in TABLES.items())
 
 
+RANGES = 64
+
+
+def _values(name: str) -> list[str]:
+    return [c for c in TABLES[name].columns if c not in ("load_dttm", "load_src")]
+
+
+def _changed_states() -> dict[str, str]:
+    """States after three loads in which a row's audit columns are of the load that last changed it."""
+    steps = {}
+    for t, keys in VAULT_KEYS.items():
+        if t in INSERT_ONLY:
+            steps[f"changed_{t}_3"] = f"SELECT * FROM {t}_3"
+            continue
+        seen = " UNION ALL ".join(f"SELECT *, {m} AS m FROM src_{t}_{m}" for m in LOADS)
+        row = f"row({', '.join(_values(t))})"
+        steps[f"changed_{t}_3"] = f"""
+            SELECT * EXCLUDE (m, same) FROM (
+              SELECT *, coalesce({row} IS NOT DISTINCT FROM lag({row}) OVER (PARTITION BY {keys} ORDER BY m), false)
+                        AND m > min(m) OVER (PARTITION BY {keys}) AS same FROM ({seen}))
+            WHERE NOT same QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY m DESC) = 1"""
+    for t in HISTORIES:
+        steps[f"changed_{t}_3"] = f"SELECT * FROM {t}_3"
+    return steps
+
+
+def _ranges_rewritten() -> str:
+    """Ranges with a row that is new or other than before; load 3 repeats the second drop."""
+    found = []
+    for name, t in TABLES.items():
+        if name in INSERT_ONLY or name in HISTORIES:
+            continue
+        staged = name in STAGING_KEYS
+        inputs = [floating(c) if t.schema[c].dataType.typeName() == "double" else c for c in t.key]
+        columns = ", ".join(_values(name))
+        for n in (1, 2):
+            now = f"SELECT {columns} FROM {f'stg_{name}_{n}' if staged else f'src_{name}_{n}'}"
+            if n > 1:
+                now += f" EXCEPT SELECT {columns} FROM {'stg_' if staged else ''}{name}_{n - 1}"
+            found.append(f"SELECT {n} AS load_no, '{name}' AS table_name, "
+                         f"(SELECT count(DISTINCT {hk(*inputs, digits=4)} % {RANGES}) FROM ({now}))::int AS ranges_rewritten")
+        found.append(f"SELECT 3, '{name}', 0")
+    return " UNION ALL ".join(found)
+
+
 def _load_rejects(n: int) -> str:
     """Cells and NULL keys of the drop itself, the rest of what staging holds after it."""
     def left_out(table, reason, source, where, *ids):
@@ -602,6 +648,8 @@ def all_oracles() -> dict[str, str]:
         "load_tables": _checksums(),
         "load_tables_bucketed": _checksums(),
         "load_tables_wide": _checksums("wide_"),
+        "load_tables_changed": _checksums("changed_"),
+        "load_ranges": _ranges_rewritten(),
         "load_rejects": " UNION ALL ".join(_load_rejects(n) for n in (1, 2)),
         "dq_declared_rules": _declared_rules(),
     }

@@ -261,10 +261,9 @@ def dq_declared_rules(spark, folder):
 def vault_rejects(spark, folder):
     """Rows of the second load that the vault's jobs leave out, with the reason."""
     c = chain(spark, folder)
-    return reduce(DataFrame.unionByName, [
-        vault.rejected_rows(job, c.staged_kept(job.source, 2), c.missing(t, 2))
-        for t, job in vault.JOBS.items()
-    ])
+    found = [
+        vault.rejected_rows(job, c.staged_kept(job.source, 2), c.missing(t, 2)) for t, job in vault.JOBS.items()]
+    return reduce(DataFrame.unionByName, filter(None, found))
 
 
 # The load --------------------------------------------------------------------
@@ -287,9 +286,9 @@ def full_load(spark, folder):
     )
 
 
-def _checksums(spark, folder, buckets=None, **settings):
+def _checksums(spark, folder, buckets=None, ranges=None, **settings):
     """Rows and an order-free checksum of all 36 tables after loads 1, 2, 2 again, and 3."""
-    warehouse = Warehouse(spark, scratch_folder(spark), buckets)
+    warehouse = Warehouse(spark, scratch_folder(spark), buckets, ranges)
     for n in (1, 2, 2, 3):
         feeds = {feed: raw_feed(spark, folder, feed, n) for feed in RAW_FEEDS}
         run_load(spark, warehouse, feeds, Settings(load_ts(n), LOAD_SRC, **settings))
@@ -317,6 +316,26 @@ def load_tables_wide(spark, folder):
     return _checksums(spark, folder, key=HEX128)
 
 
+RANGES = 64
+
+
+def load_tables_changed(spark, folder):
+    """The same where only changed rows are written: they carry the load that changed them."""
+    return _checksums(spark, folder, ranges=RANGES)
+
+
+def load_ranges(spark, folder):
+    """How many of 64 key ranges of each upserted table three loads rewrite; the third has
+    the feeds of the second."""
+    warehouse, found = Warehouse(spark, scratch_folder(spark), ranges=RANGES), []
+    for n, drop in ((1, 1), (2, 2), (3, 2)):
+        feeds = {feed: raw_feed(spark, folder, feed, drop) for feed in RAW_FEEDS}
+        run_load(spark, warehouse, feeds, Settings(load_ts(n), LOAD_SRC))
+        state = warehouse.snapshot()
+        found += [(n, t, warehouse.ranges_of(t, state.load_id, state)) for t in TABLES if warehouse.ranged(t)]
+    return spark.createDataFrame(found, "load_no int, table_name string, ranges_rewritten int")
+
+
 def load_rejects(spark, folder):
     """What two whole loads leave out of untidy order items, read from CSV: prices that
     are no numbers, items without an order or a price, and references to rows not sent."""
@@ -363,7 +382,8 @@ _PREP_NAMES["geolocation"] = "prep_geolocations"
 
 def all_queries() -> dict[str, Query]:
     named = [
-        full_load, load_tables, load_tables_bucketed, load_tables_wide, load_rejects, dq_declared_rules,
+        full_load, load_tables, load_tables_bucketed, load_tables_wide, load_tables_changed, load_ranges,
+        load_rejects, dq_declared_rules,
         csv_scan, csv_roundtrip, typed_load_good, typed_load_rejects, load_counts,
         append_batch, dedup_drop_all, union_all, distinct_rows, hash_key_1, hash_key_n,
         merge_upsert, merge_insert_only, scd2_changed_keys, scd2_two_loads, scd2_three_loads,

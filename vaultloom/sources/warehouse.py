@@ -7,6 +7,10 @@ leaves no trace in it. Nothing is read and overwritten in place.
 
 - An upserted table is one folder, optionally bucketed by its key, so that the
   next merge does not shuffle it, neither to read nor to write it.
+- With ``ranges``, an upserted table is split by a hash of its key, and each row has a
+  digest of its values beside it. A load compares digests and rewrites only the ranges
+  that hold a changed or new row; audit columns then name the load that last changed the
+  row. The table is a list of folders with the ranges that count in each.
 - An insert-only table is a list of folders; a load appends its delta.
 - A history is a list of folders split by ``is_open``: open rows count in the
   last folder only, closed rows in all. A load reads and rewrites open rows, which
@@ -17,22 +21,26 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
-from vaultloom.functions.keys import HEX128, INT60
+from vaultloom.functions.keys import HEX128, INT60, hash_key, hex_key, key_inputs
 from vaultloom.sources.scratch import written
 from vaultloom.sources.tables import TABLES
 
 _COMMIT = "load_id string, committed_ns bigint, tables map<string, array<string>>, key string"
 SEGMENT, IS_OPEN = "segment", "is_open"
+ROWS = "rows"
+RANGE, DIGEST = "key_range", "row_digest"
+AUDIT = ("load_dttm", "load_src")
 REJECTS = "rejects"
-_REJECTS_SCHEMA = "table_name string, reason string, row string"
+REJECTS_SCHEMA = "table_name string, reason string, row string"
 LEDGER = "keys_of_"
 """Before a hub's name: the ids it ever stood for, each with a digest of its business key."""
 KEY_TYPES = {INT60: LongType(), HEX128: StringType()}
@@ -60,10 +68,15 @@ class Snapshot:
 
 
 class Warehouse:
-    """``buckets``: number of buckets of upserted tables; needs a catalog."""
+    """``buckets``: number of buckets of upserted tables; needs a catalog. ``ranges``: number
+    of key ranges that are rewritten apart. One of both; each for all loads of a warehouse."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None) -> None:
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+    def __init__(
+        self, spark: SparkSession, root: str, buckets: int | None = None, ranges: int | None = None
+    ) -> None:
+        if buckets and ranges:
+            raise ValueError("buckets or ranges, not both")
+        self.spark, self.root, self.buckets, self.ranges = spark, root.rstrip("/"), buckets, ranges
 
     def snapshot(self, before: str | None = None) -> Snapshot:
         """The newest committed state, or the newest older than load ``before``."""
@@ -138,6 +151,23 @@ class Warehouse:
         """Whether the folder was written in as many buckets as this warehouse has."""
         return self.bucketed(name) and path.endswith(f"_{self.buckets}b")
 
+    def ranged(self, name: str) -> bool:
+        return bool(self.ranges and name in TABLES and name not in INSERT_ONLY and not _is_history(name))
+
+    def marked(self, name: str, rows: DataFrame) -> DataFrame:
+        """Rows with their key range and the digest of their values."""
+        t = TABLES[name]
+        values = [c for c in t.columns if c not in (*t.key, *AUDIT)]
+        key = hash_key(*key_inputs(rows.schema, t.key), digits=4)
+        return rows.selectExpr(
+            *t.columns, f"cast({key} % {self.ranges} AS int) AS {RANGE}",
+            f"{hex_key(*key_inputs(rows.schema, values))} AS {DIGEST}")
+
+    def ranges_of(self, name: str, load_id: str, state: Snapshot | None = None) -> int:
+        """How many ranges of a table a load has written."""
+        paths = (state or self.snapshot()).tables.get(name, [])
+        return sum(len(_ranges(p)) for p in paths if _folder_of(p).rsplit("/", 1)[1].startswith(load_id))
+
     def placed(self, name: str, rows: DataFrame) -> DataFrame:
         """Rows of a bucketed table in as many partitions, by the hash that buckets have."""
         return rows.repartition(self.buckets, *_bucket_key(name)) if self.bucketed(name) else rows
@@ -172,7 +202,7 @@ class Warehouse:
         commits = self.spark.read.schema(_COMMIT).json(f"{self.root}/commits")
         kept = (commits.groupBy("load_id").agg(F.max_by("tables", "committed_ns").alias("tables"))
                 .orderBy(F.desc("load_id")).limit(keep_loads).collect())
-        named = {tuple(p.split("/")[-2:]) for r in kept for paths in r.tables.values() for p in paths}
+        named = {tuple(_folder_of(p).split("/")[-2:]) for r in kept for paths in r.tables.values() for p in paths}
         files, path_of = self._files()
 
         def folders(path: str) -> list[str]:
@@ -193,6 +223,11 @@ class Warehouse:
             files.delete(path_of(path), True)
         return gone
 
+    def written_ranges(self, path: str) -> list[int]:
+        files, path_of = self._files()
+        names = [f.getPath().getName() for f in files.listStatus(path_of(path))]
+        return sorted(int(n.removeprefix(f"{RANGE}=")) for n in names if n.startswith(f"{RANGE}="))
+
     def begin(self, load_ts: str, key: str = INT60) -> Load:
         """A load at ``load_ts``; one writer at a time, which ``commit`` checks. A warehouse
         whose loads have another kind of ``key`` refuses it."""
@@ -221,10 +256,24 @@ class Load:
         self._scratch = f"{warehouse.root}/scratch/{load_id}_{self._attempt}"
         self._new: dict[str, list[str]] = {}
         self.row_counts: dict[str, int] = {}
+        self._counted: dict[tuple[str, str], int] = {}
+
+    def keep(self, df: DataFrame, name: str, counts: Mapping[str, str] | None = None) -> DataFrame:
+        """An intermediate result as a written table. Its rows are counted in the same write,
+        and so are those that meet each condition of ``counts``."""
+        seen, df = _observed(df, name, counts)
+        kept = written(df, self._scratch, name)
+        self._note(name, seen)
+        return kept
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """An intermediate result as a written table."""
-        return written(df, self._scratch, name)
+    def counted(self, name: str, what: str = ROWS) -> int:
+        """What was counted when a table or an intermediate result was written."""
+        if name in self.row_counts and self.warehouse.ranged(name):
+            return 1  # unknown, as not all of the table was written
+        return self._counted[name, what]
+
+    def _note(self, name: str, seen: Observation) -> None:
+        self._counted.update({(name, what): n for what, n in seen.get.items()})
 
     def target(self, name: str) -> DataFrame | None:
         """The table before this load (a history: its open rows), or None."""
@@ -240,6 +289,43 @@ class Load:
         paths = self.base.tables.get(name)
         return self.warehouse.bucketed(name) and (not paths or self.warehouse._in_buckets(name, paths[-1]))
 
+    def merge_changes(self, name: str, source: DataFrame) -> None:
+        """Merge the source into a table of key ranges, and rewrite only those in which a
+        row is new or has another digest. Keys and digests alone are compared."""
+        wh, key, paths = self.warehouse, TABLES[name].key, self.base.tables.get(name, [])
+        if not paths:
+            self.replace(name, source)
+            return
+        new = wh.marked(name, source)
+        same = F.expr(" AND ".join(f"old.{k} <=> new.{k}" for k in key))
+        old = self._digests(name, paths)
+        met = new.select(*key, RANGE, DIGEST).alias("new").join(
+            old.select(*key, DIGEST).alias("old"), same, "left")
+        differs = met.filter(f"NOT (new.{DIGEST} <=> old.{DIGEST})").select(f"new.{RANGE}").distinct()
+        changed = sorted(r[0] for r in differs.collect())  # at most ``ranges`` numbers
+        kept = [_with_ranges(p, sorted(_ranges(p) - set(changed))) for p in paths]
+        touched = [_with_ranges(p, sorted(_ranges(p) & set(changed))) for p in paths]
+        kept, touched = [p for p in kept if _ranges(p)], [p for p in touched if _ranges(p)]
+        self.row_counts[name] = 0
+        self._new[name] = kept
+        if not changed:
+            return
+        new = new.filter(F.col(RANGE).isin(changed))
+        if touched:
+            columns = [*TABLES[name].columns, DIGEST]
+            takes_old = f"new.{RANGE} IS NULL OR new.{DIGEST} <=> old.{DIGEST}"
+            new = self._digests(name, touched).alias("old").join(new.alias("new"), same, "full_outer").selectExpr(
+                *[f"CASE WHEN {takes_old} THEN old.{c} ELSE new.{c} END AS {c}" for c in columns],
+                f"coalesce(new.{RANGE}, old.{RANGE}) AS {RANGE}")
+        self._new[name] = [*kept, self._write(name, new)]
+
+    def _digests(self, name: str, paths: Sequence[str]) -> DataFrame:
+        """Rows of a table of key ranges with range and digest."""
+        schema = _schema(name, self.key)
+        split = StructType([*schema.fields, StructField(DIGEST, StringType()), StructField(RANGE, IntegerType())])
+        parts = [self.warehouse.spark.read.schema(split).option("basePath", _folder_of(p)).parquet(p) for p in paths]
+        return reduce(DataFrame.unionByName, parts)
+
     def whole_target(self, name: str) -> DataFrame | None:
         return self.warehouse.table(name, self.base) if self.base.tables.get(name) else None
 
@@ -247,9 +333,11 @@ class Load:
         """The table as this load has written it."""
         return self.warehouse.table(name, Snapshot(self.load_id, 0, self._new, self.key))
 
-    def replace(self, name: str, df: DataFrame, placed: bool = False) -> None:
-        """``placed``: the rows lie in partitions of the buckets already."""
-        self._new[name] = [self._write(name, df, placed)]
+    def replace(
+        self, name: str, df: DataFrame, placed: bool = False, counts: Mapping[str, str] | None = None
+    ) -> None:
+        """``placed``: the rows lie in partitions of the buckets already. ``counts``: see ``keep``."""
+        self._new[name] = [self._write(name, df, placed, counts)]
 
     def append(self, name: str, delta: DataFrame, placed: bool = False) -> None:
         """Add a folder; an empty delta of an insert-only table adds none. The
@@ -264,29 +352,39 @@ class Load:
         """How many folders the table had before this load."""
         return len(self.base.tables.get(name, []))
 
-    def _write(self, name: str, df: DataFrame, placed: bool = False) -> str:
+    def _write(
+        self, name: str, df: DataFrame, placed: bool = False, counts: Mapping[str, str] | None = None
+    ) -> str:
         folder = f"{self.load_id}_{self._attempt}"
         if self.warehouse.bucketed(name):
             folder += f"_{self.warehouse.buckets}b"
         path = f"{self.warehouse._folder(name)}/{folder}"
-        counted = Observation(name)
-        rows = df.select(*_schema(name, self.key).names).observe(
-            counted, F.count(F.lit(1)).alias("rows"))
+        rows, ranged = df, self.warehouse.ranged(name)
+        if not ranged:
+            rows = df.select(*_schema(name, self.key).names)
+        elif DIGEST not in df.columns:
+            rows = self.warehouse.marked(name, df)
+        if ranged:
+            rows = rows.repartition(RANGE)
         if self.warehouse.bucketed(name) and not placed:
             rows = self.warehouse.placed(name, rows)
+        seen, rows = _observed(rows, name, counts)  # in the tasks that write, so that each counts once
         if _is_history(name):
             path = f"{self.warehouse._folder(name)}/{SEGMENT}={folder}"
             rows = rows.selectExpr("*", f"valid_to IS NULL AS {IS_OPEN}")
         out = rows.write.format("parquet")
         if _is_history(name):
             out = out.partitionBy(IS_OPEN)
+        if ranged:
+            out = out.partitionBy(RANGE)
         if self.warehouse.bucketed(name):
             key = _bucket_key(name)
             out.bucketBy(self.warehouse.buckets, *key).sortBy(*key).option("path", path).saveAsTable(f"{name}_{folder}")
         else:
             out.save(path)
-        self.row_counts[name] = counted.get["rows"]
-        return path
+        self._note(name, seen)
+        self.row_counts[name] = self._counted[name, ROWS]
+        return _with_ranges(path, self.warehouse.written_ranges(path)) if ranged else path
 
     def commit(self) -> Snapshot:
         """Publish the load, unless another one was published since it began."""
@@ -300,6 +398,12 @@ class Load:
         return Snapshot(self.load_id, now, tables, self.key)
 
 
+def _observed(df: DataFrame, name: str, counts: Mapping[str, str] | None) -> tuple[Observation, DataFrame]:
+    seen = Observation(name)
+    asked = [F.count_if(F.expr(condition)).alias(what) for what, condition in (counts or {}).items()]
+    return seen, df.observe(seen, F.count(F.lit(1)).alias(ROWS), *asked)
+
+
 INSERT_ONLY = ("hub_categories", "hub_geolocations", "hub_cities")
 
 
@@ -307,6 +411,21 @@ def _is_history(name: str) -> bool:
     return name in TABLES and "valid_to" in TABLES[name].columns
 
 
+def _folder_of(path: str) -> str:
+    """The folder of a path that may name ranges in it."""
+    return path.split(f"/{RANGE}=")[0]
+
+
+def _ranges(path: str) -> set[int]:
+    named = path.partition(f"/{RANGE}=")[2].strip("{}")
+    return {int(n) for n in named.split(",") if n}
+
+
+def _with_ranges(path: str, ranges: Sequence[int]) -> str:
+    """The path of these ranges of a folder, as the file system's pattern."""
+    return f"{_folder_of(path)}/{RANGE}={{{','.join(map(str, ranges))}}}"
+
+
 def _bucket_key(name: str) -> tuple[str, ...]:
     """What rows are bucketed by: the key; of a history, what tells its objects apart."""
     t = TABLES[name]
@@ -315,7 +434,7 @@ def _bucket_key(name: str) -> tuple[str, ...]:
 
 def _schema(name: str, key: str) -> StructType:
     if name == REJECTS:
-        return StructType.fromDDL(_REJECTS_SCHEMA)
+        return StructType.fromDDL(REJECTS_SCHEMA)
     if name.startswith(LEDGER):
         return StructType([StructField("id", KEY_TYPES[key]), StructField("digest", StringType())])
     return TABLES[name].schema_with(KEY_TYPES[key])
