@@ -228,14 +228,15 @@ def dq_too_long(spark, folder):
 
 def dq_hash_collisions(spark, folder):
     """All hubs' business keys of both drops under a key cut to 8 bits, so that it does collide."""
-    c, found = chain(spark, folder), []
+    c, scratch, found = chain(spark, folder), scratch_folder(spark), []
     for job in vault.HUB_JOBS:
         drops = [staging.conform(job.source, c.prepared(job.source, n)) for n in (1, 2)]
         rows = vault.business_rows(job, drops[0].unionByName(drops[1]))
         [ref] = job.refs.values()
         keyed = rows.selectExpr(f"{hash_key(*ref.inputs(), digits=2)} AS id", *ref.columns)
-        found.append(quality.hash_collisions(keyed, "id", ref.columns).selectExpr(
-            f"'{job.table}' AS table_name", "id", "business_keys"))
+        collisions = quality.hash_collisions(keyed, "id", ref.columns).selectExpr(
+            f"'{job.table}' AS table_name", "id", "business_keys")
+        found.append(written(collisions, scratch, job.table))  # hub by hub: eight small plans
     return reduce(DataFrame.unionByName, found)
 
 
