@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -42,6 +42,7 @@ class Settings:
     close: str = history.CLOSE_OPEN_ONLY
     first_seen: bool = False  # hubs keep the audit columns of a key's first load
     key: str = INT60  # or HEX128; a warehouse has one kind of key for good
+    resume: bool = False  # go on with a failed attempt of this load; the feeds must be the same
     parallel_jobs: int = 8
 
 
@@ -96,7 +97,8 @@ def run_load(
     ``rejected`` are the raw rows that ``read_feeds`` could not type. They go to the
     rejects with what staging and the vault leave out.
     """
-    load = warehouse.begin(settings.load_ts, settings.key)
+    resume = repr(replace(settings, parallel_jobs=0)) if settings.resume else None
+    load = warehouse.begin(settings.load_ts, settings.key, resume)
     with ThreadPoolExecutor(settings.parallel_jobs) as pool:
         def each(work: Callable, items: Iterable) -> list:
             return list(pool.map(work, items))
@@ -128,6 +130,8 @@ def _prepare(load: Load, feeds: Mapping[str, DataFrame], feed: str) -> DataFrame
 
 
 def _stage(load: Load, prepared: DataFrame, table: str, settings: Settings) -> None:
+    if load.finished(table):
+        return
     rows = staging.stage_rows(table, prepared)
     if settings.strict or table not in prep.DEDUP_KEYS:
         _expect_none(
@@ -164,13 +168,14 @@ def _load_job(load: Load, job: vault.Job, settings: Settings) -> DataFrame:
     hubs = {parents[c]: load.current(parents[c]) for c in checked}
     missing = vault.missing_references(job, rows, hubs, settings.strict, load.keep, settings.key)
     missing = {c: keys for c, keys in missing.items() if load.counted(f"{job.table}.{c}")}
-    source = vault.source_rows(job, rows, missing, settings.load_ts, settings.load_src, settings.key)
-    _check_keys(job, source, settings)
-    if TABLES[job.table].layer == HUB and vault.may_forget(job):
-        _check_ledger(load, job, rows, settings)
-    if settings.strict:
-        _check_lengths(job, source)
-    _merge(load, job, source, settings)
+    if not load.finished(job.table):
+        source = vault.source_rows(job, rows, missing, settings.load_ts, settings.load_src, settings.key)
+        _check_keys(job, source, settings)
+        if TABLES[job.table].layer == HUB and vault.may_forget(job):
+            _check_ledger(load, job, rows, settings)
+        if settings.strict:
+            _check_lengths(job, source)
+        _merge(load, job, source, settings)
     counts = _incomplete(job.source)
     return vault.rejected_rows(job, staged, missing, job.table in counts and load.counted(job.source, job.table) > 0)
 

@@ -19,6 +19,7 @@ leaves no trace in it. Nothing is read and overwritten in place.
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Mapping, Sequence
@@ -46,6 +47,10 @@ LEDGER = "keys_of_"
 KEY_TYPES = {INT60: LongType(), HEX128: StringType()}
 
 
+_JOURNAL = "kind string, name string, paths array<string>, counts map<string, bigint>"
+TABLE, KEPT, ATTEMPT = "table", "kept", "attempt"
+
+
 def load_id(load_ts: str) -> str:
     """A load's place in the order of loads: its time, to the microsecond, in digits.
 
@@ -212,7 +217,8 @@ class Warehouse:
         def older(folder: str) -> bool:
             return folder.removeprefix(f"{SEGMENT}=").split("_")[0] < newest
 
-        gone = [f"{self.root}/scratch/{f}" for f in folders(f"{self.root}/scratch") if older(f)]
+        gone = [f"{self.root}/{kind}/{f}" for kind in ("scratch", "journal")
+                for f in folders(f"{self.root}/{kind}") if older(f)]
         for name in folders(f"{self.root}/data"):
             for folder in folders(self._folder(name)):
                 if older(folder) and (name, folder) not in named:
@@ -228,9 +234,13 @@ class Warehouse:
         names = [f.getPath().getName() for f in files.listStatus(path_of(path))]
         return sorted(int(n.removeprefix(f"{RANGE}=")) for n in names if n.startswith(f"{RANGE}="))
 
-    def begin(self, load_ts: str, key: str = INT60) -> Load:
+    def begin(self, load_ts: str, key: str = INT60, resume: str | None = None) -> Load:
         """A load at ``load_ts``; one writer at a time, which ``commit`` checks. A warehouse
-        whose loads have another kind of ``key`` refuses it."""
+        whose loads have another kind of ``key`` refuses it.
+
+        ``resume``: keep a journal of what is written, and go on with a failed attempt that
+        had the same text here and began from the same state, where there is one.
+        """
         if key not in KEY_TYPES:
             raise ValueError(f"unknown kind of key {key!r}")
         this, newest = load_id(load_ts), self.snapshot()
@@ -238,13 +248,30 @@ class Warehouse:
             raise ValueError(f"this warehouse has keys of kind {newest.key}, not {key}")
         if this < newest.load_id:
             raise ValueError(f"load {load_ts} is older than the newest committed load")
-        return Load(self, this, self.snapshot(before=this), newest, key)
+        load = Load(self, this, self.snapshot(before=this), newest, key)
+        if resume is not None:
+            load.keep_journal(f"{resume} on {newest.load_id} {newest.committed_ns}")
+        return load
+
+    def attempts(self, load_id: str, what: str) -> list[str]:
+        """Unfinished attempts of a load that keep a journal under ``what``, the oldest first."""
+        files, path_of = self._files()
+        folder = path_of(f"{self.root}/journal")
+        found = files.listStatus(folder) if files.exists(folder) else []
+        named = sorted((f.getModificationTime(), f.getPath().getName()) for f in found)
+        return [name.rsplit("_", 1)[1] for _, name in named if name.startswith(f"{load_id}_")
+                and any(e.kind == ATTEMPT and e.name == what for e in self.journal(name))]
+
+    def journal(self, name: str) -> list:
+        """What an attempt has written: a line for each table and intermediate table."""
+        return self.spark.read.schema(_JOURNAL).json(f"{self.root}/journal/{name}").collect()
 
 
 class Load:
     """One load: reads the state before it, writes new folders, commits at the end.
 
-    Repeating a load starts again from the state before it and replaces it.
+    Repeating a load starts again from the state before it and replaces it. With a journal
+    (see ``Warehouse.begin``) an attempt that failed is taken up where it ended.
     """
 
     def __init__(
@@ -253,17 +280,58 @@ class Load:
         self.warehouse, self.load_id, self.base, self._newest = warehouse, load_id, base, newest
         self.key = key
         self._attempt = uuid.uuid4().hex[:12]
-        self._scratch = f"{warehouse.root}/scratch/{load_id}_{self._attempt}"
+        self._journal: str | None = None
+        self._written: dict[tuple[str, str], list[str]] = {}
         self._new: dict[str, list[str]] = {}
         self.row_counts: dict[str, int] = {}
         self._counted: dict[tuple[str, str], int] = {}
 
+    @property
+    def _scratch(self) -> str:
+        return f"{self.warehouse.root}/scratch/{self.load_id}_{self._attempt}"
+
+    def keep_journal(self, what: str) -> None:
+        """Note what is written from now on; take over what an earlier attempt noted."""
+        found = self.warehouse.attempts(self.load_id, what)
+        if found:
+            self._attempt = found[-1]
+            for entry in self.warehouse.journal(f"{self.load_id}_{self._attempt}"):
+                self._written[entry.kind, entry.name] = entry.paths
+                self._counted.update({(entry.name, what): n for what, n in (entry.counts or {}).items()})
+        self._journal = f"{self.warehouse.root}/journal/{self.load_id}_{self._attempt}"
+        if not found:
+            self._enter(ATTEMPT, what, [])
+
+    def _enter(self, kind: str, name: str, paths: list[str]) -> None:
+        """A line of the journal, as a file of its own that appears whole."""
+        if self._journal is None:
+            return
+        counts = {what: n for (of, what), n in self._counted.items() if of == name}
+        line = json.dumps({"kind": kind, "name": name, "paths": paths, "counts": counts})
+        files, path_of = self.warehouse._files()
+        at = f"{self._journal}/{uuid.uuid4().hex}.json"
+        out = files.create(path_of(f"{at}._part"))
+        out.write(line.encode())
+        out.close()
+        files.rename(path_of(f"{at}._part"), path_of(at))
+
+    def finished(self, name: str) -> bool:
+        """Whether an earlier attempt has written the table; it then counts as written."""
+        paths = self._written.get((TABLE, name))
+        if paths is None:
+            return False
+        self._new[name], self.row_counts[name] = paths, self._counted.get((name, ROWS), 0)
+        return True
+
     def keep(self, df: DataFrame, name: str, counts: Mapping[str, str] | None = None) -> DataFrame:
         """An intermediate result as a written table. Its rows are counted in the same write,
         and so are those that meet each condition of ``counts``."""
+        if (KEPT, name) in self._written:
+            return self.warehouse.spark.read.schema(df.schema).parquet(f"{self._scratch}/{name}")
         seen, df = _observed(df, name, counts)
         kept = written(df, self._scratch, name)
         self._note(name, seen)
+        self._enter(KEPT, name, [])
         return kept
 
     def counted(self, name: str, what: str = ROWS) -> int:
@@ -293,6 +361,8 @@ class Load:
         """Merge the source into a table of key ranges, and rewrite only those in which a
         row is new or has another digest. Keys and digests alone are compared."""
         wh, key, paths = self.warehouse, TABLES[name].key, self.base.tables.get(name, [])
+        if self.finished(name):
+            return
         if not paths:
             self.replace(name, source)
             return
@@ -309,6 +379,7 @@ class Load:
         self.row_counts[name] = 0
         self._new[name] = kept
         if not changed:
+            self._enter(TABLE, name, kept)
             return
         new = new.filter(F.col(RANGE).isin(changed))
         if touched:
@@ -318,6 +389,7 @@ class Load:
                 *[f"CASE WHEN {takes_old} THEN old.{c} ELSE new.{c} END AS {c}" for c in columns],
                 f"coalesce(new.{RANGE}, old.{RANGE}) AS {RANGE}")
         self._new[name] = [*kept, self._write(name, new)]
+        self._enter(TABLE, name, self._new[name])
 
     def _digests(self, name: str, paths: Sequence[str]) -> DataFrame:
         """Rows of a table of key ranges with range and digest."""
@@ -337,16 +409,21 @@ class Load:
         self, name: str, df: DataFrame, placed: bool = False, counts: Mapping[str, str] | None = None
     ) -> None:
         """``placed``: the rows lie in partitions of the buckets already. ``counts``: see ``keep``."""
-        self._new[name] = [self._write(name, df, placed, counts)]
+        if not self.finished(name):
+            self._new[name] = [self._write(name, df, placed, counts)]
+            self._enter(TABLE, name, self._new[name])
 
     def append(self, name: str, delta: DataFrame, placed: bool = False) -> None:
         """Add a folder; an empty delta of an insert-only table adds none. The
         last folder of a history holds its open rows, so it always counts."""
+        if self.finished(name):
+            return
         before, path = self.base.tables.get(name, []), self._write(name, delta, placed)
         if before and not self.row_counts[name] and not _is_history(name):
             self._new[name] = before
         else:
             self._new[name] = [*before, path]
+        self._enter(TABLE, name, self._new[name])
 
     def folders(self, name: str) -> int:
         """How many folders the table had before this load."""
@@ -395,6 +472,9 @@ class Load:
         spark = self.warehouse.spark
         spark.createDataFrame(record, _COMMIT).coalesce(1).write.mode("append").json(
             f"{self.warehouse.root}/commits")
+        if self._journal:
+            files, path_of = self.warehouse._files()
+            files.delete(path_of(self._journal), True)
         return Snapshot(self.load_id, now, tables, self.key)
 
 
