@@ -2,25 +2,44 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_made: list[str] = []
 
 
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder below the shared one that the cluster names.
 
-    Only a single-machine session without that setting gets a local folder.
+    Only a single-machine session without that setting gets a local folder, which goes
+    when the program ends.
     """
     shared = spark.conf.get(CHECKPOINT_SETTING, None)
     if shared:
-        return f"{shared.rstrip('/')}/vaultloom-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
+        folder = f"{shared.rstrip('/')}/vaultloom-{uuid.uuid4().hex}"
+        _made.append(folder)
+        return folder
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError(f"{CHECKPOINT_SETTING} must name a shared folder")
-    return tempfile.mkdtemp(prefix="vaultloom-")
+    folder = tempfile.mkdtemp(prefix="vaultloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+def remove_scratch(spark: SparkSession) -> list[str]:
+    """Delete the shared folders that this program took; results that read them are lost."""
+    path_of, gone = spark._jvm.org.apache.hadoop.fs.Path, []
+    while _made:
+        folder = path_of(_made.pop())
+        if folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True):
+            gone.append(folder.toString())
+    return gone
 
 
 def written(df: DataFrame, folder: str, name: str) -> DataFrame:
