@@ -379,3 +379,29 @@ def test_wide_keys(spark, loaded, tmp_path):
         load(spark, plain, loaded[6], 2, key="hex128")
     with pytest.raises(ValueError, match="unknown kind"):
         load(spark, Warehouse(spark, str(tmp_path / "none")), loaded[6], 1, key="hex64")
+
+
+def test_references_are_proved_once(spark, loaded, tmp_path):
+    from tests.test_placed import write_plans
+
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    load(spark, wh, loaded[6], 1, prove_once=True)
+    proved = "proved_of_l_order_customer_customer_id"
+    first, held = wh.snapshot(), wh.spark.read.parquet(*wh.snapshot().tables[proved])
+    assert rows(held, "id") == rows(wh.table("hub_customers").filter("customer_id <> 'c9'"), "id")
+    rejected = rows(wh.table(REJECTS), "table_name", "reason", "row")
+    late = write_drop(tmp_path / "late", {  # the missing customer comes, another is missing
+        "customers": [*DROP["customers"][:2], "c9,u9,900,q,SP"],
+        "orders": [*DROP["orders"], f"o4,c8,shipped,{AT},,,,{AT}"]})
+    load(spark, wh, late, 2, prove_once=True)
+    second = wh.snapshot().tables[proved]
+    assert len(second) == 2 and wh.spark.read.parquet(second[1]).count() == 1  # c9 alone
+    assert all(second_paths == first.tables[t] for t, second_paths in wh.snapshot().tables.items()
+               if t.startswith("proved_of_l_product_seller"))
+    attempt = second[1].rsplit("/", 1)[1]
+    [plan] = write_plans(spark, f"{attempt}/l_order_customer.customer_id.held")
+    assert "Broadcast" in plan and "Exchange hashpartitioning" not in plan, plan
+    now = rows(wh.table(REJECTS), "table_name", "reason", "row")
+    assert ("l_order_customer", "no hub_customers row", '{"customer_id":"c8","order_id":"o4"}') in now
+    assert not any("c9" in row for _, _, row in now) and any("c9" in row for _, _, row in rejected)
+    assert wh.table("l_order_customer").count() == 3

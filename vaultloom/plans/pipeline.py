@@ -23,7 +23,7 @@ from vaultloom.plans import prep, staging, vault
 from vaultloom.sources import csv_files
 from vaultloom.sources.scratch import scratch_folder, written
 from vaultloom.sources.tables import HUB, RAW_FEEDS, TABLES
-from vaultloom.sources.warehouse import LEDGER, REJECTS, REJECTS_SCHEMA, Load, Warehouse
+from vaultloom.sources.warehouse import LEDGER, PROVED, REJECTS, REJECTS_SCHEMA, Load, Warehouse
 
 __all__ = ["LoadError", "Settings", "compact", "read_feeds", "read_prepared", "run_load", "write_prepared"]
 
@@ -42,6 +42,7 @@ class Settings:
     close: str = history.CLOSE_OPEN_ONLY
     first_seen: bool = False  # hubs keep the audit columns of a key's first load
     key: str = INT60  # or HEX128; a warehouse has one kind of key for good
+    prove_once: bool = False  # keep the references that were proved; prove new ones only
     resume: bool = False  # go on with a failed attempt of this load; the feeds must be the same
     parallel_jobs: int = 8
 
@@ -166,7 +167,10 @@ def _load_job(load: Load, job: vault.Job, settings: Settings) -> DataFrame:
     parents = TABLES[job.table].parents
     checked = vault.checked_references(job, settings.strict)
     hubs = {parents[c]: load.current(parents[c]) for c in checked}
-    missing = vault.missing_references(job, rows, hubs, settings.strict, load.keep, settings.key)
+    if settings.prove_once:
+        missing = {c: _unproved(load, job, rows, c, hubs[parents[c]], settings) for c in checked}
+    else:
+        missing = vault.missing_references(job, rows, hubs, settings.strict, load.keep, settings.key)
     missing = {c: keys for c, keys in missing.items() if load.counted(f"{job.table}.{c}")}
     if not load.finished(job.table):
         source = vault.source_rows(job, rows, missing, settings.load_ts, settings.load_src, settings.key)
@@ -180,6 +184,25 @@ def _load_job(load: Load, job: vault.Job, settings: Settings) -> DataFrame:
     return vault.rejected_rows(job, staged, missing, job.table in counts and load.counted(job.source, job.table) > 0)
 
 
+def _unproved(
+    load: Load, job: vault.Job, rows: DataFrame, column: str, hub: DataFrame, settings: Settings
+) -> DataFrame:
+    """Orphan keys of a reference. A hub never loses an id, so what a load has proved stays
+    so: only keys that no load has proved meet the hub, and what it holds of them is noted."""
+    name = f"{PROVED}{job.table}_{column}"
+    proved, keys = load.target(name), vault.reference_keys(job, rows, column, settings.key)
+    if proved is not None:
+        keys = keys.join(proved.select("id"), "id", "left_anti")
+    fresh = load.keep(keys, f"{job.table}.{column}.fresh")
+    columns = job.refs[column].columns
+    if not load.counted(f"{job.table}.{column}.fresh"):
+        load.carry(name)
+        return load.keep(fresh.select(*columns), f"{job.table}.{column}")
+    held = load.keep(vault.held_ids(fresh, hub), f"{job.table}.{column}.held")
+    load.append(name, held)
+    return load.keep(fresh.join(held, "id", "left_anti").select(*columns), f"{job.table}.{column}")
+
+
 def _merge(load: Load, job: vault.Job, source: DataFrame, settings: Settings) -> None:
     name, ts = job.table, settings.load_ts
     if job.mode == vault.HISTORY and settings.close == history.CLOSE_OPEN_ONLY:

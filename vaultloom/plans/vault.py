@@ -187,9 +187,21 @@ def orphans(
     The distinct comes first: it folds hot values inside the tasks, so the rows
     that refer to one popular parent never meet in a single partition.
     """
-    ref, hub = job.refs[column], hubs[TABLES[job.table].parents[column]]
-    keys = rows.select(*ref.columns).distinct().selectExpr("*", f"{ref.expression(key)} AS id")
-    return keys.join(hub.select("id"), "id", "left_anti").select(*ref.columns)
+    hub = hubs[TABLES[job.table].parents[column]]
+    keys = reference_keys(job, rows, column, key)
+    return keys.join(hub.select("id"), "id", "left_anti").select(*job.refs[column].columns)
+
+
+def reference_keys(job: Job, rows: DataFrame, column: str, key: str = INT60) -> DataFrame:
+    """(business columns, id) of a reference, each once."""
+    ref = job.refs[column]
+    return rows.select(*ref.columns).distinct().selectExpr("*", f"{ref.expression(key)} AS id")
+
+
+def held_ids(keys: DataFrame, hub: DataFrame) -> DataFrame:
+    """Ids of the keys that the hub holds. ``keys`` is the written, small side: the planner
+    broadcasts it, and the hub's ids are scanned without being moved."""
+    return hub.select("id").join(keys.select("id"), "id", "left_semi")
 
 
 def checked_references(job: Job, strict: bool) -> tuple[str, ...]:

@@ -339,7 +339,8 @@ def load_ranges(spark, folder):
 
 def load_rejects(spark, folder):
     """What two whole loads leave out of untidy order items, read from CSV: prices that
-    are no numbers, items without an order or a price, and references to rows not sent."""
+    are no numbers, items without an order or a price, and references to rows not sent. The
+    second proves references that are new."""
     scratch = scratch_folder(spark)
     warehouse, ids = Warehouse(spark, f"{scratch}/warehouse"), (
         "order_id", "product_id", "seller_id", "customer_id", "review_id")
@@ -354,7 +355,8 @@ def load_rejects(spark, folder):
         csv_files.write_csv(untidy, f"{scratch}/items{n}")
         feeds["order_items"], bad = csv_files.csv_scan(
             spark, f"{scratch}/items{n}", RAW_FEEDS["order_items"], multiline=False)
-        run_load(spark, warehouse, feeds, Settings(load_ts(n), LOAD_SRC), {"order_items": bad})
+        settings = Settings(load_ts(n), LOAD_SRC, prove_once=True)
+        run_load(spark, warehouse, feeds, settings, {"order_items": bad})
         found.append(warehouse.table(REJECTS).selectExpr(
             f"{n} AS load_no", "table_name", "reason", *[f"get_json_object(row, '$.{c}') AS {c}" for c in ids]))
     return reduce(DataFrame.unionByName, found)

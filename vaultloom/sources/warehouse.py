@@ -44,6 +44,8 @@ REJECTS = "rejects"
 REJECTS_SCHEMA = "table_name string, reason string, row string"
 LEDGER = "keys_of_"
 """Before a hub's name: the ids it ever stood for, each with a digest of its business key."""
+PROVED = "proved_of_"
+"""Before a table's and a column's name: the ids that were found in the column's hub."""
 KEY_TYPES = {INT60: LongType(), HEX128: StringType()}
 
 
@@ -425,6 +427,10 @@ class Load:
             self._new[name] = [*before, path]
         self._enter(TABLE, name, self._new[name])
 
+    def carry(self, name: str) -> None:
+        """Leave a table as it is."""
+        self._new[name] = self.base.tables.get(name, [])
+
     def folders(self, name: str) -> int:
         """How many folders the table had before this load."""
         return len(self.base.tables.get(name, []))
@@ -517,6 +523,8 @@ def _schema(name: str, key: str) -> StructType:
         return StructType.fromDDL(REJECTS_SCHEMA)
     if name.startswith(LEDGER):
         return StructType([StructField("id", KEY_TYPES[key]), StructField("digest", StringType())])
+    if name.startswith(PROVED):
+        return StructType([StructField("id", KEY_TYPES[key])])
     return TABLES[name].schema_with(KEY_TYPES[key])
 
 
