@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 CLOSE_OPEN_ONLY = "open_only"
 CLOSE_ALL_DIFFERING = "all_differing"
@@ -105,3 +106,33 @@ def changed_keys(
     """Source rows whose value differs from the open target row of their key."""
     new, old = source.alias("new"), open_rows(target).alias("old")
     return new.join(old, _same_key(keys)).filter(_differs(values)).select("new.*")
+
+
+def splice(
+    target: DataFrame, late: DataFrame, later: DataFrame, keys: Sequence[str], values: Sequence[str], late_ts: str
+) -> DataFrame:
+    """The history as if a drop that came late had been loaded in its turn.
+
+    ``target`` is the whole history without that drop. ``late`` holds the drop's rows, one
+    per key, with value and audit columns; ``later`` the first load after ``late_ts`` that
+    delivered a key again, as (keys, ``seen_ts``, ``seen_src``), no row where none did.
+
+    A history is a list of points at which a value begins. The late value begins at
+    ``late_ts``; what held before begins again at ``seen_ts``, if the key came again and
+    said the same; points that change nothing go, and each row ends where the next begins.
+    Only rows of the late drop's keys are moved; the window holds one key's history.
+    """
+    opened = first_load(late, late_ts)
+    columns = [c for c in opened.columns if c != "valid_to"]
+    at, keyed = f"TIMESTAMP_NTZ'{late_ts}'", late.select(*keys)
+    touched = target.join(keyed, list(keys), "left_semi")
+    spans = f"valid_from <= {at} AND coalesce(valid_to > seen_ts, true)"
+    begins_again = touched.join(later.select(*keys, "seen_ts", "seen_src"), list(keys)).filter(spans)
+    renamed = {"valid_from": "seen_ts", "load_dttm": "seen_ts", "load_src": "seen_src"}
+    points = touched.select(*columns).unionByName(opened.select(*columns)).unionByName(
+        begins_again.selectExpr(*[f"{renamed.get(c, c)} AS {c}" for c in columns]))
+    order = Window.partitionBy(*keys).orderBy("valid_from")
+    new, old = F.struct(*values).alias("new"), F.lag(F.struct(*values)).over(order).alias("old")
+    changes = points.select("*", new, old).filter(f"old IS NULL OR {_differs(values)}").select(*columns)
+    spliced = changes.withColumn("valid_to", F.lead("valid_from").over(order))
+    return target.join(keyed, list(keys), "left_anti").select(*opened.columns).unionByName(spliced.select(*opened.columns))

@@ -600,6 +600,7 @@ def all_oracles() -> dict[str, str]:
             WHERE a.zip_code <> b.zip_code""",
         "scd2_two_loads": _two_modes(2),
         "scd2_three_loads": _two_modes(3),
+        "scd2_late_drop": "SELECT * FROM sat_order_statuses_3",
         "enrich_people": f"""
             SELECT c_custkey, {name_of('c_name')} AS customer_name, {email_of('c_name')} AS email,
                    {phone_of('c_name')} AS phone_number, {born('c_name')} AS date_of_birth FROM customer""",

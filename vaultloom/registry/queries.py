@@ -189,6 +189,21 @@ def scd2_three_loads(spark, folder):
     return _history_in_both_modes(spark, folder, 3)
 
 
+def scd2_late_drop(spark, folder):
+    """Order statuses after drops 1 and 3, into which drop 2 is spliced."""
+    scratch, table = scratch_folder(spark), "sat_order_statuses"
+
+    def drops(*numbers):
+        return Chain(
+            lambda feed, n: raw_feed(spark, folder, feed, numbers[n - 1]), lambda n: load_ts(numbers[n - 1]), LOAD_SRC,
+            keep=lambda df, name: written(df, f"{scratch}/{'-'.join(map(str, numbers))}", name))
+
+    later = drops(3).source(table, 1).selectExpr("order_id", "load_dttm AS seen_ts", "load_src AS seen_src")
+    target = written(drops(1, 3).vault(table, 2), scratch, "target")
+    late = written(drops(2).source(table, 1), scratch, "late")
+    return history.splice(target, late, later, ["order_id"], ["order_status"], load_ts(2)).select(*TABLES[table].columns)
+
+
 def enrich_people(spark, folder):
     return _table(spark, folder, "customer").selectExpr(
         "c_custkey", f"{people.person_name('c_name')} AS customer_name",
@@ -389,7 +404,7 @@ def all_queries() -> dict[str, Query]:
         load_rejects, dq_declared_rules,
         csv_scan, csv_roundtrip, typed_load_good, typed_load_rejects, load_counts,
         append_batch, dedup_drop_all, union_all, distinct_rows, hash_key_1, hash_key_n,
-        merge_upsert, merge_insert_only, scd2_changed_keys, scd2_two_loads, scd2_three_loads,
+        merge_upsert, merge_insert_only, scd2_changed_keys, scd2_two_loads, scd2_three_loads, scd2_late_drop,
         enrich_people, enrich_product_names, dq_pk_violations, dq_null_violations,
         dq_fk_orphans, dq_too_long, dq_hash_collisions, dq_merge_ambiguity, vault_rejects,
     ]
