@@ -203,14 +203,15 @@ def raw_payments(spark: SparkSession, folder: str, load: int) -> DataFrame:
 
 
 def raw_reviews(spark: SparkSession, folder: str, load: int) -> DataFrame:
-    """Documents as reviews; equal texts get the same id, so copies are duplicates."""
-    docs = _read(spark, folder, "documents")
+    """Documents as reviews; equal texts get the same id, so copies are duplicates. The id
+    is made before the join, so that who needs no text moves none."""
+    docs = _read(spark, folder, "documents").selectExpr("*", "md5(text) AS text_key")
     if load == 1:
         docs = docs.filter("lang <> 'fr'")
     written = "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, cast(doc_id AS decimal(18, 6)))"
     return _as_feed(
         docs.join(_read(spark, folder, "labels"), "doc_id", "left"), "reviews",
-        review_id="md5(text)",
+        review_id="text_key",
         order_id="concat('O', doc_id)",
         review_score="coalesce(1 + 4 * quality, 3)"
         f" + CASE WHEN lang = 'de' AND quality = 0 THEN {load - 1} ELSE 0 END",
