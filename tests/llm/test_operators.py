@@ -174,6 +174,46 @@ def test_vectors(spark, monkeypatch):
     assert few == vector_dedup.audit(df, got) >= 0.9 and vector_dedup.linked(df.limit(0)).count() == 0
 
 
+def test_vector_clusters(spark, monkeypatch, tmp_path):
+    """Labels far larger than a shard: clusters of several levels, a dense group among them."""
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(250, 12))
+    x = np.concatenate((np.repeat(base, 4, axis=0), base[:1].repeat(300, axis=0)))
+    x = x / np.linalg.norm(x, axis=1, keepdims=True) + rng.normal(size=x.shape) * 0.02
+    rows = [(i, [float(v) for v in vector], "big") for i, vector in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= 0.98
+    want = {i: int(near[i].sum()) - 1 for i in range(len(x))}
+    monkeypatch.setattr(vector_dedup, "FANOUT", 6)
+    monkeypatch.setattr(vector_dedup, "SHARD_POINTS", 20)
+    monkeypatch.setattr(vector_dedup, "SHARD_MOST", 60)
+    points = vector_dedup._points(df, str(tmp_path))
+    places, sizes = vector_dedup._clustered(points, str(tmp_path), 0.98)
+    nodes = [r.node for r in sizes.collect()]
+    assert max(nodes) > 65 and len(nodes) > 12  # children of children
+    assert {len(r.leaves) for r in places.collect()} == {1, 2}
+    got = {r.vec_id: r.n_links for r in vector_dedup.linked(df).collect()}
+    assert all(got[i] <= want[i] for i in want)  # no link twice, none that is not there
+    assert sum(got.values()) >= 0.99 * sum(want.values())
+
+
+def test_vector_graph():
+    """The graph grown by search leads to every link, also between far and tight groups."""
+    rng = np.random.default_rng(7)
+    for x in (rng.normal(size=(700, 3)), np.repeat(rng.normal(size=(100, 24)), 7, axis=0) + rng.normal(size=(700, 24)) * 0.08,
+              rng.normal(size=(1, 5)), np.ones((5, 4))):
+        x = x / np.linalg.norm(x, axis=1, keepdims=True)
+        lists = vector_dedup.grown(x)
+        assert all(i not in near and len(near) <= vector_dedup.DEGREE + vector_dedup.RANDOM_EDGES
+                   for i, near in enumerate(lists))
+        edges, everyone = vector_dedup._padded(lists), np.arange(len(x))
+        q, v = vector_dedup.searched(x, edges, everyone, vector_dedup._medoids(x), 0.98)
+        found = set(zip(q.tolist(), v.tolist()))
+        true = {(i, j) for i, j in zip(*map(np.ndarray.tolist, np.nonzero(x @ x.T >= 0.98))) if i != j}
+        assert len(found) == len(q) and found <= true and len(found) >= 0.99 * len(true)
+
+
 def test_scores(docs, rows, monkeypatch):
     for frequent in (classlm.FREQUENT, 4):
         monkeypatch.setattr(classlm.frequent_words, "__defaults__", (frequent,))
