@@ -11,9 +11,10 @@ Vectors with equal labels are linked where their cosine, in double precision, is
    a large cluster without three such centres is dealt into blocks, and every pair of
    blocks is a shard. So a shard is bounded however many points are alike.
 2. Graph: each shard's graph grows by search. Points come in batches; a greedy search from
-   the shard's medoids, in the graph so far, gives a batch's candidates, robust pruning
+   the shard's medoids and some points drawn, in the graph so far, gives a batch's candidates, robust pruning
    keeps those that no kept one is closer to by ``ALPHA``, and links back are pruned
-   likewise. Points of a batch are compared with each other, not with all of the shard.
+   likewise; at the end each point takes up to ``DEGREE`` more of those that lead to it, in
+   random order. Points of a batch are compared with each other, not with all of the shard.
    The adjacency lists of a point from all its shards are united: a flat graph over
    overlapping shards.
 3. Search: each point is searched in its shards: a greedy search with a beam starts at the
@@ -63,6 +64,7 @@ ALPHA = 1.2
 BEAM = 32
 SLACK = 0.02
 MEDOIDS = 4
+DRAWN = 24
 AT_ONCE = 128
 AUDITED = 4_096
 _FINITE = "forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity'))"
@@ -255,7 +257,9 @@ def grown(x: np.ndarray, seed: int = 3) -> list[np.ndarray]:
         c = min(NEAREST, len(rows)) - 1
         cand = rows[np.argsort(-mates, axis=1, kind="stable")[:, :c]]
         if at:
-            beam = walked(x, edges, x[rows], np.broadcast_to(entries, (len(rows), len(entries))))[0]
+            drawn = order[rng.integers(len(entries), at, (len(rows), DRAWN))]
+            start = np.concatenate((np.broadcast_to(entries, (len(rows), len(entries))), drawn), axis=1)
+            beam = walked(x, edges, x[rows], start)[0]
             cand = np.concatenate((beam, cand), axis=1)
         if cand.shape[1]:
             edges[rows, :DEGREE] = _robust(x, rows, cand)
@@ -263,7 +267,14 @@ def grown(x: np.ndarray, seed: int = 3) -> list[np.ndarray]:
         far = order[rng.integers(0, at + len(rows), (len(rows), RANDOM_EDGES))]
         far[far == rows[:, None]] = -1
         edges[rows, DEGREE:] = far
-    return [np.unique(e[e >= 0]) for e in edges]
+    heads, tails = np.repeat(np.arange(n), edges.shape[1]), edges.ravel().astype(np.int64)
+    heads, tails = heads[tails >= 0], tails[tails >= 0]
+    order = rng.permutation(len(heads))  # so that points at a tight group's rim are led to as well
+    order = order[np.argsort(tails[order], kind="stable")]
+    rank = np.arange(len(order)) - np.searchsorted(tails[order], tails[order])
+    back = order[rank < DEGREE]
+    pairs = np.unique(np.concatenate((heads * n + tails, tails[back] * n + heads[back])))
+    return np.split(pairs % n, np.searchsorted(pairs // n, np.arange(1, n)))
 
 
 def _padded(lists: list[np.ndarray]) -> np.ndarray:
@@ -366,21 +377,22 @@ def _search(least: float):
             lists.append(at[ids[at] == near])
         edges = _padded(lists)
         entries = _medoids(x)
-        links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
-        weight = shard["copies"].to_numpy()
+        met = np.zeros((len(ids), len(ids)), bool)
         for at in range(0, len(ids), AT_ONCE):
             queries = np.arange(at, min(len(ids), at + AT_ONCE))
             q, v = searched(x, edges, queries, entries, least)
-            q = queries[q]
-            own = ~((other[q] == other[v]) & (other[q] >= 0) & (other[q] < cluster))
+            met[queries[q], v] = True
+        met |= met.T  # a link found from one end is found
+        weight, root, links = shard["copies"].to_numpy(), np.arange(len(ids)), np.zeros(len(ids), np.int64)
+        for one in range(len(ids)):
+            v = np.flatnonzero(met[one])
+            own = ~((other[one] == other[v]) & (other[v] >= 0) & (other[v] < cluster))
             if across:
-                own &= block[q] != block[v]
-            q, v = q[own], v[own]
-            np.add.at(links, q, weight[v])
-            for one in np.unique(q):
-                met = np.unique(root[np.append(v[q == one], one)])
-                if len(met) > 1:
-                    root[np.isin(root, met)] = met[0]
+                own &= block[one] != block[v]
+            links[one] = weight[v[own]].sum()
+            both = np.unique(root[np.append(v[own], one)])
+            if len(both) > 1:
+                root[np.isin(root, both)] = both[0]
         return pd.DataFrame({"point": ids, "links": links, "root": ids[root]})
 
     return run
