@@ -205,7 +205,7 @@ def test_vector_graph():
               rng.normal(size=(1, 5)), np.ones((5, 4))):
         x = x / np.linalg.norm(x, axis=1, keepdims=True)
         lists = vector_dedup.grown(x)
-        assert all(i not in near and len(near) <= vector_dedup.DEGREE + vector_dedup.RANDOM_EDGES
+        assert all(i not in near and len(near) <= 2 * vector_dedup.DEGREE + vector_dedup.RANDOM_EDGES
                    for i, near in enumerate(lists))
         edges, everyone = vector_dedup._padded(lists), np.arange(len(x))
         q, v = vector_dedup.searched(x, edges, everyone, vector_dedup._medoids(x), 0.98)
