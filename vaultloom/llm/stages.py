@@ -13,10 +13,15 @@ from vaultloom.llm import decontaminate, langid, line_dedup, packing, simhash
 from vaultloom.llm.common import stored_rows, table
 
 
+LEAST_SCORE = 0.5
+
+
 def language_id(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Drops documents without text or without a letter. The prediction rejects nothing,
-    and a table from which no language can be learned keeps its rows."""
-    found = langid.predicted(docs, keep_rows=True).filter(langid.has_letter(F.col("d")["text"]))
+    """Drops documents without text or without a letter, and those in no one language: where
+    the likeliest has less than ``LEAST_SCORE`` of the probability. A table from which no
+    language can be learned keeps its rows."""
+    decided = (F.col("lang_pred") == langid.UNKNOWN) | (F.col("score") >= LEAST_SCORE)
+    found = langid.predicted(docs, keep_rows=True).filter(langid.has_letter(F.col("d")["text"])).filter(decided)
     return found.select(*[F.col("d")[c].alias(c) for c in docs.columns])
 
 
