@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -35,3 +36,26 @@ def test_splice_equals_drops_in_order(spark):
         got = history.splice(loaded(others), late, later, ["k"], ["v"], days[late_at])
         want = loaded(range(len(days)))
         assert Counter(map(tuple, got.select(*want.columns).collect())) == Counter(map(tuple, want.collect())), late_at
+
+
+def test_splice_broadcasts_no_side_and_keeps_other_keys(spark):
+    """Null keys meet nothing, keys that the late drop lacks stay, and all meet in one exchange."""
+    history_of = "k int, v string, load_dttm timestamp_ntz, load_src string, valid_from timestamp_ntz, valid_to timestamp_ntz"
+    day = {d: datetime(2024, 1, d) for d in (1, 2, 3)}
+    target = spark.createDataFrame([
+        (1, "a", day[1], "x", day[1], None), (2, "a", day[1], "x", day[1], None),
+        (3, "b", day[1], "x", day[1], day[3]), (3, "b", day[3], "x", day[3], None),
+        (None, "a", day[1], "x", day[1], None)], history_of)
+    late = spark.createDataFrame(
+        [(1, "b", day[2], "y"), (None, "b", day[2], "y"), (4, "b", day[2], "y")],
+        "k int, v string, load_dttm timestamp_ntz, load_src string")
+    later = spark.createDataFrame(
+        [(1, day[3], "z"), (2, day[3], "z"), (None, day[3], "z")], "k int, seen_ts timestamp_ntz, seen_src string")
+    got = history.splice(target, late, later, ["k"], ["v"], "2024-01-02 00:00:00")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert Counter(map(tuple, got.collect())) == Counter([
+        (1, "a", day[1], "x", day[1], day[2]), (1, "b", day[2], "y", day[2], day[3]), (1, "a", day[3], "z", day[3], None),
+        (2, "a", day[1], "x", day[1], None), (3, "b", day[1], "x", day[1], day[3]), (3, "b", day[3], "x", day[3], None),
+        (4, "b", day[2], "y", day[2], None), (None, "a", day[1], "x", day[1], None), (None, "b", day[2], "y", day[2], None)])
