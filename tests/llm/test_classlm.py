@@ -112,3 +112,44 @@ def test_no_training_rows(spark):
     held = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2][:3]
     got = classlm.scored(spark.createDataFrame([(i, "a b") for i in held], "doc_id long, text string")).collect()
     assert all(r.held_out and r.n_known == 0 and r.train_tokens == 0 and r.n_tokens == 3 and r.score < 0 for r in got)
+
+
+def test_words_outside_the_seed_class_by_all_their_bigrams(spark, monkeypatch):
+    """Words of a seed of three and the rest: each bigram counts, at both its ends."""
+    monkeypatch.setattr(classlm, "SEED", 3)
+    docs = list(enumerate(f"a {x} z{i} b" for i in range(12) for x in "xq"))
+    held = [zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in docs]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    words = classlm.seed_words(classlm.word_counts(df), 3)
+    assert sorted(words) == [b"", b"a", b"b"]
+    train = [t.encode().split() + [b""] for (_, t), h in zip(docs, held, strict=True) if not h]
+    number = {w: i for i, w in enumerate(words)}
+    want = np.zeros((4, 4), int)
+    cells = Counter()
+    for t in train:
+        for x, y in zip([b"", *t], t):
+            i, j = number.get(x, 3), number.get(y, 3)
+            want[i, j] += 1
+            if j == 3:
+                cells[y, i if i < 3 else classlm.CLASSES] += 1
+            if i == 3:
+                cells[x, classlm.CLASSES + 1 + (j if j < 3 else classlm.CLASSES)] += 1
+    m = classlm.seed_matrix(df, words, others=True)
+    assert (m == want).all() and m.sum() == sum(map(len, train))  # no bigram is left out
+    learned = df.filter(~classlm.held_out()).selectExpr("cast(text AS binary) AS text")
+    found = learned.mapInArrow(classlm._word_bigrams(number, True), "word binary, cell int, n long").collect()
+    got = Counter()
+    for r in found:
+        got[bytes(r.word), r.cell] += r.n
+    assert got == cells
+    cls = classlm.exchange_clusters(m, others=True)
+    assert cls[3] == classlm.CLASSES and (cls[:3] < classlm.CLASSES).all()
+    weights, prior = classlm.class_weights(m, cls, others=True)
+    own = {bytes(r.word): r.cls for r in classlm.classed_words(df, classlm.word_counts(df), True).collect()}
+    row = [*cls[:3], classlm.CLASSES]  # of the weights, before a word
+    rows = [*row, *[classlm.CLASSES + 1 + k for k in row]]
+    numbered = {c: i for i, c in enumerate([0, 1, 2, classlm.CLASSES])}
+    numbered.update({classlm.CLASSES + 1 + c: 4 + i for c, i in list(numbered.items())})
+    for w in {w for w, _ in cells}:
+        by = prior + sum(n * weights[rows[numbered[c]]] for (v, c), n in cells.items() if v == w)
+        assert own[w] == by.argmax()

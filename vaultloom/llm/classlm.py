@@ -14,6 +14,9 @@ All counts cover all training texts, and every training word has a class of its
 3. Every other word's bigrams with seed words are counted by class and side over the
    corpus. A word goes to the class under which its own bigrams are likeliest, given the
    seed's class bigrams; one without a seed word beside it, to the most frequent class.
+   With ``others``, as operator 9 asks, all words outside the seed are one unit more, in a
+   class of its own that no word joins: bigrams with them count in 2 and 3 like any other,
+   so that no bigram is left out and each word goes by its whole context.
 4. Texts become sequences of classes, a byte a token. The ``FREQUENT`` most frequent words
    are looked up in the tasks, all others by a join with the table of words; which words
    are looked up where changes the work but no score.
@@ -106,17 +109,28 @@ def seed_words(counts: DataFrame, most: int) -> list[bytes]:
     return words if END in words or not words else [*words[:most - 1], END]
 
 
-def _seed_bigrams(seed: dict[bytes, int]):
-    size = len(seed)
+def _batch_ids(texts: pa.Array, number, start: int) -> np.ndarray:
+    """The numbers of a batch's tokens, text after text, behind a first end: each text starts
+    after an end as if after its own, so neighbours here are all bigrams and no others."""
+    ids = [start]
+    for text in texts:
+        ids.extend(map(number, tokens(text.as_py())))
+    return np.array(ids)
+
+
+def _seed_bigrams(seed: dict[bytes, int], others: bool = False):
+    known = len(seed)
+    size = known + others
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, get, start = np.zeros(size * size, np.int64), seed.get, seed[END]
         for b in batches:
-            for text in b.column(0):
-                ids = np.array([start, *(get(w, -1) for w in tokens(text.as_py()))])
-                both = (ids[:-1] >= 0) & (ids[1:] >= 0)
-                cells, n = np.unique(ids[:-1][both] * size + ids[1:][both], return_counts=True)
-                found[cells] += n
+            ids = _batch_ids(b.column(0), lambda w: get(w, known), start)
+            before, behind = ids[:-1], ids[1:]
+            if not others:
+                both = (before < known) & (behind < known)
+                before, behind = before[both], behind[both]
+            found += np.bincount(before * size + behind, minlength=len(found))
         cells = np.flatnonzero(found)
         for at in range(0, len(cells), 50_000):
             part = cells[at:at + 50_000]
@@ -133,15 +147,19 @@ def _matrix(cells: DataFrame, size: int) -> np.ndarray:
     return m.reshape(size, size)
 
 
-def seed_matrix(docs: DataFrame, words: list[bytes]) -> np.ndarray:
-    """Bigrams of the seed's words over all training texts."""
+def seed_matrix(docs: DataFrame, words: list[bytes], others: bool = False) -> np.ndarray:
+    """Bigrams of the seed's words over all training texts; with ``others`` the last unit
+    is all other words."""
     learned = _numbered(docs).filter(~F.col("held_out")).select("text")
-    return _matrix(learned.mapInArrow(_seed_bigrams({w: i for i, w in enumerate(words)}), "cell int, n long"), len(words))
+    found = learned.mapInArrow(_seed_bigrams({w: i for i, w in enumerate(words)}, others), "cell int, n long")
+    return _matrix(found, len(words) + others)
 
 
-def _word_bigrams(seed: dict[bytes, int]):
+def _word_bigrams(seed: dict[bytes, int], others: bool = False):
     """(word, cell, n) of words outside the seed; the cell is the class of a seed word
-    before them, or ``CLASSES`` and that of one behind them."""
+    before them, or ``CLASSES`` and that of one behind them. With ``others`` each side has a
+    cell more, for words outside the seed."""
+    side = CLASSES + others
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, start = {w: -1 - k for w, k in seed.items()}, -1 - seed[END]
@@ -154,26 +172,28 @@ def _word_bigrams(seed: dict[bytes, int]):
             for at in range(0, len(cells), 100_000):
                 part = cells[at:at + 100_000]
                 yield pa.RecordBatch.from_arrays(
-                    [words.take(pa.array(part // (2 * CLASSES))), pa.array((part % (2 * CLASSES)).astype(np.int32)),
+                    [words.take(pa.array(part // (2 * side))), pa.array((part % (2 * side)).astype(np.int32)),
                      pa.array(n[at:at + 100_000])], ["word", "cell", "n"])
 
+        def number(w):
+            k = classes.get(w)
+            return numbers.setdefault(w, len(numbers)) if k is None else k
+
         held = 0
         for b in batches:
-            for text in b.column(0):
-                ids = [start]
-                for w in tokens(text.as_py()):
-                    k = classes.get(w)
-                    ids.append(numbers.setdefault(w, len(numbers)) if k is None else k)
-                ids = np.array(ids)
-                before, behind = ids[:-1], ids[1:]
-                into, out = (before < 0) & (behind >= 0), (before >= 0) & (behind < 0)
-                pending += [behind[into] * (2 * CLASSES) - 1 - before[into],
-                            before[out] * (2 * CLASSES) + CLASSES - 1 - behind[out]]
-                held += len(ids)
-                if held > PAIRED_AT_ONCE:
-                    yield from counted()
-                    numbers.clear(), pending.clear()
-                    held = 0
+            ids = _batch_ids(b.column(0), number, start)
+            cells = np.where(ids < 0, -1 - ids, CLASSES)
+            other = ids >= 0
+            into, out = other[1:], other[:-1]
+            if not others:
+                into, out = into & ~other[:-1], out & ~other[1:]
+            pending += [ids[1:][into] * (2 * side) + cells[:-1][into],
+                        ids[:-1][out] * (2 * side) + side + cells[1:][out]]
+            held += len(ids)
+            if held > PAIRED_AT_ONCE:
+                yield from counted()
+                numbers.clear(), pending.clear()
+                held = 0
         if pending:
             yield from counted()
 
@@ -196,36 +216,37 @@ def _likeliest(weights: np.ndarray, prior: np.ndarray):
     return run
 
 
-def class_weights(m: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def class_weights(m: np.ndarray, cls: np.ndarray, others: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """What a bigram of each cell speaks for each class, and the classes' log shares.
 
     After a seed word of class j a word of class k has P(k | j) / P(k) times its share of
-    all words; before one, P(j | k) counts.
+    all words; before one, P(j | k) counts. The class of ``others`` is a j but no k.
     """
-    member = np.zeros((len(m), CLASSES))
+    member = np.zeros((len(m), CLASSES + others))
     member[np.arange(len(m)), cls] = 1
     b = member.T @ m @ member + DELTA
-    share = np.log(b.sum(0) / b.sum())
-    before = np.log(b / b.sum(1, keepdims=True)) - share  # [j, k]
-    behind = np.log(b / b.sum(1, keepdims=True)).T  # [j, k]: from k to j
+    into = b[:, :CLASSES]
+    share = np.log(into.sum(0) / into.sum())
+    before = np.log(into / into.sum(1, keepdims=True)) - share  # [j, k]
+    behind = np.log(b / b.sum(1, keepdims=True))[:CLASSES].T  # [j, k]: from k to j
     return np.concatenate((before, behind)), share
 
 
-def classed_words(docs: DataFrame, counts: DataFrame) -> DataFrame:
+def classed_words(docs: DataFrame, counts: DataFrame, others: bool = False) -> DataFrame:
     """(word, n, seen, cls): every word of the corpus; unknown ones have no class. Stored."""
     spark, folder = docs.sparkSession, scratch_folder(docs.sparkSession)
     words = seed_words(counts, SEED)
     if not words:
         return written(counts.withColumn("cls", F.lit(None).cast("int")), folder, "words")
-    m = seed_matrix(docs, words)
-    cls = exchange_clusters(m)
-    weights, prior = class_weights(m, cls)
-    seed = {w: int(k) for w, k in zip(words, cls, strict=True)}
+    m = seed_matrix(docs, words, others)
+    cls = exchange_clusters(m, others=others)
+    weights, prior = class_weights(m, cls, others)
+    seed = {w: int(k) for w, k in zip(words, cls[:len(words)], strict=True)}
     parts = (_numbered(docs).filter(~F.col("held_out")).select("text")
-             .mapInArrow(_word_bigrams(seed), "word binary, cell int, n long"))
+             .mapInArrow(_word_bigrams(seed, others), "word binary, cell int, n long"))
     # dealt by word: both groupings find their rows in place
     cells = parts.repartition("word").groupBy("word", "cell").agg(F.sum("n").alias("n"))
-    listed = cells.groupBy("word").agg(F.collect_list(F.struct("cell", "n")).alias("cells"))  # 2 x CLASSES at most
+    listed = cells.groupBy("word").agg(F.collect_list(F.struct("cell", "n")).alias("cells"))  # 2 x (CLASSES + 1) at most
     assigned = listed.mapInArrow(_likeliest(weights, prior), "word binary, cls int").unionByName(
         spark.createDataFrame(list(seed.items()), "word binary, cls int"))
     assigned = written(assigned, folder, "assigned")
@@ -238,16 +259,19 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
     return np.where(x > 0, x * np.log(np.maximum(x, 1)), 0.0)
 
 
-def exchange_clusters(m: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
+def exchange_clusters(
+    m: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS, others: bool = False
+) -> np.ndarray:
     """The class of each unit: units move, one at a time in order of frequency, to the class
-    with the largest likelihood of the class bigrams, until a sweep moves none."""
+    with the largest likelihood of the class bigrams, until a sweep moves none. With
+    ``others`` the last unit stays alone, in a class after these."""
     m = m.astype(np.float64)
-    size = len(m)
-    order = np.argsort(-(m.sum(0) + m.sum(1)), kind="stable")
-    cls = np.empty(size, np.int64)
+    size = len(m) - others
+    order = np.argsort(-(m.sum(0) + m.sum(1))[:size], kind="stable")
+    cls = np.full(len(m), classes)
     cls[order] = np.arange(size) % classes
-    member = np.zeros((size, classes))
-    member[np.arange(size), cls] = 1
+    member = np.zeros((len(m), classes + others))
+    member[np.arange(len(m)), cls] = 1
     after, before = m @ member, m.T @ member  # unit x class: followers, predecessors
     b = member.T @ after
     for _ in range(sweeps):
@@ -270,7 +294,7 @@ def exchange_clusters(m: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEP
             gain += (_xlogx(d + out + into + own) - _xlogx(d + out) - _xlogx(d + into) + _xlogx(d))
             gain -= _xlogx(rows + out.sum() + own) - _xlogx(rows)
             gain -= _xlogx(cols + into.sum() + own) - _xlogx(cols)
-            new = int(np.argmax(gain))
+            new = int(np.argmax(gain[:classes]))
             if gain[new] <= gain[old] + 1e-9:
                 new = old
             b[new] += out
@@ -411,9 +435,9 @@ def _scorer(step: np.ndarray, share: np.ndarray, start: int, base: float):
     return run
 
 
-def scored(docs: DataFrame) -> DataFrame:
+def scored(docs: DataFrame, others: bool = False) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, base_score, score, train_tokens, perplexity)."""
-    words = classed_words(docs, word_counts(docs))
+    words = classed_words(docs, word_counts(docs), others)
     sizes = words.filter("n > 0").groupBy("cls").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()
     tokens_of, words_of = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in sizes:  # one row per class
@@ -433,4 +457,4 @@ def scored(docs: DataFrame) -> DataFrame:
 
 
 def op9_classlm(spark: SparkSession, folder: str) -> DataFrame:
-    return scored(table(spark, folder, "documents"))
+    return scored(table(spark, folder, "documents"), others=True)
