@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from vaultloom.llm import classlm
@@ -153,3 +154,63 @@ def test_words_outside_the_seed_class_by_all_their_bigrams(spark, monkeypatch):
     for w in {w for w, _ in cells}:
         by = prior + sum(n * weights[rows[numbered[c]]] for (v, c), n in cells.items() if v == w)
         assert own[w] == by.argmax()
+
+
+ODD = [b"  A b\x0bc ", b"", b" \n\t", b"x\x1cy \xff\xfeZ\xc3\x89\t\r\x0c q", b"\x00 \x85 \xc2\xa0 \x1f", "\u00c0\u00c9 B".encode(), b"a"]
+
+
+def test_tokens_split_at_six_bytes_only():
+    want = [[*t.lower().split(), b""] for t in ODD]
+    for texts in (pa.array(ODD, pa.binary()), pa.array([b"no", *ODD], pa.binary())[1:], pa.array(ODD, pa.large_binary())):
+        found, lengths = classlm.tokens(texts)
+        assert found.to_pylist() == sum(want, []) and lengths.tolist() == [len(t) for t in want]
+
+
+def batches(texts, *columns):
+    return [pa.RecordBatch.from_arrays([pa.array([t], pa.binary()), *(pa.array([c[i]]) for c in columns)], ["text", *"abc"[:len(columns)]])
+            for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("at_once", [1, 7, 1 << 22])
+def test_vocabularies_add_up(monkeypatch, at_once):
+    monkeypatch.setattr(classlm, "NUMBERED_AT_ONCE", at_once)
+    texts = [*ODD, b"a b a", b"b"]
+    held = [i % 3 == 1 for i in range(len(texts))]
+    n, seen = Counter(), Counter()
+    for b in classlm._counted(iter(batches(texts, held))):
+        for r in b.to_pylist():
+            n[r["word"]] += r["n"]
+            seen[r["word"]] += r["seen"]
+    split = [[*t.lower().split(), b""] for t in texts]
+    assert seen == Counter(w for t in split for w in t)
+    assert +n == Counter(w for t, h in zip(split, held, strict=True) if not h for w in t)
+
+
+@pytest.mark.parametrize("others", [False, True])
+def test_a_word_is_one_row_of_a_vocabulary(monkeypatch, others):
+    """Rows that are exchanged: one for each word, with all its cells, not one for each cell."""
+    seed = {b"a": 3, b"b": 1, b"": 0}
+    texts = [b"a x b y", b"x x a", b"b x y z", b"a b"]
+    rows = [r for b in classlm._packed(classlm._word_bigrams(seed, others))(iter(batches(texts))) for r in b.to_pylist()]
+    assert sorted(r["word"] for r in rows) == [b"x", b"y", b"z"]
+    side, want = classlm.CLASSES + others, Counter()
+    for t in texts:
+        t = [*t.split(), b""]
+        for x, y in zip([b"", *t], t):
+            if y not in seed and (others or x in seed):
+                want[y, seed.get(x, classlm.CLASSES)] += 1
+            if x not in seed and (others or y in seed):
+                want[x, side + seed.get(y, classlm.CLASSES)] += 1
+    got = Counter({(r["word"], int(c) & 255): int(c) >> 8 for r in rows for c in np.frombuffer(r["cells"], "<i8")})
+    assert got == want
+    # rows of a word from several tasks, in batches that part them, give the class of their sum
+    weights, prior = np.random.default_rng(2).normal(size=(2 * side, classlm.CLASSES)), np.linspace(0, 1, classlm.CLASSES)
+    monkeypatch.setattr(classlm._gathered, "__defaults__", (2,))
+    parted = sorted((r["word"], np.int64(c).tobytes()) for r in rows for c in np.frombuffer(r["cells"], "<i8"))
+    parted = [pa.RecordBatch.from_arrays([pa.array([w]), pa.array([c])], ["word", "cells"]) for w, c in parted]
+    found = {r["word"]: r["cls"] for b in classlm._likeliest(weights, prior)(iter(parted)) for r in b.to_pylist()}
+    assert found == {w: int((prior + sum(n * weights[c] for (v, c), n in want.items() if v == w)).argmax()) for w in (b"x", b"y", b"z")}
+
+
+def test_no_rows(spark):
+    assert classlm.scored(spark.createDataFrame([], "doc_id long, text string"), others=True).collect() == []

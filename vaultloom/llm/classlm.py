@@ -34,11 +34,11 @@ scored, and learned from, each. Extra columns are ignored; no rows give no rows.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,14 +51,48 @@ SEED = 512
 CLASSES = 32
 SWEEPS = 10
 DELTA = 0.5
-COUNTED_AT_ONCE = 200_000
-PAIRED_AT_ONCE = 1 << 22
+NUMBERED_AT_ONCE = 1 << 22
+"""Tokens of which a task makes a vocabulary of its own; one batch more at most."""
+LOOKED_UP_AT_ONCE = 1 << 20
 NO_CLASS = 255
 END = b""
 
 
-def tokens(text: bytes) -> list[bytes]:
-    return [*text.lower().split(), END]
+def tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The tokens of texts, one text after the other, and how many each has."""
+    texts = pc.ascii_trim_whitespace(pc.ascii_lower(texts.cast(pa.binary()).view(pa.string())))
+    # a blank behind a text makes its end the empty word; an empty text is one by itself
+    ended = pc.if_else(pc.equal(pc.binary_length(texts), 0), texts, pc.binary_join_element_wise(texts, "", " "))
+    lists = pc.ascii_split_whitespace(ended)
+    return lists.flatten().view(pa.binary()), lists.value_lengths().to_numpy()
+
+
+def _numbers(words: pa.ChunkedArray | pa.Array, known: pa.Array) -> np.ndarray:
+    """The place of each word in ``known``, or its length for all others."""
+    return pc.fill_null(pc.index_in(words, value_set=known), len(known)).to_numpy()
+
+
+def _vocabularies(batches: Iterator[pa.RecordBatch]):
+    """(words, numbers, lengths, columns behind the text): some batches' distinct words, the
+    places in them of their tokens, and how many tokens each text has."""
+    pending, held = [], 0
+
+    def numbered():
+        found, lengths, columns = zip(*pending, strict=True)
+        coded = pa.chunked_array(found, pa.binary()).dictionary_encode().combine_chunks()
+        columns = [pa.chunked_array(c) for c in zip(*columns, strict=True)]
+        return coded.dictionary, coded.indices.to_numpy(), np.concatenate(lengths), columns
+
+    for b in batches:
+        found, lengths = tokens(b.column(0))
+        pending.append((found, lengths, b.columns[1:]))
+        held += len(found)
+        if held > NUMBERED_AT_ONCE:
+            yield numbered()
+            pending.clear()
+            held = 0
+    if held:
+        yield numbered()
 
 
 def held_out():
@@ -74,30 +108,19 @@ def _numbered(docs: DataFrame) -> DataFrame:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, n, seen): occurrences in training texts, and in all."""
-    learned, other = Counter(), Counter()
-
-    def batch():
-        words = list(learned.keys() | other.keys())
-        n = [learned[w] for w in words]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(words, pa.binary()), pa.array(n, pa.int64()),
-             pa.array([a + other[w] for a, w in zip(n, words, strict=True)], pa.int64())],
-            ["word", "n", "seen"])
-
-    for b in batches:
-        for held, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-            (other if held else learned).update(tokens(text.as_py()))
-            if len(learned) + len(other) > COUNTED_AT_ONCE:
-                yield batch()
-                learned.clear(), other.clear()
-    if learned or other:
-        yield batch()
+    for words, numbers, lengths, (held,) in _vocabularies(batches):
+        learned = np.repeat(~held.to_numpy(), lengths)
+        n = np.bincount(numbers[learned], minlength=len(words))
+        seen = np.bincount(numbers, minlength=len(words))
+        for at in range(0, len(words), 50_000):
+            yield pa.RecordBatch.from_arrays(
+                [words[at:at + 50_000], pa.array(n[at:at + 50_000]), pa.array(seen[at:at + 50_000])], ["word", "n", "seen"])
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n, seen) of all distinct words of the corpus, stored."""
     python_tasks(docs.sparkSession)
-    parts = _numbered(docs).select("held_out", "text").mapInArrow(_counted, "word binary, n long, seen long")
+    parts = _numbered(docs).select("text", "held_out").mapInArrow(_counted, "word binary, n long, seen long")
     return written(parts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen")),
                    scratch_folder(docs.sparkSession), "counts")
 
@@ -109,23 +132,16 @@ def seed_words(counts: DataFrame, most: int) -> list[bytes]:
     return words if END in words or not words else [*words[:most - 1], END]
 
 
-def _batch_ids(texts: pa.Array, number, start: int) -> np.ndarray:
-    """The numbers of a batch's tokens, text after text, behind a first end: each text starts
-    after an end as if after its own, so neighbours here are all bigrams and no others."""
-    ids = [start]
-    for text in texts:
-        ids.extend(map(number, tokens(text.as_py())))
-    return np.array(ids)
-
-
 def _seed_bigrams(seed: dict[bytes, int], others: bool = False):
+    """(cell, n) of the seed's words, which are numbered from 0 in their order."""
     known = len(seed)
     size = known + others
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, get, start = np.zeros(size * size, np.int64), seed.get, seed[END]
+        found, words = np.zeros(size * size, np.int64), pa.array(list(seed), pa.binary())
         for b in batches:
-            ids = _batch_ids(b.column(0), lambda w: get(w, known), start)
+            # behind a first end each text starts after one, as if after its own: neighbours are all bigrams
+            ids = np.concatenate(([seed[END]], _numbers(tokens(b.column(0))[0], words)))
             before, behind = ids[:-1], ids[1:]
             if not others:
                 both = (before < known) & (behind < known)
@@ -162,60 +178,96 @@ def _word_bigrams(seed: dict[bytes, int], others: bool = False):
     side = CLASSES + others
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, start = {w: -1 - k for w, k in seed.items()}, -1 - seed[END]
-        numbers: dict[bytes, int] = {}  # words outside the seed, as they come; a class k is -1 - k
-        pending: list[np.ndarray] = []
-
-        def counted():
-            cells, n = np.unique(np.concatenate(pending), return_counts=True)
-            words = pa.array(list(numbers), pa.binary())
-            for at in range(0, len(cells), 100_000):
-                part = cells[at:at + 100_000]
+        known, classes = pa.array(list(seed), pa.binary()), np.array([*seed.values(), CLASSES])
+        for words, numbers, *_ in _vocabularies(batches):
+            cell = classes[_numbers(words, known)]
+            # behind a first end each text starts after one, as if after its own
+            cells, other = np.concatenate(([seed[END]], cell[numbers])), np.concatenate(([False], cell[numbers] == CLASSES))
+            into, out = other[1:], other[1:-1]
+            if not others:
+                into, out = into & ~other[:-1], out & ~other[2:]
+            keys = np.concatenate((numbers[into].astype(np.int64) * (2 * side) + cells[:-1][into],
+                                   numbers[:-1][out].astype(np.int64) * (2 * side) + side + cells[2:][out]))
+            keys.sort()
+            first = np.flatnonzero(np.diff(keys, prepend=-1))
+            n, keys = np.diff(first, append=len(keys)), keys[first]
+            for at in range(0, len(keys), 100_000):
+                part = keys[at:at + 100_000]
                 yield pa.RecordBatch.from_arrays(
                     [words.take(pa.array(part // (2 * side))), pa.array((part % (2 * side)).astype(np.int32)),
                      pa.array(n[at:at + 100_000])], ["word", "cell", "n"])
 
-        def number(w):
-            k = classes.get(w)
-            return numbers.setdefault(w, len(numbers)) if k is None else k
+    return run
+
+
+def _runs(words: pa.Array) -> np.ndarray:
+    """Where a run of equal words begins."""
+    return np.flatnonzero(np.concatenate(([True], pc.not_equal(words[1:], words[:-1]).to_numpy(zero_copy_only=False))))
 
-        held = 0
-        for b in batches:
-            ids = _batch_ids(b.column(0), number, start)
-            cells = np.where(ids < 0, -1 - ids, CLASSES)
-            other = ids >= 0
-            into, out = other[1:], other[:-1]
-            if not others:
-                into, out = into & ~other[:-1], out & ~other[1:]
-            pending += [ids[1:][into] * (2 * side) + cells[:-1][into],
-                        ids[:-1][out] * (2 * side) + side + cells[1:][out]]
-            held += len(ids)
-            if held > PAIRED_AT_ONCE:
-                yield from counted()
-                numbers.clear(), pending.clear()
-                held = 0
-        if pending:
-            yield from counted()
+
+def _packed(bigrams):
+    """(word, cells): a row for neighbouring (word, cell, n) of one word; cells are 8 bytes
+    each, the number in the lowest and the count above it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in bigrams(batches):
+            first = _runs(b.column(0))
+            cells = b.column(2).to_numpy() << 8 | b.column(1).to_numpy()
+            ends = np.append(first, len(cells)).astype(np.int32) * 8
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(pa.array(first)),
+                 pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(cells.astype("<i8"))])],
+                ["word", "cells"])
 
     return run
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 50_000) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """The two columns of batches sorted by the first, many batches at a time, whose parts
+    hold all rows of their words."""
+    pending, held = [], 0
+    for b in batches:
+        pending.append(b)
+        held += b.num_rows
+        if held >= rows:
+            words, cells = (c.combine_chunks() for c in pa.Table.from_batches(pending).columns)
+            last = int(_runs(words)[-1])
+            if last:
+                yield words[:last], cells[:last]
+            pending = [pa.RecordBatch.from_arrays([words[last:], cells[last:]], names=b.schema.names)]
+            held = len(words) - last if last else 0  # one word's rows: as many more
+    if sum(b.num_rows for b in pending):
+        words, cells = (c.combine_chunks() for c in pa.Table.from_batches(pending).columns)
+        yield words, cells
+
+
 def _likeliest(weights: np.ndarray, prior: np.ndarray):
+    size = len(weights)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            lists = b.column(1)
-            parts = lists.flatten()
-            cells, n = parts.field(0).to_numpy(), parts.field(1).to_numpy()
-            ends = np.cumsum(lists.value_lengths().to_numpy())
-            scores = np.add.reduceat(weights[cells] * n[:, None], np.concatenate(([0], ends[:-1])), axis=0) + prior
+        for words, packed in _gathered(batches):
+            first = _runs(words)
+            cells, ends = _flat(packed, "<i8")
+            word = np.repeat(np.repeat(np.arange(len(first)), np.diff(first, append=len(words))), np.diff(ends))
+            found = np.bincount(word * size + (cells & 255), cells >> 8, minlength=len(first) * size)  # whole numbers
+            at = np.flatnonzero(found)
+            begins = np.searchsorted(at, np.arange(len(first)) * size)
+            scores = np.add.reduceat(weights[at % size] * found[at, None], begins, axis=0) + prior
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(scores.argmax(axis=1).astype(np.int32))], ["word", "cls"])
+                [words.take(pa.array(first)), pa.array(scores.argmax(axis=1).astype(np.int32))], ["word", "cls"])
 
     return run
 
 
+def _flat(values: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
+    """What binary values hold, one behind the other, as an array of ``kind``, and where each
+    begins and the last ends in it. There is a value at least."""
+    values = values.cast(pa.binary())
+    ends = np.frombuffer(values.buffers()[1], np.int32)[values.offset:values.offset + len(values) + 1]
+    data = np.frombuffer(values.buffers()[2], np.uint8)[ends[0]:ends[-1]].view(kind)
+    return data, (ends - ends[0]) // data.itemsize
+
+
 def class_weights(m: np.ndarray, cls: np.ndarray, others: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """What a bigram of each cell speaks for each class, and the classes' log shares.
 
@@ -243,11 +295,10 @@ def classed_words(docs: DataFrame, counts: DataFrame, others: bool = False) -> D
     weights, prior = class_weights(m, cls, others)
     seed = {w: int(k) for w, k in zip(words, cls[:len(words)], strict=True)}
     parts = (_numbered(docs).filter(~F.col("held_out")).select("text")
-             .mapInArrow(_word_bigrams(seed, others), "word binary, cell int, n long"))
-    # dealt by word: both groupings find their rows in place
-    cells = parts.repartition("word").groupBy("word", "cell").agg(F.sum("n").alias("n"))
-    listed = cells.groupBy("word").agg(F.collect_list(F.struct("cell", "n")).alias("cells"))  # 2 x (CLASSES + 1) at most
-    assigned = listed.mapInArrow(_likeliest(weights, prior), "word binary, cls int").unionByName(
+             .mapInArrow(_packed(_word_bigrams(seed, others)), "word binary, cells binary"))
+    # a word's rows, one from each vocabulary with it, meet in one task, one behind the other
+    sorted_parts = parts.repartition("word").sortWithinPartitions("word")
+    assigned = sorted_parts.mapInArrow(_likeliest(weights, prior), "word binary, cls int").unionByName(
         spark.createDataFrame(list(seed.items()), "word binary, cls int"))
     assigned = written(assigned, folder, "assigned")
     found = counts.join(assigned, "word", "left").withColumn(
@@ -313,42 +364,61 @@ def exchange_clusters(
 
 
 SEQUENCED = ("row long, doc_id long, held_out boolean, cls binary, n_known long, logs double, "
-             "rest array<struct<word: binary, places: array<int>>>")
+             "rest array<struct<word: binary, place: int>>")
+
+
+def _bytes(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Binary values that lie in a row in ``data``."""
+    return pa.Array.from_buffers(
+        pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
 
 
 def _sequenced(shared):
     """Classes, known tokens and the sum of log10(n + 1) of frequent words; the others' places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, classes, logs = shared.value
-        get = index.get
+        frequent, classes, logs = shared.value
+        classes, logs = np.append(classes, np.uint8(NO_CLASS)), np.append(logs, 0.0)
+        pending, held = [], 0
+
+        def looked_up():
+            ids = _numbers(pa.chunked_array([found for _, found, _ in pending], pa.binary()), frequent)
+            at = 0
+            for b, found, lengths in pending:
+                part = ids[at:at + len(found)]
+                at += len(found)
+                ends = np.concatenate(([0], np.cumsum(lengths)))
+                cls = classes[part]
+                rest = np.flatnonzero(part == len(frequent))
+                rests = np.searchsorted(rest, ends)
+                places = rest - np.repeat(ends[:-1], np.diff(rests))
+                listed = pa.StructArray.from_arrays(
+                    [found.take(pa.array(rest)), pa.array(places.astype(np.int32))], ["word", "place"])
+                yield pa.RecordBatch.from_arrays(
+                    [*b.columns[:3], _bytes(cls, ends),
+                     pa.array(np.add.reduceat((cls != NO_CLASS).astype(np.int64), ends[:-1])),
+                     pa.array(np.add.reduceat(logs[part], ends[:-1])),
+                     pa.ListArray.from_arrays(pa.array(rests.astype(np.int32)), listed)],
+                    ["row", "doc_id", "held_out", "cls", "n_known", "logs", "rest"])
+
         for b in batches:
-            out, others, ends = [], [], [0]  # others: words and their places, row after row
-            for text in b.column(3):
-                words = tokens(text.as_py())
-                ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-                rest: dict[bytes, list[int]] = {}
-                for i in np.flatnonzero(ids < 0).tolist():
-                    rest.setdefault(words[i], []).append(i)
-                cls = classes[ids]
-                cls[ids < 0] = NO_CLASS
-                out.append((cls.tobytes(), int((cls != NO_CLASS).sum()), float(logs[ids[ids >= 0]].sum())))
-                others += rest.items()
-                ends.append(len(others))
-            columns = list(zip(*out, strict=True)) if out else [[]] * 3
-            rest = pa.StructArray.from_arrays(
-                [pa.array([w for w, _ in others], pa.binary()), pa.array([p for _, p in others], pa.list_(pa.int32()))],
-                ["word", "places"])
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), b.column(2), pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.int64()),
-                 pa.array(columns[2], pa.float64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rest)],
-                ["row", "doc_id", "held_out", "cls", "n_known", "logs", "rest"])
+            if not b.num_rows:
+                continue
+            found, lengths = tokens(b.column(3))
+            pending.append((b, found, lengths))
+            held += len(found)
+            if held > LOOKED_UP_AT_ONCE:
+                yield from looked_up()
+                pending.clear()
+                held = 0
+        if pending:
+            yield from looked_up()
 
     return run
 
 
-def frequent_words(words: DataFrame, most: int = FREQUENT) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
-    """Index, classes and log10(n + 1) of words seen so often that they are at most ``most``.
+def frequent_words(words: DataFrame, most: int = FREQUENT) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Words, classes and log10(n + 1) of words seen so often that they are at most ``most``.
 
     The least number of occurrences is read off a histogram of eighths of octaves, so no
     more than ``most`` words come to the driver, from all tasks together. Which these are
@@ -365,23 +435,22 @@ def frequent_words(words: DataFrame, most: int = FREQUENT) -> tuple[dict[bytes,
     chosen = F.col("word") == F.lit(END)
     if least is not None:
         chosen = chosen | (step >= least)
-    found = sorted((bytes(r.word), r.n, r.cls) for r in words.filter(chosen).select("word", "n", "cls").collect())
-    return ({w: i for i, (w, _, _) in enumerate(found)},
-            np.array([NO_CLASS if k is None else k for _, _, k in found] or [NO_CLASS], np.uint8),
-            np.log10(np.array([n for _, n, _ in found] or [0], np.float64) + 1))
+    found = words.filter(chosen).select("word", "n", F.coalesce("cls", F.lit(NO_CLASS)).alias("cls")).toArrow()
+    return (found["word"].cast(pa.binary()).combine_chunks(), found["cls"].to_numpy().astype(np.uint8),
+            np.log10(found["n"].to_numpy() + 1.0))
 
 
 def _filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Class sequences with the classes of words that were joined."""
     for b in batches:
-        done = []
-        for cls, found in zip(b.column(3), b.column(6), strict=True):
-            cls = np.frombuffer(cls.as_py(), np.uint8).copy()
-            if found.is_valid:
-                places, classes = found.values.field(0), found.values.field(1).to_numpy()
-                cls[places.flatten().to_numpy()] = np.repeat(classes, places.value_lengths().to_numpy())
-            done.append(cls.tobytes())
-        yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(done, pa.binary()), *b.columns[4:6]], b.schema.names[:6])
+        if not b.num_rows:
+            continue
+        cls, ends = _flat(b.column(3), np.uint8)
+        cls, found = cls.copy(), b.column(6)
+        parts = found.flatten()
+        starts = np.repeat(ends[:-1], pc.fill_null(found.value_lengths(), 0).to_numpy())
+        cls[starts + parts.field(0).to_numpy()] = parts.field(1).to_numpy()
+        yield pa.RecordBatch.from_arrays([*b.columns[:3], _bytes(cls, ends), *b.columns[4:6]], b.schema.names[:6])
 
 
 def class_sequences(docs: DataFrame, words: DataFrame) -> DataFrame:
@@ -391,8 +460,8 @@ def class_sequences(docs: DataFrame, words: DataFrame) -> DataFrame:
     rows = written(_numbered(docs).mapInArrow(_sequenced(shared), SEQUENCED), folder, "sequenced")
     known = words.filter("n > 0").select("word", "cls", F.log10(F.col("n") + 1).alias("log"))
     rest = rows.select("row", F.inline("rest")).join(known, "word").groupBy("row").agg(
-        F.sum(F.size("places")).alias("more_known"), F.sum(F.size("places") * F.col("log")).alias("more_logs"),
-        F.collect_list(F.struct("places", "cls")).alias("found"))
+        F.count(F.lit(1)).alias("more_known"), F.sum("log").alias("more_logs"),
+        F.collect_list(F.struct("place", "cls")).alias("found"))
     joined = rows.drop("rest").join(rest, "row", "left").select(
         "row", "doc_id", "held_out", "cls", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         (F.col("logs") + F.coalesce("more_logs", F.lit(0.0))).alias("logs"), "found")
@@ -404,32 +473,37 @@ def _class_bigrams(start: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros(CLASSES * CLASSES, np.int64)
         for b in batches:
-            for cls in b.column(0):
-                ids = np.frombuffer(cls.as_py(), np.uint8).astype(np.int64)
-                found += np.bincount(np.concatenate(([start], ids[:-1])) * CLASSES + ids, minlength=len(found))
+            if b.num_rows:  # each text starts after the end of the one before, whose class is the same
+                ids = np.concatenate(([start], _flat(b.column(0), np.uint8)[0]))
+                found += np.bincount(ids[:-1] * CLASSES + ids[1:], minlength=len(found))
         cells = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(found[cells])], ["cell", "n"])
 
     return run
 
 
-def score(cls: np.ndarray, logs: float, step: np.ndarray, share: np.ndarray, start: int) -> float:
-    """log10 probability of a class sequence whose words' log10(n + 1) add up to ``logs``."""
-    ids = np.concatenate(([start], cls.astype(np.int64)))
+def score(cls: np.ndarray, ends: np.ndarray, step: np.ndarray, share: np.ndarray, start: int) -> np.ndarray:
+    """log10 probability of each text's classes, without its words' log10(n + 1)."""
+    starts = ends[:-1] + np.arange(len(ends) - 1)  # of the texts, each behind a first end of its own
+    ids = np.insert(cls.astype(np.int64), ends[:-1], start)
+    likeliest = (step - share).argmax(axis=1)
     for i in np.flatnonzero(ids == NO_CLASS).tolist():  # unknown words
-        ids[i] = np.argmax(step[ids[i - 1]] - share)
-    return float(logs + step[ids[:-1], ids[1:]].sum() - share[ids[1:]].sum())
+        ids[i] = likeliest[ids[i - 1]]
+    found = np.concatenate(([0.0], step[ids[:-1], ids[1:]] - share[ids[1:]]))
+    found[starts] = 0
+    return np.add.reduceat(found, starts)
 
 
 def _scorer(step: np.ndarray, share: np.ndarray, start: int, base: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [np.frombuffer(c.as_py(), np.uint8) for c in b.column(3)]
-            logs = b.column(5).to_pylist()
+            if not b.num_rows:
+                continue
+            cls, ends = _flat(b.column(3), np.uint8)
+            logs, size = b.column(5).to_numpy(), np.diff(ends).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [b.column(1), b.column(2), pa.array(map(len, found), pa.int64()), b.column(4),
-                 pa.array([x - len(c) * base for c, x in zip(found, logs, strict=True)], pa.float64()),
-                 pa.array([score(c, x, step, share, start) for c, x in zip(found, logs, strict=True)], pa.float64())],
+                [b.column(1), b.column(2), pa.array(size), b.column(4), pa.array(logs - size * base),
+                 pa.array(logs + score(cls, ends, step, share, start))],
                 ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
     return run
