@@ -79,6 +79,7 @@ def _vocabularies(batches: Iterator[pa.RecordBatch]):
 
     def numbered():
         found, lengths, columns = zip(*pending, strict=True)
+        pending.clear()
         coded = pa.chunked_array(found, pa.binary()).dictionary_encode().combine_chunks()
         columns = [pa.chunked_array(c) for c in zip(*columns, strict=True)]
         return coded.dictionary, coded.indices.to_numpy(), np.concatenate(lengths), columns
@@ -89,7 +90,6 @@ def _vocabularies(batches: Iterator[pa.RecordBatch]):
         held += len(found)
         if held > NUMBERED_AT_ONCE:
             yield numbered()
-            pending.clear()
             held = 0
     if held:
         yield numbered()
@@ -178,18 +178,22 @@ def _word_bigrams(seed: dict[bytes, int], others: bool = False):
     side = CLASSES + others
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, classes = pa.array(list(seed), pa.binary()), np.array([*seed.values(), CLASSES])
+        known, classes = pa.array(list(seed), pa.binary()), np.array([*seed.values(), CLASSES], np.int32)
         for words, numbers, *_ in _vocabularies(batches):
             cell = classes[_numbers(words, known)]
             # behind a first end each text starts after one, as if after its own
-            cells, other = np.concatenate(([seed[END]], cell[numbers])), np.concatenate(([False], cell[numbers] == CLASSES))
+            cells = np.empty(len(numbers) + 1, np.int32)
+            cells[0], cells[1:] = seed[END], cell[numbers]
+            other = cells == CLASSES
             into, out = other[1:], other[1:-1]
             if not others:
                 into, out = into & ~other[:-1], out & ~other[2:]
             keys = np.concatenate((numbers[into].astype(np.int64) * (2 * side) + cells[:-1][into],
                                    numbers[:-1][out].astype(np.int64) * (2 * side) + side + cells[2:][out]))
             keys.sort()
-            first = np.flatnonzero(np.diff(keys, prepend=-1))
+            new = np.ones(len(keys), bool)
+            new[1:] = keys[1:] != keys[:-1]
+            first = np.flatnonzero(new)
             n, keys = np.diff(first, append=len(keys)), keys[first]
             for at in range(0, len(keys), 100_000):
                 part = keys[at:at + 100_000]
@@ -447,9 +451,9 @@ def _filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         cls, ends = _flat(b.column(3), np.uint8)
         cls, found = cls.copy(), b.column(6)
-        parts = found.flatten()
+        parts = found.flatten().to_numpy()  # the place, and the class in the lowest byte
         starts = np.repeat(ends[:-1], pc.fill_null(found.value_lengths(), 0).to_numpy())
-        cls[starts + parts.field(0).to_numpy()] = parts.field(1).to_numpy()
+        cls[starts + (parts >> 8)] = parts & 255
         yield pa.RecordBatch.from_arrays([*b.columns[:3], _bytes(cls, ends), *b.columns[4:6]], b.schema.names[:6])
 
 
@@ -461,7 +465,7 @@ def class_sequences(docs: DataFrame, words: DataFrame) -> DataFrame:
     known = words.filter("n > 0").select("word", "cls", F.log10(F.col("n") + 1).alias("log"))
     rest = rows.select("row", F.inline("rest")).join(known, "word").groupBy("row").agg(
         F.count(F.lit(1)).alias("more_known"), F.sum("log").alias("more_logs"),
-        F.collect_list(F.struct("place", "cls")).alias("found"))
+        F.collect_list(F.col("place").cast("long") * 256 + F.col("cls")).alias("found"))
     joined = rows.drop("rest").join(rest, "row", "left").select(
         "row", "doc_id", "held_out", "cls", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         (F.col("logs") + F.coalesce("more_logs", F.lit(0.0))).alias("logs"), "found")
