@@ -4,7 +4,8 @@ Words are in classes, after Brown: the probability of a word is that of its clas
 the class before, times that of the word among its class's words. Tokens are the
 lower-cased (A-Z) words of a text and then one end, which is the empty word here.
 
-All counts cover all training texts, and every training word has a class of its own:
+Arrow splits texts and looks words up, a task's tokens some million at a time. All counts
+cover all training texts, and every training word has a class of its own:
 
 1. Words are counted (in tasks first, then by word). The table of counts grows with the
    corpus and stays in Spark.
