@@ -1,10 +1,12 @@
 """Key ranges: what a load rewrites, and what the table then holds."""
 
+import re
 from pathlib import Path
 
 import pytest
 
 from tests.test_load import AT, DROP, load, rows, write_drop
+from tests.test_placed import write_plans
 from vaultloom.sources.tables import TABLES
 from vaultloom.sources.warehouse import RANGE, Warehouse
 
@@ -39,3 +41,17 @@ def test_only_changed_ranges_are_rewritten(spark, tmp_path):
 def test_buckets_and_ranges_exclude_each_other(spark, tmp_path):
     with pytest.raises(ValueError, match="not both"):
         Warehouse(spark, str(tmp_path), buckets=2, ranges=2)
+
+
+def test_rows_that_differ_are_made_and_moved_once(spark, tmp_path):
+    """No exchange deals whole rows by range, and few rows that differ are broadcast to the old ones."""
+    drop = write_drop(tmp_path / "1")
+    later = write_drop(tmp_path / "2", {
+        "orders": [DROP["orders"][0].replace(AT, "2024-01-05 10:00:00", 1), *DROP["orders"][1:]]})
+    wh = Warehouse(spark, str(tmp_path / "wh"), ranges=50)
+    load(spark, wh, drop, 1)
+    load(spark, wh, later, 2)
+    for folder in Path(wh._folder("orders")).iterdir():
+        [plan] = write_plans(spark, f"orders/{folder.name}")
+        assert "SortMergeJoin" not in plan and not re.search(r"(?<!Broadcast)Exchange \(", plan), plan
+    assert not list((tmp_path / "wh" / "scratch").glob("*"))
